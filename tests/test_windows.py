@@ -1,0 +1,94 @@
+import pytest
+from pyspark.sql import Window, functions as F
+
+from tidewright.errors import JobError
+from tidewright.operators import window
+
+EXPRESSIONS = [
+    "row_number()",
+    "rank()",
+    "dense_rank()",
+    "percent_rank()",
+    "cume_dist()",
+    "ntile(7)",
+    "lag(v)",
+    "lag(v, 3, -1)",
+    "lead(v, 2)",
+    "first_value(v)",
+    "count(*)",
+    "count(v)",
+    "sum(v)",
+    "avg(v)",
+    "min(v)",
+    "max(case when v > 5 then v end)",
+    "sum(d)",
+]
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    # Group 0 holds most rows, one more is NULL; `o` ties often, `u` never.
+    return spark.range(0, 4000, 1, 5).select(
+        F.when(F.col("id") % 10 < 6, 0).when(F.col("id") % 10 == 6, None).otherwise(F.col("id") % 10).alias("g"),
+        F.when(F.col("id") % 97 != 0, F.hash("id") % 40).alias("o"),
+        F.col("id").alias("u"),
+        F.when(F.col("id") % 13 != 0, F.hash("id", F.lit(7)) % 100).cast("int").alias("v"),
+        ((F.col("id") % 17) / 4).cast("decimal(10,2)").alias("d"),
+    )
+
+
+def rows(df):
+    def rounded(value):
+        return round(value, 9) if isinstance(value, float) else value
+
+    return sorted((tuple(rounded(v) for v in row) for row in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("expression", EXPRESSIONS)
+@pytest.mark.parametrize("groups", [["g"], []])
+def test_split_groups_equal_the_plain_window(frame, expression, groups):
+    order = [{"column": "o", "desc": True}, {"column": "u"}]
+    spec = Window.partitionBy(*groups).orderBy(F.col("o").desc(), F.col("u").asc())
+    plain = frame.withColumn("w", F.expr(expression).over(spec))
+    split = window(frame, "w", expression, groups, order, hot_rows=300)
+    assert split.schema == plain.schema or [f.dataType for f in split.schema] == [f.dataType for f in plain.schema]
+    assert rows(split) == rows(plain)
+
+
+@pytest.mark.parametrize("expression", [e for e in EXPRESSIONS if e.split("(")[0] in (
+    "rank", "dense_rank", "percent_rank", "cume_dist", "count", "sum", "avg", "min", "max")])
+def test_ties_share_one_value(frame, expression):
+    spec = Window.partitionBy("g").orderBy("o")
+    plain = frame.withColumn("w", F.expr(expression).over(spec))
+    assert rows(window(frame, "w", expression, ["g"], ["o"], hot_rows=300)) == rows(plain)
+
+
+def test_row_number_spreads_a_single_tie(frame):
+    same = frame.withColumn("o", F.lit(1))
+    numbered = window(same, "n", "row_number()", [], ["o"], hot_rows=100)
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 4001))
+
+
+@pytest.mark.parametrize("expression", ["sum(v)", "count(*)", "max(if(v < 50, v, NULL))", "stddev(v)"])
+@pytest.mark.parametrize("groups", [["g"], ["g", "o"], []])
+def test_whole_group(frame, expression, groups):
+    plain = frame.withColumn("w", F.expr(expression).over(Window.partitionBy(*groups)))
+    assert rows(window(frame, "w", expression, groups)) == rows(plain)
+
+
+def test_replaces_a_column_in_place(frame):
+    split = window(frame, "v", "sum(v)", ["g"], ["u"], hot_rows=300)
+    spec = Window.partitionBy("g").orderBy("u")
+    assert split.columns == frame.columns
+    assert rows(split) == rows(frame.withColumn("v", F.sum("v").over(spec)))
+
+
+def test_unsplittable_functions_use_the_plain_window(frame):
+    got = window(frame, "w", "stddev(v)", ["g"], ["u"], hot_rows=10)
+    assert got.count() == 4000
+
+
+@pytest.mark.parametrize("name", ["", "1a", "a b", "a-b", None])
+def test_name_must_be_an_identifier(frame, name):
+    with pytest.raises(JobError):
+        window(frame, name, "count(*)", ["g"])
