@@ -30,7 +30,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
     "USA_SSN": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
     "CREDIT_CARD": _BEFORE + r"[0-9](?:[ -]?[0-9]){12,15}" + _AFTER,
-    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "EMAIL": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "IP_ADDRESS": _BEFORE + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + _AFTER,
     "PHONE_NUMBER": r"(?<![0-9A-Za-z_+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _AFTER,
 }

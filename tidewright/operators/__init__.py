@@ -5,9 +5,10 @@ from tidewright.operators.columns import add_column, drop_columns, filter_rows,
 from tidewright.operators.joins import join
 from tidewright.operators.partitions import partition_columns
 from tidewright.operators.sql import sql
-from tidewright.operators.windows import window
+from tidewright.operators.windows import WindowColumn, window, windows
 
 __all__ = [
+    "WindowColumn",
     "add_column",
     "aggregate",
     "drop_columns",
@@ -18,4 +19,5 @@ __all__ = [
     "select",
     "sql",
     "window",
+    "windows",
 ]

@@ -1,4 +1,4 @@
-"""A column computed over a window, also where one group is very large.
+"""Columns computed over windows, also where one group is very large.
 
 Spark evaluates a window group in one task. That is the right plan until one
 group holds a large share of all rows. So the group sizes are counted first,
@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
@@ -26,13 +28,65 @@ _CALL = re.compile(r"\s*(\w+)\s*\((.*)\)\s*", re.DOTALL)
 
 _MAX_BUCKETS = 10_000
 
-# Names of the columns added while a group is split.
-_BUCKET, _TIE, _SIZE, _VALUE, _FOUND = "__bucket", "__tie", "__group_rows", "__value", "__found"
+# Names of the columns added on the way.
+_BUCKET, _TIE, _SIZE, _NUMBER = "__bucket", "__tie", "__group_rows", "__number"
 
-# Functions Spark accepts only in a window.
+# Functions Spark accepts only in a window with an order.
 _WINDOW_ONLY = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead", "nth_value"}
 
 
+@dataclass
+class WindowColumn:
+    """``name`` = ``expression`` OVER (PARTITION BY .. ORDER BY ..).
+
+    With ``order_by`` the frame runs from the start of the group to the current
+    row and its ties, without it the frame is the whole group. Ascending order
+    puts NULLs first, descending last. Both lists may be empty.
+    """
+
+    name: str
+    expression: Expression
+    partition_by: Sequence[str] = ()
+    order_by: Sequence[str | Mapping] = ()
+
+    def __post_init__(self):
+        if not self.name or not _IDENTIFIER.fullmatch(self.name.strip()):
+            raise JobError(f"window: 'name' must be an identifier, not '{self.name}'")
+        if self.expression is None:
+            raise JobError("window: 'expression' is required")
+        self.name = self.name.strip()
+        self.partition_by = list(self.partition_by)
+        self.orders = [_order(item) for item in self.order_by]
+        self.call = _call(self.expression) if isinstance(self.expression, str) else None
+
+    @property
+    def function(self) -> str | None:
+        return self.call[0] if self.call else None
+
+    @property
+    def arguments(self) -> list[str]:
+        return self.call[1] if self.call else []
+
+    def over(self, df: DataFrame) -> Column:
+        spec = Window.partitionBy(*self.partition_by)
+        if self.orders:
+            spec = spec.orderBy(*[_sort(F.col(source), desc) for source, desc in self.orders])
+        return to_column(df, self.expression).over(spec)
+
+    def is_whole_group(self) -> bool:
+        return not self.orders and self.function is not None and self.function not in _WINDOW_ONLY
+
+    def is_splittable(self) -> bool:
+        return bool(self.orders) and self.function is not None and _has_split_form(self.function, self.arguments)
+
+    def mentions(self, names: Sequence[str]) -> bool:
+        """Whether any of ``names`` may occur in it."""
+        if not isinstance(self.expression, str):
+            return True
+        text = " ".join([self.expression, *self.partition_by, *[source for source, _ in self.orders]]).lower()
+        return any(re.search(rf"\b{re.escape(name.lower())}\b", text) for name in names)
+
+
 def window(
     df: DataFrame,
     name: str,
@@ -41,38 +95,45 @@ def window(
     order_by: Sequence[str | Mapping] = (),
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``name`` = ``expression`` OVER (PARTITION BY .. ORDER BY ..).
+    """Add one window column, or replace the column of that name."""
+    return windows(df, [WindowColumn(name, expression, partition_by, order_by)], hot_rows)
 
-    With ``order_by`` the frame runs from the start of the group to the current
-    row and its ties, without it the frame is the whole group. Ascending order
-    puts NULLs first, descending last. Both lists may be empty.
+
+def windows(df: DataFrame, columns: Sequence[WindowColumn], hot_rows: int | None = None) -> DataFrame:
+    """Add window columns one after the other.
+
+    Neighbours that share their groups and do not build on each other are
+    computed together: their group sizes are counted once, and hot groups are
+    put in order once. Groups of more than ``hot_rows`` rows count as hot.
     """
-    if not name or not _IDENTIFIER.fullmatch(name.strip()):
-        raise JobError(f"window: 'name' must be an identifier, not '{name}'")
-    if expression is None:
-        raise JobError("window: 'expression' is required")
-    name = name.strip()
-    orders = [_order(item) for item in order_by]
-    call = _call(expression) if isinstance(expression, str) else None
-    splittable = call is not None and has_unique_names(df)
-    if not orders and splittable and call[0] not in _WINDOW_ONLY:
-        return _whole_group(df, name, expression, list(partition_by))
-    plain = _plain(df, name, expression, partition_by, orders)
-    if not orders or not splittable or not _has_split_form(*call):
-        return plain
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    keys = [f"__key{i}" for i in range(len(partition_by))]
-    keyed = df.withColumns({key: F.col(source) for key, source in zip(keys, partition_by)}) if keys else df
-    hot = hot_groups(keyed, keys, limit)
-    if not hot:
-        return plain
-    split = _Split(keyed, keys, orders, call, hot, limit)
-    valued, value = split.result()
-    result = _with_result(valued, df, name, value.cast(plain.schema[name].dataType))
-    if not keys:
-        return result
-    cold = split.cold().select(*[column(c) for c in df.columns])
-    return _plain(cold, name, expression, partition_by, orders).union(result)
+    for group in _independent(columns):
+        unique = has_unique_names(df)
+        if unique and all(c.is_whole_group() for c in group):
+            df = _whole_groups(df, group)
+        elif unique and all(c.is_splittable() for c in group):
+            df = _ordered(df, group, limit)
+        else:
+            df = _plain(df, group)
+    return df
+
+
+def _independent(columns: Sequence[WindowColumn]) -> Iterator[list[WindowColumn]]:
+    group: list[WindowColumn] = []
+    for one in columns:
+        alike = group and (
+            one.partition_by == group[0].partition_by
+            and one.is_whole_group() == group[0].is_whole_group()
+            and one.is_splittable() == group[0].is_splittable()
+            and not one.mentions([c.name for c in group])
+            and one.name.lower() not in [c.name.lower() for c in group]
+        )
+        if group and not alike:
+            yield group
+            group = []
+        group.append(one)
+    if group:
+        yield group
 
 
 def _order(item: str | Mapping) -> tuple[str, bool]:
@@ -87,38 +148,6 @@ def _sort(source: Column, desc: bool) -> Column:
     return source.desc() if desc else source.asc()
 
 
-def _plain(df, name, expression, partition_by, orders) -> DataFrame:
-    spec = Window.partitionBy(*partition_by)
-    if orders:
-        spec = spec.orderBy(*[_sort(F.col(source), desc) for source, desc in orders])
-    return df.withColumn(name, to_column(df, expression).over(spec))
-
-
-def _whole_group(df, name, expression, partition_by) -> DataFrame:
-    """An aggregate of the whole group, put beside each of its rows.
-
-    Aggregating first and joining back never gathers a group's rows: without
-    ``partition_by`` the value is one scalar, with it Spark broadcasts the
-    groups if they turn out small and otherwise splits skewed join partitions.
-    """
-    value = F.expr(expression.strip()).alias(_VALUE)
-    if not partition_by:
-        return df.withColumn(name, df.agg(value).scalar())
-    keys = [f"__key{i}" for i in range(len(partition_by))]
-    others = [f"__other{i}" for i in range(len(partition_by))]
-    keyed = df.withColumns({key: F.col(source) for key, source in zip(keys, partition_by)})
-    grouped = df.groupBy(*[F.col(source).alias(o) for source, o in zip(partition_by, others)]).agg(value)
-    return _with_result(keyed.join(grouped, same_keys(keys, others)), df, name, F.col(_VALUE))
-
-
-def _with_result(joined: DataFrame, df: DataFrame, name: str, result: Column) -> DataFrame:
-    """The columns of ``df`` with ``name`` replaced in place or appended."""
-    kept = [result.alias(c) if c.lower() == name.lower() else column(c) for c in df.columns]
-    if name.lower() not in [c.lower() for c in df.columns]:
-        kept.append(result.alias(name))
-    return joined.select(*kept)
-
-
 def _call(text: str) -> tuple[str, list[str]] | None:
     """Name and arguments if ``text`` is a single function call."""
     match = _CALL.fullmatch(text)
@@ -154,165 +183,226 @@ def _has_split_form(function: str, arguments: Sequence[str]) -> bool:
     return (function in _POSITIONS or function in _PEERS) and len(arguments) <= 1
 
 
+def _plain(df: DataFrame, group: Sequence[WindowColumn]) -> DataFrame:
+    return reduce(lambda frame, one: frame.withColumn(one.name, one.over(frame)), group, df)
+
+
+def _with_values(joined: DataFrame, df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """The columns of ``df``, with ``values`` replaced in place or appended."""
+    given = {name.lower(): value.alias(name) for name, value in values.items()}
+    present = {c.lower() for c in df.columns}
+    kept = [given.get(c.lower(), column(c)) for c in df.columns]
+    return joined.select(*kept, *[value for name, value in given.items() if name not in present])
+
+
+def _numbered_names(prefix: str, count: int) -> list[str]:
+    return [f"__{prefix}{i}" for i in range(count)]
+
+
+def _aliased(names: Sequence[str], aliases: Sequence[str]) -> list[Column]:
+    return [F.col(name).alias(alias) for name, alias in zip(names, aliases)]
+
+
+def _whole_groups(df: DataFrame, group: Sequence[WindowColumn]) -> DataFrame:
+    """Aggregates of whole groups, put beside each of their rows.
+
+    Aggregating first and joining back never gathers a group's rows: without
+    ``partition_by`` each value is one scalar, with it Spark broadcasts the
+    groups if they turn out small and otherwise splits skewed join partitions.
+    """
+    sources = group[0].partition_by
+    if not sources:
+        return df.withColumns({c.name: df.agg(F.expr(c.expression.strip())).scalar() for c in group})
+    keys, others = _numbered_names("key", len(sources)), _numbered_names("other", len(sources))
+    values = _numbered_names("value", len(group))
+    grouped = df.groupBy(*_aliased(sources, others)).agg(
+        *[F.expr(c.expression.strip()).alias(value) for c, value in zip(group, values)]
+    )
+    joined = df.select("*", *_aliased(sources, keys)).join(grouped, same_keys(keys, others))
+    return _with_values(joined, df, {c.name: F.col(value) for c, value in zip(group, values)})
+
+
+def _ordered(df: DataFrame, group: Sequence[WindowColumn], limit: int) -> DataFrame:
+    plain = _plain(df, group)
+    sources = group[0].partition_by
+    keys, hot_names = _numbered_names("key", len(sources)), _numbered_names("hot", len(sources))
+    keyed = df.select("*", *_aliased(sources, keys))
+    found = hot_groups(keyed, keys, limit)
+    if not found:
+        return plain
+    if not keys:
+        rows, cold = keyed.withColumn(_SIZE, F.lit(found[0][-1])), None
+    else:
+        hot = hot_frame(keyed, keys, hot_names, _SIZE, found)
+        rows = keyed.join(hot, same_keys(keys, hot_names)).drop(*hot_names)
+        cold = keyed.join(hot, same_keys(keys, hot_names), "left_anti").select(*[column(c) for c in df.columns])
+    buckets = max(2, min(_MAX_BUCKETS, math.ceil(sum(row[-1] for row in found) / max(limit, 1))))
+    split = _Split(keys, buckets)
+    # Kept, because it is read several times and its lineage may be long.
+    valued, values = stage(rows), {}
+    for orders in _distinct([c.orders for c in group]):
+        alike = [(at, c) for at, c in enumerate(group) if c.orders == orders]
+        valued, peers = split.by_peers(valued, orders, [(at, c) for at, c in alike if c.function in _PEERS])
+        valued, places = split.by_place(valued, orders, [(at, c) for at, c in alike if c.function in _POSITIONS])
+        values.update(peers | places)
+    types = {c.name: plain.schema[c.name].dataType for c in group}
+    result = _with_values(valued, df, {c.name: values[at].cast(types[c.name]) for at, c in enumerate(group)})
+    return result if cold is None else _plain(cold, group).union(result)
+
+
+def _distinct(items: Sequence) -> list:
+    return [item for at, item in enumerate(items) if item not in items[:at]]
+
+
 class _Split:
-    """One window column for hot groups, whose rows are spread over many tasks."""
-
-    def __init__(
-        self,
-        keyed: DataFrame,
-        keys: Sequence[str],
-        orders: Sequence[tuple[str, bool]],
-        call: tuple[str, list[str]],
-        hot: list[Row],
-        limit: int,
-    ):
-        self.keyed, self.keys, self.orders = keyed, keys, orders
-        self.function, self.arguments = call
-        self.order_names = [f"__order{i}" for i in range(len(orders))]
-        self.hot_names = [f"__hot{i}" for i in range(len(keys))]
-        self.group_rows = hot[0][-1]
-        self.hot = hot_frame(keyed, keys, self.hot_names, _SIZE, hot) if keys else None
-        self.buckets = max(2, min(_MAX_BUCKETS, math.ceil(sum(row[-1] for row in hot) / max(limit, 1))))
-
-    def cold(self) -> DataFrame:
-        """The rows of all other groups."""
-        return self.keyed.join(self.hot, same_keys(self.keys, self.hot_names), "left_anti")
-
-    def result(self) -> tuple[DataFrame, Column]:
-        """The rows of the hot groups, and the value as a column over them."""
-        rows = self.keyed.withColumns(
-            {alias: F.col(source) for alias, (source, _) in zip(self.order_names, self.orders)}
-        )
-        if self.keys:
-            rows = rows.join(self.hot, same_keys(self.keys, self.hot_names)).drop(*self.hot_names)
-        else:
-            rows = rows.withColumn(_SIZE, F.lit(self.group_rows))
-        if self.function in _POSITIONS:
-            return _POSITIONS[self.function](self, rows)
-        return self._by_peers(rows, *_PEERS[self.function])
+    """Window columns of hot groups, whose rows are spread over many tasks.
+
+    ``keys`` name the columns that tell the groups apart.
+    """
 
-    # Spreading rows over ordered buckets
+    def __init__(self, keys: Sequence[str], buckets: int):
+        self.keys, self.buckets = list(keys), buckets
 
-    def _bucketed(self, rows: DataFrame, ties: Sequence[str]) -> DataFrame:
+    def _bucketed(self, rows: DataFrame, sorts: Sequence[Column]) -> DataFrame:
         """``rows`` in window order over range buckets, with the bucket's number.
 
         The bounds are drawn from a sample, so the result is kept: every later
         use must see the same buckets.
         """
-        placed = rows.repartitionByRange(self.buckets, *[F.col(k).asc() for k in self.keys], *self._sorts(ties))
+        placed = rows.repartitionByRange(self.buckets, *[F.col(k).asc() for k in self.keys], *sorts)
         return stage(placed.withColumn(_BUCKET, F.spark_partition_id()))
 
-    def _sorts(self, ties: Sequence[str]) -> list[Column]:
-        return [_sort(F.col(alias), desc) for alias, (_, desc) in zip(self.order_names, self.orders)] + [
-            F.col(tie).asc() for tie in ties
-        ]
-
-    def _running(self, bucketed: DataFrame, ties: Sequence[str], measures: Mapping[str, tuple[Callable, Column]]):
+    def _running(
+        self, bucketed: DataFrame, sorts: Sequence[Column], measures: Mapping[str, tuple[Callable, Column]]
+    ) -> DataFrame:
         """Running totals over whole groups: within the bucket, plus the carry."""
-        local = Window.partitionBy(_BUCKET, *self.keys).orderBy(*self._sorts(ties))
+        local = Window.partitionBy(_BUCKET, *self.keys).orderBy(*sorts)
         local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         earlier = Window.partitionBy(*self.keys).orderBy(_BUCKET)
         earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-        others = ["__carry_bucket"] + [f"__carry{i}" for i in range(len(self.keys))]
-        totals = bucketed.groupBy(_BUCKET, *self.keys).agg(
-            *[total(value).alias(name) for name, (total, value) in measures.items()]
-        )
+        mine = [_BUCKET, *self.keys]
+        others = _numbered_names("carry", len(mine))
+        totals = bucketed.groupBy(*mine).agg(*[total(value).alias(n) for n, (total, value) in measures.items()])
         carried = totals.select(
-            *[F.col(c).alias(o) for c, o in zip([_BUCKET, *self.keys], others)],
-            *[total(F.col(name)).over(earlier).alias(f"{name}_carry") for name, (total, _) in measures.items()],
+            *_aliased(mine, others),
+            *[total(F.col(n)).over(earlier).alias(f"{n}_carry") for n, (total, _) in measures.items()],
         )
-        within = bucketed.withColumns({name: total(value).over(local) for name, (total, value) in measures.items()})
-        joined = within.join(F.broadcast(carried), same_keys([_BUCKET, *self.keys], others))
+        within = bucketed.withColumns({n: total(value).over(local) for n, (total, value) in measures.items()})
         merged = {}
-        for name, (total, _) in measures.items():
-            here, before = F.col(name), F.col(f"{name}_carry")
+        for n, (total, _) in measures.items():
+            here, before = F.col(n), F.col(f"{n}_carry")
             if total is F.sum:
-                merged[name] = F.coalesce(here + before, here, before)
+                merged[n] = F.coalesce(here + before, here, before)
             else:
-                merged[name] = F.least(here, before) if total is F.min else F.greatest(here, before)
-        return joined.withColumns(merged).drop(*others, *[f"{name}_carry" for name in measures])
+                merged[n] = F.least(here, before) if total is F.min else F.greatest(here, before)
+        joined = within.join(F.broadcast(carried), same_keys(mine, others))
+        return joined.withColumns(merged).drop(*others, *[f"{n}_carry" for n in measures], _BUCKET)
 
-    # Functions of a row's place. Rows that tie may come in any order, so a tie
-    # is broken freely and even equal order keys spread over buckets.
+    def by_place(self, rows: DataFrame, orders, columns) -> tuple[DataFrame, dict[int, Column]]:
+        """Functions of a row's place in its group.
 
-    def _numbered(self, rows: DataFrame) -> DataFrame:
-        bucketed = self._bucketed(rows.withColumn(_TIE, F.monotonically_increasing_id()), [_TIE])
-        return self._running(bucketed, [_TIE], {"__number": (F.sum, F.lit(1))})
+        Rows that tie may come in any order, so a tie is broken freely and even
+        rows with equal order keys spread over buckets.
+        """
+        if not columns:
+            return rows, {}
+        sorts = [*[_sort(F.col(source), desc) for source, desc in orders], F.col(_TIE).asc()]
+        bucketed = self._bucketed(rows.withColumn(_TIE, F.monotonically_increasing_id()), sorts)
+        numbered = self._running(bucketed, sorts, {_NUMBER: (F.sum, F.lit(1))}).drop(_TIE)
+        valued, values = numbered, {}
+        for at, one in columns:
+            valued, value = _POSITIONS[one.function](self, valued, numbered, f"__w{at}", one.arguments)
+            values[at] = F.col(f"__w{at}")
+            valued = valued.withColumn(f"__w{at}", value)
+        return valued.drop(_NUMBER), values
+
+    def _row_number(self, valued, numbered, name, arguments):
+        return valued, F.col(_NUMBER)
+
+    def _ntile(self, valued, numbered, name, arguments):
+        tiles = F.lit(int(arguments[0]))
+        place, size = F.col(_NUMBER) - 1, F.col(_SIZE)
+        small, larger = F.floor(size / tiles), size % tiles
+        in_larger = larger * (small + 1)
+        rest = larger + F.floor((place - in_larger) / F.greatest(small, F.lit(1)))
+        return valued, F.when(place < in_larger, F.floor(place / (small + 1))).otherwise(rest) + 1
 
-    def _row_number(self, rows):
-        return self._numbered(rows), F.col("__number")
+    def _lag(self, valued, numbered, name, arguments):
+        return self._neighbour(valued, numbered, name, arguments, 1)
 
-    def _ntile(self, rows):
-        tiles = F.lit(int(self.arguments[0]))
-        place, size = F.col("__number") - 1, F.col(_SIZE)
-        small = F.floor(size / tiles)
-        larger = size % tiles
-        in_larger = larger * (small + 1)
-        tile = F.when(place < in_larger, F.floor(place / (small + 1))).otherwise(
-            larger + F.floor((place - in_larger) / F.greatest(small, F.lit(1)))
-        )
-        return self._numbered(rows), tile + 1
-
-    def _neighbour(self, rows, sign):
-        value = self.arguments[0]
-        step = int(self.arguments[1]) if len(self.arguments) > 1 else 1
-        default = F.expr(self.arguments[2]) if len(self.arguments) > 2 else F.lit(None)
-        numbered = self._numbered(rows)
-        others = [f"__near{i}" for i in range(len(self.keys))]
+    def _lead(self, valued, numbered, name, arguments):
+        return self._neighbour(valued, numbered, name, arguments, -1)
+
+    def _neighbour(self, valued, numbered, name, arguments, sign):
+        step = int(arguments[1]) if len(arguments) > 1 else 1
+        default = F.expr(arguments[2]) if len(arguments) > 2 else F.lit(None)
+        mine = [_NUMBER, *self.keys]
+        others = [f"{name}_{i}" for i in range(len(mine))]
         near = numbered.select(
-            *[F.col(key).alias(other) for key, other in zip(self.keys, others)],
-            (F.col("__number") + sign * step).alias("__near"),
-            F.expr(value).alias(_VALUE),
-            F.lit(True).alias(_FOUND),
+            (F.col(_NUMBER) + sign * step).alias(others[0]),
+            *_aliased(self.keys, others[1:]),
+            F.struct(F.expr(arguments[0]).alias("value")).alias(f"{name}_near"),
         )
         # The row's number is part of the key, so the join is even.
-        matched = same_keys(self.keys, others) & (F.col("__number") == F.col("__near"))
-        return numbered.join(near, matched, "left"), F.when(F.col(_FOUND), F.col(_VALUE)).otherwise(default)
-
-    def _lag(self, rows):
-        return self._neighbour(rows, 1)
-
-    def _lead(self, rows):
-        return self._neighbour(rows, -1)
-
-    def _first(self, rows):
-        numbered = self._numbered(rows)
-        others = [f"__first{i}" for i in range(len(self.keys))]
-        first = numbered.filter(F.col("__number") == 1).select(
-            *[F.col(key).alias(other) for key, other in zip(self.keys, others)],
-            F.expr(self.arguments[0]).alias(_VALUE),
+        joined = valued.join(near, same_keys(mine, others), "left").drop(*others)
+        found = F.col(f"{name}_near")
+        return joined, F.when(found.isNotNull(), found["value"]).otherwise(default)
+
+    def _first(self, valued, numbered, name, arguments):
+        others = [f"{name}_{i}" for i in range(len(self.keys))]
+        first = numbered.filter(F.col(_NUMBER) == 1).select(
+            *_aliased(self.keys, others), F.expr(arguments[0]).alias(f"{name}_first")
         )  # one row per hot group
-        return numbered.join(F.broadcast(first), same_keys(self.keys, others)), F.col(_VALUE)
+        joined = valued.join(F.broadcast(first), same_keys(self.keys, others)).drop(*others)
+        return joined, F.col(f"{name}_first")
 
-    # Functions whose value all tied rows share. Tied rows are aggregated
-    # first, so what is put in order has no ties, and then joined back.
+    def by_peers(self, rows: DataFrame, orders, columns) -> tuple[DataFrame, dict[int, Column]]:
+        """Functions whose value all tied rows share.
 
-    def _by_peers(self, rows: DataFrame, aggregates, measures, value):
-        argument = self.arguments[0] if self.arguments else "1"
-        source = F.lit(1) if argument == "*" else F.expr(argument)
-        peers = rows.groupBy(*self.keys, *self.order_names, _SIZE).agg(
-            F.count(F.lit(1)).alias("__peers"),
-            *[total(source).alias(name) for name, total in aggregates.items()],
-        )
-        running = {"__upto": (F.sum, F.col("__peers")), "__distinct": (F.sum, F.lit(1))}
-        running.update({name: (total, F.col(name)) for name, total in measures.items()})
-        ordered = self._running(self._bucketed(peers, []), [], running)
-        mine = [*self.keys, *self.order_names]
-        others = [f"__peer{i}" for i in range(len(mine))]
-        valued = ordered.select(*[F.col(c).alias(o) for c, o in zip(mine, others)], value().alias(_VALUE))
-        return rows.join(valued, same_keys(mine, others)), F.col(_VALUE)
+        Tied rows are aggregated first, so what is put in order has no ties,
+        and then joined back.
+        """
+        if not columns:
+            return rows, {}
+        at_first = columns[0][0]
+        names = [f"__order{at_first}_{i}" for i in range(len(orders))]
+        sorts = [_sort(F.col(name), desc) for name, (_, desc) in zip(names, orders)]
+        rows = rows.select("*", *_aliased([source for source, _ in orders], names))
+        mine = [*self.keys, *names]
+        aggregates, running, values = [], {_UPTO: (F.sum, F.col(_COUNT)), _DISTINCT: (F.sum, F.lit(1))}, []
+        for at, one in columns:
+            parts, value = _PEERS[one.function]
+            argument = one.arguments[0] if one.arguments else "1"
+            source = F.lit(1) if argument == "*" else F.expr(argument)
+            found = {}
+            for part, (partial, total) in parts.items():
+                name = f"__w{at}_{part}"
+                aggregates.append(partial(source).alias(name))
+                running[name] = (total, F.col(name))
+                found[part] = F.col(name)
+            values.append(value(**found).alias(f"__w{at}"))
+        peers = rows.groupBy(*mine, _SIZE).agg(F.count(F.lit(1)).alias(_COUNT), *aggregates)
+        ordered = self._running(self._bucketed(peers, sorts), sorts, running)
+        others = _numbered_names(f"peer{at_first}_", len(mine))
+        joined = rows.join(ordered.select(*_aliased(mine, others), *values), same_keys(mine, others))
+        return joined.drop(*others, *names), {at: F.col(f"__w{at}") for at, _ in columns}
+
+
+# Running totals every peer function can use: rows up to and with the ties,
+# rows among the ties, order keys so far.
+_UPTO, _COUNT, _DISTINCT = "__upto", "__peers", "__distinct"
 
 
 def _rank() -> Column:
-    return F.col("__upto") - F.col("__peers") + 1
+    return F.col(_UPTO) - F.col(_COUNT) + 1
 
 
 def _percent_rank() -> Column:
     return F.when(F.col(_SIZE) > 1, (_rank() - 1) / F.greatest(F.col(_SIZE) - 1, F.lit(1))).otherwise(F.lit(0.0))
 
 
-def _average() -> Column:
-    return F.when(F.col("__n") > 0, F.col("__sum") / F.greatest(F.col("__n"), F.lit(1)))
+def _average(total: Column, n: Column) -> Column:
+    return F.when(n > 0, total / F.greatest(n, F.lit(1)))
 
 
 _POSITIONS = {
@@ -324,16 +414,17 @@ _POSITIONS = {
     "first_value": _Split._first,
 }
 
-# Aggregates of tied rows, the running total of each, and the value from them.
+# Per function the parts it needs, each as an aggregate of tied rows and its
+# running total, and the value made of them.
 _PEERS = {
-    "rank": ({}, {}, _rank),
-    "dense_rank": ({}, {}, lambda: F.col("__distinct")),
-    "percent_rank": ({}, {}, _percent_rank),
-    "cume_dist": ({}, {}, lambda: F.col("__upto") / F.col(_SIZE)),
-    "count": ({"__n": F.count}, {"__n": F.sum}, lambda: F.col("__n")),
-    "sum": ({"__sum": F.sum}, {"__sum": F.sum}, lambda: F.col("__sum")),
-    "avg": ({"__sum": F.sum, "__n": F.count}, {"__sum": F.sum, "__n": F.sum}, _average),
-    "mean": ({"__sum": F.sum, "__n": F.count}, {"__sum": F.sum, "__n": F.sum}, _average),
-    "min": ({"__low": F.min}, {"__low": F.min}, lambda: F.col("__low")),
-    "max": ({"__high": F.max}, {"__high": F.max}, lambda: F.col("__high")),
+    "rank": ({}, _rank),
+    "dense_rank": ({}, lambda: F.col(_DISTINCT)),
+    "percent_rank": ({}, _percent_rank),
+    "cume_dist": ({}, lambda: F.col(_UPTO) / F.col(_SIZE)),
+    "count": ({"n": (F.count, F.sum)}, lambda n: n),
+    "sum": ({"total": (F.sum, F.sum)}, lambda total: total),
+    "avg": ({"total": (F.sum, F.sum), "n": (F.count, F.sum)}, _average),
+    "mean": ({"total": (F.sum, F.sum), "n": (F.count, F.sum)}, _average),
+    "min": ({"low": (F.min, F.min)}, lambda low: low),
+    "max": ({"high": (F.max, F.max)}, lambda high: high),
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -81,11 +81,28 @@ class Job:
         """
         register(spark, self.functions)
         frames = self._read(spark, given or {})
-        for step in self.transforms:
-            output, df = self._apply(spark, step, frames)
+        for steps in self._together():
+            output, df = self._apply(spark, steps, frames)
             frames[output] = df
         return frames
 
+    def _together(self) -> Iterator[list[Step]]:
+        """Single steps, but window steps that extend one frame as a run."""
+        run: list[Step] = []
+        for step in self.transforms:
+            source = step.source or self.default_source
+            extends = step.transform_type == "window" and step.output in (None, source)
+            if run and not (extends and source == (run[0].source or self.default_source)
+                            and step.hot_rows == run[0].hot_rows):
+                yield run
+                run = []
+            if extends:
+                run.append(step)
+            else:
+                yield [step]
+        if run:
+            yield run
+
     def result(self, spark: SparkSession, given: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """What the sink receives, or the default frame of a job without one."""
         if self.body is not None:
@@ -122,7 +139,8 @@ class Job:
     def _read(self, spark: SparkSession, given: Mapping[str, DataFrame]) -> Frames:
         return {s.name: given[s.name] if s.name in given else read(spark, s) for s in self.sources}
 
-    def _apply(self, spark: SparkSession, step: Step, frames: Frames) -> tuple[str, DataFrame]:
+    def _apply(self, spark: SparkSession, steps: list[Step], frames: Frames) -> tuple[str, DataFrame]:
+        step = steps[0]
         kind = step.transform_type
         if kind == "sql":
             return step.output or self.default_source, operators.sql(spark, frames, step.query)
@@ -138,6 +156,9 @@ class Job:
             function = require(step.function, "custom transform", "function")
             return output, function(spark, dict(frames))
         df = _named(frames, source, f"{kind} transform")
+        if kind == "window":
+            columns = [operators.WindowColumn(s.name, s.expression, s.partition_by, s.order_by) for s in steps]
+            return output, operators.windows(df, columns, step.hot_rows)
         return output, _STEPS[kind](df, step)
 
 
@@ -156,9 +177,6 @@ _STEPS: dict[str, Callable[[DataFrame, Step], DataFrame]] = {
         df, require(step.name, "add_column transform", "name"), step.expression
     ),
     "aggregate": lambda df, step: operators.aggregate(df, step.group_by, step.aggs),
-    "window": lambda df, step: operators.window(
-        df, step.name, step.expression, step.partition_by, step.order_by, step.hot_rows
-    ),
 }
 
 
