@@ -20,7 +20,8 @@ def http_json_read(spark, sf_dir):
     events = result(spark, sf_dir, "events")
     address = F.expr("concat('data:application/json,', replace(url_encode(to_json(struct("
                      "event_id, user_id, event_type, value))), '+', '%20'))")
-    return fetch_records(events, address, "event_id bigint, user_id bigint, event_type string, value double")
+    return fetch_records(events, address, "event_id bigint, user_id bigint, event_type string, value double",
+                         parallelism=spark.sparkContext.defaultParallelism)
 
 
 @F.pandas_udf(DoubleType())

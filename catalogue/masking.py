@@ -20,23 +20,17 @@ _LUHN = """list_sum(list_transform(range(1, length({0}) + 1), lambda j:
 
 
 def _masked(table: str, key: str, column: str) -> str:
-    """Text of one column as it is masked step by step, with counts."""
+    """Text of one column as it is masked step by step."""
     digits = "regexp_replace(found[i], '[ -]', '', 'g')"
     return f"""
-    s1 AS (SELECT {key} AS id, regexp_replace({column}, '{_SSN}', '****', 'g') AS t,
-                  len(regexp_extract_all({column}, '{_SSN}')) AS ssn FROM {table}),
-    s2 AS (SELECT id, ssn, t, regexp_extract_all(t, '{_CARD}') AS found, regexp_split_to_array(t, '{_CARD}') AS pieces FROM s1),
-    s3 AS (SELECT id, ssn,
-                  len(list_filter(range(1, len(found) + 1), lambda i: {_LUHN.format(digits)})) AS card,
-                  CASE WHEN len(found) = 0 THEN t ELSE array_to_string(list_transform(range(1, len(pieces) + 1),
+    s1 AS (SELECT {key} AS id, regexp_replace({column}, '{_EMAIL}', '****', 'g') AS t FROM {table}),
+    s2 AS (SELECT id, regexp_replace(t, '{_SSN}', '****', 'g') AS t FROM s1),
+    s3 AS (SELECT *, regexp_extract_all(t, '{_CARD}') AS found, regexp_split_to_array(t, '{_CARD}') AS pieces FROM s2),
+    s4 AS (SELECT id, CASE WHEN len(found) = 0 THEN t ELSE array_to_string(list_transform(range(1, len(pieces) + 1),
                       lambda i: pieces[i] || CASE WHEN i > len(found) THEN '' WHEN {_LUHN.format(digits)} THEN '****'
-                                                  ELSE found[i] END), '') END AS t FROM s2),
-    s4 AS (SELECT id, ssn, card, len(regexp_extract_all(t, '{_EMAIL}')) AS email,
-                  regexp_replace(t, '{_EMAIL}', '****', 'g') AS t FROM s3),
-    s5 AS (SELECT id, ssn, card, email, len(regexp_extract_all(t, '{_IP}')) AS ip,
-                  regexp_replace(t, '{_IP}', '****', 'g') AS t FROM s4),
-    s6 AS (SELECT id, ssn, card, email, ip, len(regexp_extract_all(t, '{_PHONE}')) AS phone,
-                  regexp_replace(t, '{_PHONE}', '\\1****', 'g') AS t FROM s5)"""
+                                                  ELSE found[i] END), '') END AS t FROM s3),
+    s5 AS (SELECT id, regexp_replace(t, '{_IP}', '****', 'g') AS t FROM s4),
+    s6 AS (SELECT id, regexp_replace(t, '{_PHONE}', '\\1****', 'g') AS t FROM s5)"""
 
 
 @query(f"""WITH {_masked('documents', 'doc_id', 'text')}
@@ -60,23 +54,30 @@ def pii_redact_nested(spark, sf_dir):
     return masked.selectExpr("id", "turns[0].said AS said")
 
 
-_COUNTS = {"USA_SSN": "ssn", "CREDIT_CARD": "card", "EMAIL": "email", "IP_ADDRESS": "ip", "PHONE_NUMBER": "phone"}
+_FOUND = {
+    "USA_SSN": f"len(regexp_extract_all(text, '{_SSN}'))",
+    "CREDIT_CARD": f"""len(list_filter(list_transform(regexp_extract_all(text, '{_CARD}'),
+                       lambda found: regexp_replace(found, '[ -]', '', 'g')), lambda found: {_LUHN.format('found')}))""",
+    "EMAIL": f"len(regexp_extract_all(text, '{_EMAIL}'))",
+    "IP_ADDRESS": f"len(regexp_extract_all(text, '{_IP}'))",
+    "PHONE_NUMBER": f"len(regexp_extract_all(text, '{_PHONE}'))",
+}
 
+_ORACLE_FOUND = "WITH found AS (" + " UNION ALL ".join(
+    f"SELECT doc_id, '{entity}' AS entity, {number} AS n FROM documents" for entity, number in _FOUND.items()
+) + ")"
 
-@query(f"WITH {_masked('documents', 'doc_id', 'text')} " + " UNION ALL ".join(
-    f"""SELECT '{entity}' AS entity, 'text' AS "column", count(*) FILTER (WHERE {n} > 0) AS "rows",
-               CAST(coalesce(sum({n}), 0) AS BIGINT) AS matches FROM s6"""
-    for entity, n in _COUNTS.items()
-))
+
+@query(f"""{_ORACLE_FOUND}
+    SELECT entity, 'text' AS "column", count(*) FILTER (WHERE n > 0) AS "rows", CAST(sum(n) AS BIGINT) AS matches
+    FROM found GROUP BY entity""")
 def pii_detect_report(spark, sf_dir):
     documents = result(spark, sf_dir, "documents", step("select", columns=["doc_id", "text"]))
     return pii.report(documents, _ENTITIES)
 
 
-@query(f"WITH {_masked('documents', 'doc_id', 'text')} " + " UNION ALL ".join(
-    f"""SELECT id AS doc_id, 'text' AS "column", '{entity}' AS entity, CAST({n} AS INTEGER) AS n FROM s6 WHERE {n} > 0"""
-    for entity, n in _COUNTS.items()
-))
+@query(f"""{_ORACLE_FOUND}
+    SELECT doc_id, 'text' AS "column", entity, CAST(n AS INTEGER) AS n FROM found WHERE n > 0""")
 def pii_detect_rows(spark, sf_dir):
     documents = result(spark, sf_dir, "documents", step("select", columns=["doc_id", "text"]))
     return pii.detect(documents, _ENTITIES).selectExpr("doc_id", f"inline({pii.DETECTED})")

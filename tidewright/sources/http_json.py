@@ -18,6 +18,9 @@ from tidewright.work import new_folder
 # The fetching code travels with the job, so executors need not have it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Records handed on at a time.
+_BATCH = 1_000
+
 
 def fetch_records(
     df: DataFrame,
@@ -25,28 +28,38 @@ def fetch_records(
     schema: StructType | str | None = None,
     headers: Mapping[str, str] | None = None,
     timeout: float = 60.0,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """One row per JSON record found at the URLs of ``df``.
 
     A document is a list of records or one record. The requests of a partition
-    run one after the other, so the partitioning of ``df`` says how many are
-    open at a time. An answer other than success fails the task, which Spark
-    tries again. Without a ``schema`` the documents are fetched once into the
-    shared folder and the schema is inferred from there.
+    run one after the other: ``parallelism``, or else the partitioning of
+    ``df``, says how many are open at a time. An answer other than success
+    fails the task, which Spark tries again. Without a ``schema`` the documents
+    are fetched once into the shared folder and the schema is inferred there.
     """
     sent = dict(headers or {})
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            records: list[str] = []
             for address in batch["url"]:
                 request = urllib.request.Request(address, headers=sent)
                 with urllib.request.urlopen(request, timeout=timeout) as answer:
                     document = json.load(answer)
-                records = document if isinstance(document, list) else [document]
-                yield pd.DataFrame({"value": [json.dumps(record) for record in records]}, dtype="object")
+                found = document if isinstance(document, list) else [document]
+                records.extend(json.dumps(record) for record in found)
+                if len(records) >= _BATCH:
+                    yield pd.DataFrame({"value": records})
+                    records = []
+            if records:
+                yield pd.DataFrame({"value": records})
 
     source = F.col(url) if isinstance(url, str) else url
-    records = df.select(source.alias("url")).mapInPandas(fetch, "value string")
+    urls = df.select(source.alias("url"))
+    if parallelism:
+        urls = urls.repartition(parallelism)
+    records = urls.mapInPandas(fetch, "value string")
     if schema is None:
         folder = new_folder(df.sparkSession, "http")
         records.write.text(folder)
@@ -73,10 +86,10 @@ def read_http_json(
     """
     require(url, "http source", "url")
     if pages:
-        numbers = spark.range(int(pages["first"]), int(pages["last"]) + 1, 1, parallelism)
+        numbers = spark.range(int(pages["first"]), int(pages["last"]) + 1)
         urls = numbers.select(F.replace(F.lit(url), F.lit("{page}"), F.col("id").cast("string")).alias("url"))
     else:
         listed = [url] if isinstance(url, str) else list(url)
         urls = spark.createDataFrame([(one,) for one in listed], "url string")
-        urls = urls.repartition(min(parallelism, len(listed)))
-    return fetch_records(urls, "url", schema, headers, timeout)
+        parallelism = min(parallelism, len(listed))
+    return fetch_records(urls, "url", schema, headers, timeout, parallelism)
