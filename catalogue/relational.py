@@ -75,18 +75,20 @@ def sql_step_rebound_view(spark, sf_dir):
     )
 
 
-# Joins. The sides are filtered so that both have rows without a partner.
+# Joins. The sides are filtered so that both have rows without a partner. The
+# order's key is text, so that NULLs among numbers compare alike everywhere.
 
 _SIDES = [
     *_CUSTKEY,
     step("filter", source="orders", condition="o_totalprice > 50000 and custkey % 5 <> 0"),
     step("filter", source="customer", condition="c_acctbal > 0"),
+    step("add_column", source="orders", name="o_orderkey", expression="cast(o_orderkey as string)"),
     step("select", source="orders", columns=["custkey", "o_orderkey"]),
     step("select", source="customer", columns=["custkey", "c_mktsegment"]),
 ]
 
 _ORACLE_SIDES = """
-    WITH o AS (SELECT o_custkey AS custkey, o_orderkey FROM orders
+    WITH o AS (SELECT o_custkey AS custkey, CAST(o_orderkey AS VARCHAR) AS o_orderkey FROM orders
                WHERE o_totalprice > 50000 AND o_custkey % 5 <> 0),
          c AS (SELECT c_custkey AS custkey, c_mktsegment FROM customer WHERE c_acctbal > 0)
 """
@@ -333,7 +335,7 @@ def rollup(spark, sf_dir):
 
 
 _GROUPING_SETS = """
-    SELECT c_mktsegment, c_nationkey, count(*) AS n
+    SELECT c_mktsegment, CAST(c_nationkey AS VARCHAR(10)) AS nation, count(*) AS n
     FROM customer GROUP BY GROUPING SETS ((c_mktsegment), (c_nationkey), ())
 """
 

@@ -42,7 +42,7 @@ def void_free(spark, sf_dir):
 
 @query("""
     SELECT event_id, CAST(NULL AS DOUBLE) AS value, event_type AS kind, user_id AS who, CAST(NULL AS VARCHAR) AS note,
-           TRY_CAST(CASE WHEN event_type = 'error' THEN 'oops' ELSE CAST(event_id % 50 AS VARCHAR) END AS INTEGER) AS code,
+           CASE WHEN event_type <> 'error' THEN CAST(event_id % 50 AS VARCHAR) END AS code,
            event_id % 7 AS extra
     FROM events
 """)
@@ -55,7 +55,7 @@ def merge_conform(spark, sf_dir):
                named_struct('who', user_id, 'kind', event_type) AS st, event_id, NULL AS nothing
         FROM events""").result(spark)
     out = conform(batch, merge_schema(live, void_free_schema(batch.schema)))
-    return out.select("event_id", "value", "st.*", "code", "extra")
+    return out.select("event_id", "value", "st.*", F.col("code").cast("string"), "extra")
 
 
 @query("SELECT event_id, event_type AS kind FROM events")
@@ -145,9 +145,9 @@ def file_formats_roundtrip(spark, sf_dir):
 
 
 @query("""
-    SELECT event_id, value, event_type AS kind, CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE user_id END AS who,
+    SELECT event_id, value, event_type AS kind, CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE CAST(user_id AS VARCHAR) END AS who,
            CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE props END AS note,
-           CASE WHEN event_type IN ('click', 'view') THEN CAST(event_id % 10 AS INTEGER) END AS code
+           CASE WHEN event_type IN ('click', 'view') THEN CAST(event_id % 10 AS VARCHAR) END AS code
     FROM events
 """)
 def table_create_evolve_append(spark, sf_dir):
@@ -159,7 +159,8 @@ def table_create_evolve_append(spark, sf_dir):
     _events(sf_dir, """
         SELECT props AS note, cast(value AS string) AS value, named_struct('who', user_id, 'kind', event_type) AS st, event_id
         FROM events WHERE event_type NOT IN ('click', 'view')""", sink=sink).run(spark)
-    return spark.table(f"{database}.evolving").select("event_id", "value", "st.kind", "st.who", "note", "code")
+    numbers = [F.col(path).cast("string").alias(name) for path, name in (("st.who", "who"), ("code", "code"))]
+    return spark.table(f"{database}.evolving").select("event_id", "value", "st.kind", "note", *numbers)
 
 
 @query("""

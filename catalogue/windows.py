@@ -61,7 +61,9 @@ _NEIGHBOURS = """
     SELECT event_id,
            lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before,
            lead(event_id, 3, -1) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS third_after,
-           first_value(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS opening
+           first_value(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS opening,
+           last_value(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS closing,
+           nth_value(value, 5) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS fifth
     FROM events
 """
 
@@ -72,7 +74,9 @@ def _neighbours(spark, sf_dir, hot_rows):
         _window("before", "lag(value)", ["event_type"], _IN_TIME, hot_rows),
         _window("third_after", "lead(event_id, 3, -1L)", ["event_type"], _IN_TIME, hot_rows),
         _window("opening", "first_value(value)", ["event_type"], _IN_TIME, hot_rows),
-        step("select", columns=["event_id", "before", "third_after", "opening"]),
+        _window("closing", "last_value(value)", ["event_type"], _IN_TIME, hot_rows),
+        _window("fifth", "nth_value(value, 5)", ["event_type"], _IN_TIME, hot_rows),
+        step("select", columns=["event_id", "before", "third_after", "opening", "closing", "fifth"]),
     )
 
 
@@ -86,20 +90,6 @@ def window_lag_split(spark, sf_dir):
     return _neighbours(spark, sf_dir, _a_tenth(spark, sf_dir))
 
 
-@query("""
-    SELECT event_id, nth_value(event_id, 2) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS second,
-           last_value(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS latest
-    FROM events
-""")
-def window_values(spark, sf_dir):
-    return result(
-        spark, sf_dir, "events",
-        _window("second", "nth_value(event_id, 2)", ["user_id"], _IN_TIME),
-        _window("latest", "last_value(event_id)", ["user_id"], _IN_TIME),
-        step("select", columns=["event_id", "second", "latest"]),
-    )
-
-
 # With an order the frame ends at the current row's ties.
 _RUNNING = _ORACLE_KEYED + """
     SELECT event_id,

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tidewright.errors import JobError
-from tidewright.operators import window
+from tidewright.operators import WindowColumn, window, windows
 
 EXPRESSIONS = [
     "row_number()",
@@ -15,6 +15,8 @@ EXPRESSIONS = [
     "lag(v, 3, -1)",
     "lead(v, 2)",
     "first_value(v)",
+    "last_value(v)",
+    "nth_value(v, 9)",
     "count(*)",
     "count(v)",
     "sum(v)",
@@ -63,6 +65,24 @@ def test_ties_share_one_value(frame, expression):
     assert rows(window(frame, "w", expression, ["g"], ["o"], hot_rows=300)) == rows(plain)
 
 
+def test_nth_value_is_seen_by_its_ties(spark):
+    ties = spark.range(100).selectExpr("id div 10 as o", "id div 10 * 2 as v", "1 as g")
+    plain = ties.withColumn("w", F.expr("nth_value(v, 15)").over(Window.partitionBy("g").orderBy("o")))
+    assert rows(window(ties, "w", "nth_value(v, 15)", ["g"], ["o"], hot_rows=20)) == rows(plain)
+
+
+def test_columns_that_build_on_each_other(frame):
+    columns = [WindowColumn("a", "row_number()", ["g"], ["u"]), WindowColumn("b", "sum(v)", ["g"], ["o"]),
+               WindowColumn("c", "lag(a)", ["g"], ["u"]), WindowColumn("t", "sum(a)", ["g"]),
+               WindowColumn("s", "stddev(v)", ["g"], ["o"]), WindowColumn("n", "count(*)", ["g"])]
+    by_u, by_o, whole = Window.partitionBy("g").orderBy("u"), Window.partitionBy("g").orderBy("o"), Window.partitionBy("g")
+    plain = (frame.withColumn("a", F.expr("row_number()").over(by_u)).withColumn("b", F.sum("v").over(by_o))
+             .withColumn("c", F.lag("a").over(by_u)).withColumn("t", F.sum("a").over(whole))
+             .withColumn("s", F.stddev("v").over(by_o)).withColumn("n", F.count("*").over(whole)))
+    got = windows(frame, columns, hot_rows=300)
+    assert got.columns == plain.columns and rows(got) == rows(plain)
+
+
 def test_row_number_spreads_a_single_tie(frame):
     same = frame.withColumn("o", F.lit(1))
     numbered = window(same, "n", "row_number()", [], ["o"], hot_rows=100)

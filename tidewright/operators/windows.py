@@ -176,6 +176,8 @@ def _call(text: str) -> tuple[str, list[str]] | None:
 
 
 def _has_split_form(function: str, arguments: Sequence[str]) -> bool:
+    if function == "nth_value":
+        return len(arguments) == 2 and arguments[1].isdigit() and int(arguments[1]) > 0
     if function in ("lag", "lead"):
         return len(arguments) in (1, 2, 3) and all(a.isdigit() for a in arguments[1:2])
     if function == "ntile":
@@ -311,50 +313,66 @@ class _Split:
         numbered = self._running(bucketed, sorts, {_NUMBER: (F.sum, F.lit(1))}).drop(_TIE)
         valued, values = numbered, {}
         for at, one in columns:
-            valued, value = _POSITIONS[one.function](self, valued, numbered, f"__w{at}", one.arguments)
+            valued, value = _POSITIONS[one.function](self, valued, numbered, f"__w{at}", one)
             values[at] = F.col(f"__w{at}")
             valued = valued.withColumn(f"__w{at}", value)
         return valued.drop(_NUMBER), values
 
-    def _row_number(self, valued, numbered, name, arguments):
+    def _row_number(self, valued, numbered, name, one):
         return valued, F.col(_NUMBER)
 
-    def _ntile(self, valued, numbered, name, arguments):
-        tiles = F.lit(int(arguments[0]))
+    def _ntile(self, valued, numbered, name, one):
+        tiles = F.lit(int(one.arguments[0]))
         place, size = F.col(_NUMBER) - 1, F.col(_SIZE)
         small, larger = F.floor(size / tiles), size % tiles
         in_larger = larger * (small + 1)
         rest = larger + F.floor((place - in_larger) / F.greatest(small, F.lit(1)))
         return valued, F.when(place < in_larger, F.floor(place / (small + 1))).otherwise(rest) + 1
 
-    def _lag(self, valued, numbered, name, arguments):
-        return self._neighbour(valued, numbered, name, arguments, 1)
+    def _lag(self, valued, numbered, name, one):
+        return self._neighbour(valued, numbered, name, one, 1)
 
-    def _lead(self, valued, numbered, name, arguments):
-        return self._neighbour(valued, numbered, name, arguments, -1)
+    def _lead(self, valued, numbered, name, one):
+        return self._neighbour(valued, numbered, name, one, -1)
 
-    def _neighbour(self, valued, numbered, name, arguments, sign):
-        step = int(arguments[1]) if len(arguments) > 1 else 1
-        default = F.expr(arguments[2]) if len(arguments) > 2 else F.lit(None)
+    def _neighbour(self, valued, numbered, name, one, sign):
+        value, *rest = one.arguments
+        steps = int(rest[0]) if rest else 1
+        default = F.expr(rest[1]) if len(rest) > 1 else F.lit(None)
         mine = [_NUMBER, *self.keys]
         others = [f"{name}_{i}" for i in range(len(mine))]
         near = numbered.select(
-            (F.col(_NUMBER) + sign * step).alias(others[0]),
+            (F.col(_NUMBER) + sign * steps).alias(others[0]),
             *_aliased(self.keys, others[1:]),
-            F.struct(F.expr(arguments[0]).alias("value")).alias(f"{name}_near"),
+            F.struct(F.expr(value).alias("value")).alias(f"{name}_near"),
         )
         # The row's number is part of the key, so the join is even.
         joined = valued.join(near, same_keys(mine, others), "left").drop(*others)
         found = F.col(f"{name}_near")
         return joined, F.when(found.isNotNull(), found["value"]).otherwise(default)
 
-    def _first(self, valued, numbered, name, arguments):
+    def _at(self, valued, numbered, name, value, place) -> DataFrame:
+        """``valued`` with the value of the group's row number ``place``."""
         others = [f"{name}_{i}" for i in range(len(self.keys))]
-        first = numbered.filter(F.col(_NUMBER) == 1).select(
-            *_aliased(self.keys, others), F.expr(arguments[0]).alias(f"{name}_first")
-        )  # one row per hot group
-        joined = valued.join(F.broadcast(first), same_keys(self.keys, others)).drop(*others)
-        return joined, F.col(f"{name}_first")
+        found = numbered.filter(F.col(_NUMBER) == place).select(
+            *_aliased(self.keys, others), F.struct(*value).alias(f"{name}_at")
+        )  # at most one row per hot group
+        return valued.join(F.broadcast(found), same_keys(self.keys, others), "left").drop(*others)
+
+    def _first(self, valued, numbered, name, one):
+        joined = self._at(valued, numbered, name, [F.expr(one.arguments[0]).alias("value")], 1)
+        return joined, F.col(f"{name}_at")["value"]
+
+    def _nth(self, valued, numbered, name, one):
+        place = int(one.arguments[1])
+        sources = [source for source, _ in one.orders]
+        keys = [F.col(source).alias(f"order{i}") for i, source in enumerate(sources)]
+        joined = self._at(valued, numbered, name, [F.expr(one.arguments[0]).alias("value"), *keys], place)
+        found = F.col(f"{name}_at")
+        ties = reduce(
+            lambda a, b: a & b, [F.col(source).eqNullSafe(found[f"order{i}"]) for i, source in enumerate(sources)]
+        )
+        return joined, F.when(found.isNotNull() & ((F.col(_NUMBER) >= place) | ties), found["value"])
 
     def by_peers(self, rows: DataFrame, orders, columns) -> tuple[DataFrame, dict[int, Column]]:
         """Functions whose value all tied rows share.
@@ -378,7 +396,8 @@ class _Split:
             for part, (partial, total) in parts.items():
                 name = f"__w{at}_{part}"
                 aggregates.append(partial(source).alias(name))
-                running[name] = (total, F.col(name))
+                if total is not None:
+                    running[name] = (total, F.col(name))
                 found[part] = F.col(name)
             values.append(value(**found).alias(f"__w{at}"))
         peers = rows.groupBy(*mine, _SIZE).agg(F.count(F.lit(1)).alias(_COUNT), *aggregates)
@@ -412,10 +431,11 @@ _POSITIONS = {
     "lead": _Split._lead,
     "first": _Split._first,
     "first_value": _Split._first,
+    "nth_value": _Split._nth,
 }
 
 # Per function the parts it needs, each as an aggregate of tied rows and its
-# running total, and the value made of them.
+# running total (None: of the tied rows only), and the value made of them.
 _PEERS = {
     "rank": ({}, _rank),
     "dense_rank": ({}, lambda: F.col(_DISTINCT)),
@@ -427,4 +447,6 @@ _PEERS = {
     "mean": ({"total": (F.sum, F.sum), "n": (F.count, F.sum)}, _average),
     "min": ({"low": (F.min, F.min)}, lambda low: low),
     "max": ({"high": (F.max, F.max)}, lambda high: high),
+    "last": ({"own": (F.last, None)}, lambda own: own),
+    "last_value": ({"own": (F.last, None)}, lambda own: own),
 }
