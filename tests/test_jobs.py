@@ -1,4 +1,6 @@
 import json
+import os
+import shutil
 
 import pandas as pd
 import pytest
@@ -121,6 +123,23 @@ transforms:
     assert rows(job.result(spark).filter("n = 1").select("id")) == [(3,), (4,), (5,)]
 
 
+def test_settings_of_a_service_and_imports(spark, data):
+    job = Job.from_dict(config(
+        data, job_type="any", config={"service": {"bookmark": "enabled", "workers": 2}}, state_path=f"{data}/state",
+        imports=[{"name": "capwords", "from": "string"}],
+        transforms=[{"transform_type": "sql", "source": "customers", "query":
+                     "select capwords(concat('new ', name)) as name from customers"}],
+        sink={"sink_type": "iceberg", "database": "svc_db", "table": "t", "path": f"{data}/svc", "catalog": "none"}))
+    assert job.bookmark == "enabled"
+    job.run(spark)
+    try:
+        assert rows(spark.table("svc_db.t")) == [("New N0",), ("New N1",)]
+    finally:
+        spark.sql("drop database svc_db cascade")
+    with pytest.raises(JobError):
+        Job.from_dict({"imports": [{"name": "nope", "from": "string"}]})
+
+
 def incremental(data, **sink):
     return Job.from_dict(config(
         data, bookmark="enabled", state_path=f"{data}/state",
@@ -140,6 +159,20 @@ def test_incremental_runs(spark, data):
     assert out.count() == 8 and out.filter("id >= 100 and name is null").count() == 2
 
 
+def test_incremental_run_over_partitions_and_odd_names(spark, folder):
+    spark.sql("select 1 as id, 'a b%:c' as p union all select 2, 'x'").write.partitionBy("p").parquet(f"{folder}/in")
+    spark.sql("select 3 as id").coalesce(1).write.parquet(f"{folder}/tmp")
+    [part] = [f for f in os.listdir(f"{folder}/tmp") if f.endswith(".parquet")]
+    os.makedirs(f"{folder}/in/p=y")
+    shutil.copy(f"{folder}/tmp/{part}", f"{folder}/in/p=y/odd [1] {{2}}.parquet")
+    job = Job.from_dict({
+        "sources": [{"name": "s", "source_type": "file", "path": f"{folder}/in"}], "bookmark": "enabled",
+        "state_path": f"{folder}/state", "sink": {"sink_type": "file", "path": f"{folder}/out", "mode": "append"}})
+    job.run(spark)
+    job.run(spark)
+    assert rows(spark.read.parquet(f"{folder}/out")) == [(1, "a b%:c"), (2, "x"), (3, "y")]
+
+
 def test_a_failed_run_is_repeated(spark, data):
     with pytest.raises(Exception):
         incremental(data, format="nonsense").run(spark)

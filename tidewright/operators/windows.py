@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tidewright.errors import JobError
-from tidewright.names import Expression, column, expression as to_column, has_unique_names
+from tidewright.names import Expression, column, expression as to_column, fold, has_unique_names, is_case_sensitive
 from tidewright.operators.skew import HOT_ROWS, hot_frame, hot_groups, same_keys
 from tidewright.work import stage
 
@@ -191,9 +191,10 @@ def _plain(df: DataFrame, group: Sequence[WindowColumn]) -> DataFrame:
 
 def _with_values(joined: DataFrame, df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """The columns of ``df``, with ``values`` replaced in place or appended."""
-    given = {name.lower(): value.alias(name) for name, value in values.items()}
-    present = {c.lower() for c in df.columns}
-    kept = [given.get(c.lower(), column(c)) for c in df.columns]
+    exact = is_case_sensitive(df)
+    given = {fold(name, exact): value.alias(name) for name, value in values.items()}
+    present = {fold(c, exact) for c in df.columns}
+    kept = [given.get(fold(c, exact), column(c)) for c in df.columns]
     return joined.select(*kept, *[value for name, value in given.items() if name not in present])
 
 

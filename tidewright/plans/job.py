@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Callable, Iterator, Mapping
+import importlib
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -44,8 +45,18 @@ class Job:
 
     @classmethod
     def from_dict(cls, config: Mapping[str, Any]) -> Job:
-        """A job from nested mappings, as JSON or YAML files hold them."""
+        """A job from nested mappings, as JSON or YAML files hold them.
+
+        ``imports`` lists functions by ``name`` and the module they come
+        ``from``. Of ``config``, which describes a service to run the job on,
+        only a ``bookmark`` setting counts; ``job_type`` is not needed.
+        """
         given = dict(config)
+        given.pop("job_type", None)
+        for provider in (given.pop("config", None) or {}).values():
+            if isinstance(provider, Mapping) and "bookmark" in provider:
+                given.setdefault("bookmark", provider["bookmark"])
+        given["functions"] = {**_imported(given.pop("imports", None) or []), **(given.get("functions") or {})}
         given["sources"] = [
             build(Source, source, f"source '{source.get('name')}'", "source_type", SOURCE_TYPES)
             for source in given.get("sources") or []
@@ -162,6 +173,17 @@ class Job:
         return output, _STEPS[kind](df, step)
 
 
+def _imported(imports: Sequence[Mapping[str, str]]) -> dict[str, Any]:
+    functions = {}
+    for entry in imports:
+        name, module = require(entry.get("name"), "import", "name"), require(entry.get("from"), "import", "from")
+        try:
+            functions[name] = getattr(importlib.import_module(module), name)
+        except (ImportError, AttributeError) as error:
+            raise JobError(f"import: {error}") from None
+    return functions
+
+
 def _named(frames: Frames, name: str, what: str) -> DataFrame:
     if name not in frames:
         raise JobError(f"{what}: no frame is called '{name}', there are {sorted(frames)}")
@@ -188,7 +210,9 @@ def _jdbc(description: Source | Sink) -> dict[str, Any]:
 def read(spark: SparkSession, source: Source) -> DataFrame:
     match source.source_type:
         case "s3" | "file":
-            return sources.read_files(spark, source.path, source.format, source.options, source.columns)
+            return sources.read_files(
+                spark, source.path, source.format, source.options, source.columns, source.schema
+            )
         case "jdbc":
             return sources.read_jdbc(spark, source.columns, **_jdbc(source))
         case "catalog":
@@ -211,6 +235,8 @@ def _write(df: DataFrame, sink: Sink) -> None:
         case "catalog":
             sinks.append_to_table(df, sink.database, sink.table, sink.catalog)
         case "iceberg" | "table":
+            # Without an Iceberg catalog the table is kept in files of its own.
+            known = sink.catalog and df.sparkSession.conf.get(f"spark.sql.catalog.{sink.catalog}", None)
             sinks.write_evolving_table(
                 df,
                 sink.database,
@@ -219,9 +245,9 @@ def _write(df: DataFrame, sink: Sink) -> None:
                 sink.partition_by,
                 sink.path,
                 sink.fill_nulls,
-                "iceberg" if sink.sink_type == "iceberg" else sink.format,
+                "iceberg" if sink.sink_type == "iceberg" and known else sink.format,
                 sink.options,
-                sink.catalog,
+                sink.catalog if known else None,
             )
         case _:
             raise JobError(f"sink: unknown type '{sink.sink_type}'")

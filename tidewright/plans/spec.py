@@ -78,6 +78,8 @@ class Step:
 
 @dataclass
 class Sink:
+    """``catalog_id`` is accepted and unused: the session knows its catalogs."""
+
     sink_type: str
     source: str | None = None
     format: str = "parquet"
@@ -92,6 +94,7 @@ class Sink:
     fill_nulls: bool = True
     options: Mapping[str, Any] = field(default_factory=dict)
     auth: Mapping[str, Any] | None = None
+    catalog_id: str | None = None
 
 
 def build(kind: type, given: Mapping[str, Any], what: str, choice: str | None = None, choices: Sequence[str] = ()):

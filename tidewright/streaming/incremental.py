@@ -1,18 +1,23 @@
 """Runs over the files that earlier runs have not seen.
 
-Each file source is read as a stream that stops when it has caught up. Its
-checkpoint is the bookmark: it moves on only after the job has succeeded, so
-the files of a failed run come again with the next one.
+Each file source is followed by a stream that stops when it has caught up and
+tells which files are new. Its checkpoint is the bookmark: it moves on only
+after the job has succeeded, so the files of a failed run come again with the
+next one.
 """
 
 from __future__ import annotations
 
+import re
 from typing import TYPE_CHECKING
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidewright.errors import JobError
 from tidewright.names import require
+from tidewright.sources import read_files
 
 if TYPE_CHECKING:
     from tidewright.plans.job import Job
@@ -48,12 +53,15 @@ def _next(
     done: list[bool] = []
 
     def process(batch: DataFrame, _: int) -> None:
-        fresh = batch.select(*source.columns) if source.columns else batch
+        # The stream's own listing, which is on the driver anyway.
+        names = [row.file for row in batch.distinct().collect()]
+        fresh = _read_again(spark, source, schema, names) if names else _empty(spark, source, schema)
         done.append(_next(spark, job, state, rest, {**frames, source.name: fresh}, True))
 
     stream = spark.readStream.format(source.format).schema(schema).options(**{**_NO_AGE_LIMIT, **source.options})
     query = (
         stream.load(source.path)
+        .select(F.col("_metadata.file_path").alias("file"))
         .writeStream.foreachBatch(process)
         .trigger(availableNow=True)
         .option("checkpointLocation", f"{state}/{source.name}")
@@ -62,12 +70,29 @@ def _next(
     query.awaitTermination()
     if done:
         return True
+    return _next(spark, job, state, rest, {**frames, source.name: _empty(spark, source, schema)}, any_new)
+
+
+def _empty(spark: SparkSession, source: Source, schema: StructType) -> DataFrame:
     empty = spark.createDataFrame([], schema)
-    empty = empty.select(*source.columns) if source.columns else empty
-    return _next(spark, job, state, rest, {**frames, source.name: empty}, any_new)
+    return empty.select(*source.columns) if source.columns else empty
+
+
+def _read_again(spark: SparkSession, source: Source, schema: StructType, files: list[str]) -> DataFrame:
+    """The files of a batch as a frame of the job's own session.
+
+    What a stream hands out belongs to a session of its own, where the views
+    of a sql step and the batches of other sources are unknown.
+    """
+    # Names are given URL-encoded, and taken as patterns.
+    paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file)) for file in files]
+    options = dict(source.options)
+    if not re.search(r"[\\{}\[\]*?]", source.path):
+        options.setdefault("basePath", source.path)
+    return read_files(spark, paths, source.format, options, source.columns, schema)
 
 
 def _schema(spark: SparkSession, source: Source):
     if not isinstance(source.path, str):
         raise JobError(f"source '{source.name}': a bookmarked source has one path, which may be a glob")
-    return spark.read.format(source.format).options(**source.options).load(source.path).schema
+    return read_files(spark, source.path, source.format, source.options, schema=source.schema).schema

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidewright.errors import JobError
 
@@ -34,9 +35,43 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Types every reader and writer of Parquet agrees on.
+_STORABLE = (
+    T.NumericType,
+    T.StringType,
+    T.CharType,
+    T.VarcharType,
+    T.BinaryType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def _is_storable(dt: T.DataType) -> bool:
+    match dt:
+        case T.StructType():
+            return bool(dt.fields) and all(_is_storable(field.dataType) for field in dt.fields)
+        case T.ArrayType():
+            return _is_storable(dt.elementType)
+        case T.MapType():
+            return _is_storable(dt.keyType) and _is_storable(dt.valueType)
+    return isinstance(dt, _STORABLE)
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that it survives the loss of executors."""
+    """Materialise ``df`` reliably, so that it survives the loss of executors.
+
+    The rows go into a table in the shared folder, of which later steps read
+    only the columns they use; rows a table cannot hold are checkpointed.
+    """
     spark = df.sparkSession
+    names = [name.lower() for name in df.columns]
+    if _is_storable(df.schema) and len(set(names)) == len(names):
+        folder = new_folder(spark, "staged")
+        df.write.option("compression", "zstd").parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
