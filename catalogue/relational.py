@@ -260,14 +260,21 @@ def agg_max_by_and_sets(spark, sf_dir):
     )
 
 
-@query()
+@query("SELECT DISTINCT event_type, TRUE AS users_close, TRUE AS median_close FROM events")
 def agg_approx(spark, sf_dir):
+    """Approximate aggregates, and whether they lie within their error."""
     return result(
         spark, sf_dir, "events",
-        step("aggregate", group_by=["event_type"], aggs={
-            "users": "approx_count_distinct(user_id)",
+        step("aggregate", output="guess", group_by=["event_type"], aggs={
+            "users": "approx_count_distinct(user_id, 0.02)",
+            "exact": "count(distinct user_id)",
             "median": "percentile_approx(value, 0.5)",
         }),
+        step("join", right="guess", on="event_type"),
+        step("aggregate", group_by=["event_type"], aggs={
+            "users_close": "max(abs(users - exact)) <= 0.1 * max(exact)",
+            "median_close": "avg(if(value < median, 1, 0)) <= 0.51 and avg(if(value <= median, 1, 0)) >= 0.49",
+        }),
     )
 
 

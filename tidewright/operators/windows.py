@@ -241,7 +241,10 @@ def _ordered(df: DataFrame, group: Sequence[WindowColumn], limit: int) -> DataFr
         cold = keyed.join(hot, same_keys(keys, hot_names), "left_anti").select(*[column(c) for c in df.columns])
     buckets = max(2, min(_MAX_BUCKETS, math.ceil(sum(row[-1] for row in found) / max(limit, 1))))
     split = _Split(keys, buckets)
-    # Kept, because it is read several times and its lineage may be long.
+    if any(c.function in _POSITIONS for c in group):
+        rows = rows.withColumn(_TIE, F.monotonically_increasing_id())
+    # Kept, because it is read several times and its lineage may be long, and
+    # because a tie must be broken the same way if a task is run again.
     valued, values = stage(rows), {}
     for orders in _distinct([c.orders for c in group]):
         alike = [(at, c) for at, c in enumerate(group) if c.orders == orders]
@@ -310,8 +313,7 @@ class _Split:
         if not columns:
             return rows, {}
         sorts = [*[_sort(F.col(source), desc) for source, desc in orders], F.col(_TIE).asc()]
-        bucketed = self._bucketed(rows.withColumn(_TIE, F.monotonically_increasing_id()), sorts)
-        numbered = self._running(bucketed, sorts, {_NUMBER: (F.sum, F.lit(1))}).drop(_TIE)
+        numbered = self._running(self._bucketed(rows, sorts), sorts, {_NUMBER: (F.sum, F.lit(1))})
         valued, values = numbered, {}
         for at, one in columns:
             valued, value = _POSITIONS[one.function](self, valued, numbered, f"__w{at}", one)
