@@ -6,6 +6,8 @@ order and scalar types win, new fields are appended, at any depth.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StructField, StructType
 
@@ -13,66 +15,66 @@ from tidewright.errors import SchemaMismatch
 from tidewright.names import column, fold, is_case_sensitive
 
 
-def has_void(dt: DataType) -> bool:
-    """Whether any part of the type is void or a struct without fields."""
-    match dt:
-        case NullType():
-            return True
-        case StructType():
-            return not dt.fields or any(has_void(field.dataType) for field in dt.fields)
-        case ArrayType():
-            return has_void(dt.elementType)
-        case MapType():
-            return has_void(dt.keyType) or has_void(dt.valueType)
-    return False
+def _rebuilt(
+    dt: DataType,
+    leaf: Callable[[DataType], DataType | None],
+    name: Callable[[str], str] = str,
+    keep_empty: bool = True,
+) -> DataType | None:
+    """``dt`` made anew from its leaves up, every part nullable.
 
+    What ``leaf`` turns into None is left out, and with it any array or map of
+    it, and any struct that has no field then unless ``keep_empty``.
+    """
 
-def void_free(dt: DataType) -> DataType | None:
-    """The type without its void parts; None if nothing is left of it."""
-    match dt:
-        case NullType():
-            return None
-        case StructType():
-            return _void_free_struct(dt) if _void_free_struct(dt).fields else None
-        case ArrayType():
-            element = void_free(dt.elementType)
-            return None if element is None else ArrayType(element, True)
-        case MapType():
-            parts = void_free(dt.keyType), void_free(dt.valueType)
-            return None if None in parts else MapType(*parts, True)
-    return dt
+    def again(part: DataType) -> DataType | None:
+        return _rebuilt(part, leaf, name, keep_empty)
 
+    if isinstance(dt, StructType):
+        parts = ((field.name, again(field.dataType)) for field in dt.fields)
+        fields = [StructField(name(label), part, True) for label, part in parts if part is not None]
+        return StructType(fields) if fields or keep_empty else None
+    if isinstance(dt, ArrayType):
+        element = again(dt.elementType)
+        return None if element is None else ArrayType(element, True)
+    if isinstance(dt, MapType):
+        key, value = again(dt.keyType), again(dt.valueType)
+        return None if key is None or value is None else MapType(key, value, True)
+    return leaf(dt)
 
-def _void_free_struct(schema: StructType) -> StructType:
-    cleaned = [(field.name, void_free(field.dataType)) for field in schema.fields]
-    return StructType([StructField(name, dt, True) for name, dt in cleaned if dt is not None])
+
+def _unless_void(dt: DataType) -> DataType | None:
+    return None if isinstance(dt, NullType) else dt
+
+
+def nullable(dt: DataType) -> DataType:
+    """The type with every part allowed to be NULL."""
+    return _rebuilt(dt, lambda leaf: leaf)
+
+
+def void_free(dt: DataType) -> DataType | None:
+    """The type without its void parts; None if nothing is left of it."""
+    return _rebuilt(dt, _unless_void, keep_empty=False)
 
 
 def void_free_schema(schema: StructType) -> StructType:
     """``schema`` without void parts; it may end up with no fields."""
-    return _void_free_struct(schema)
+    return void_free(schema) or StructType([])
+
+
+def has_void(dt: DataType) -> bool:
+    """Whether any part of the type is void or a struct without fields."""
+    return void_free(dt) != nullable(dt)
 
 
 def void_free_ddl(dt: DataType) -> str | None:
     """The void-free type as DDL text, names quoted.
 
-    Unlike ``void_free`` a struct that loses every field stays, as
+    Unlike with ``void_free`` a struct that loses every field stays, as
     ``struct<>``.
     """
-    match dt:
-        case NullType():
-            return None
-        case StructType():
-            parts = [(field.name, void_free_ddl(field.dataType)) for field in dt.fields]
-            kept = ["`{}`:{}".format(name.replace("`", "``"), ddl) for name, ddl in parts if ddl is not None]
-            return f"struct<{','.join(kept)}>"
-        case ArrayType():
-            element = void_free_ddl(dt.elementType)
-            return None if element is None else f"array<{element}>"
-        case MapType():
-            key, value = void_free_ddl(dt.keyType), void_free_ddl(dt.valueType)
-            return None if key is None or value is None else f"map<{key},{value}>"
-    return dt.simpleString()
+    quoted = _rebuilt(dt, _unless_void, lambda name: "`" + name.replace("`", "``") + "`")
+    return None if quoted is None else quoted.simpleString()
 
 
 def kind(dt: DataType) -> str:
@@ -129,18 +131,6 @@ def _merge_type(live: DataType, batch: DataType, case_sensitive: bool) -> DataTy
     return live
 
 
-def nullable(dt: DataType) -> DataType:
-    """The type with every part allowed to be NULL."""
-    match dt:
-        case StructType():
-            return StructType([StructField(field.name, nullable(field.dataType), True) for field in dt.fields])
-        case ArrayType():
-            return ArrayType(nullable(dt.elementType), True)
-        case MapType():
-            return MapType(nullable(dt.keyType), nullable(dt.valueType), True)
-    return dt
-
-
 def conform(df: DataFrame, target: StructType, strict: bool = False) -> DataFrame:
     """``df`` with exactly the fields of ``target``, in its order.
 
