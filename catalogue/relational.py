@@ -267,9 +267,10 @@ def agg_approx(spark, sf_dir):
         spark, sf_dir, "events",
         step("aggregate", output="guess", group_by=["event_type"], aggs={
             "users": "approx_count_distinct(user_id, 0.02)",
-            "exact": "count(distinct user_id)",
             "median": "percentile_approx(value, 0.5)",
         }),
+        step("aggregate", output="truth", group_by=["event_type"], aggs={"exact": "count(distinct user_id)"}),
+        step("join", left="guess", right="truth", on="event_type"),
         step("join", right="guess", on="event_type"),
         step("aggregate", group_by=["event_type"], aggs={
             "users_close": "max(abs(users - exact)) <= 0.1 * max(exact)",

@@ -111,6 +111,16 @@ def test_mistakes_are_refused(spark, data, broken):
         Job.from_dict({**config(data), **broken}).run(spark)
 
 
+def test_frames_from_code_and_functions_by_name(spark):
+    doubled = {"twice": lambda spark, frames: frames["mine"].union(frames["mine"])}
+    mine = {"name": "mine", "source_type": "frame", "frame": spark.range(3)}
+    step = {"transform_type": "custom", "function": "twice"}
+    assert Job.from_dict({"sources": [mine], "functions": doubled, "transforms": [step]}).result(spark).count() == 6
+    assert Job.from_dict({"sources": [mine], "functions": doubled, "body": "twice"}).result(spark).count() == 6
+    with pytest.raises(JobError):
+        Job.from_dict({"sources": [mine], "body": "thrice"}).result(spark)
+
+
 def test_yaml(spark, data):
     pytest.importorskip("yaml")
     job = Job.from_yaml(f"""

@@ -39,7 +39,7 @@ class Job:
     partition_timestamp_column: str | None = None
     create_timestamp: bool = False
     functions: Mapping[str, Any] = field(default_factory=dict)
-    body: Callable[[SparkSession, Frames], DataFrame | None] | None = None
+    body: Callable[[SparkSession, Frames], DataFrame | None] | str | None = None
     bookmark: str = "disabled"
     state_path: str | None = None
 
@@ -118,7 +118,7 @@ class Job:
         """What the sink receives, or the default frame of a job without one."""
         if self.body is not None:
             register(spark, self.functions)
-            return self.body(spark, self._read(spark, given or {}))
+            return self._callable(self.body, "body")(spark, self._read(spark, given or {}))
         frames = self.frames(spark, given)
         name = (self.sink.source if self.sink else None) or self.default_source
         df = _named(frames, name, "sink")
@@ -141,6 +141,12 @@ class Job:
         if self.sink is not None and self.body is None:
             _write(df, self._effective_sink())
 
+    def _callable(self, function: Callable | str, what: str) -> Callable:
+        """The function itself, or the one given or imported under that name."""
+        if isinstance(function, str):
+            function = require(self.functions.get(function), what, function)
+        return function
+
     def _effective_sink(self) -> Sink:
         sink = self.sink
         if sink.sink_type in ("iceberg", "table") and not sink.partition_by and self.partition_by:
@@ -165,7 +171,7 @@ class Job:
         output = step.output or source
         if kind == "custom":
             function = require(step.function, "custom transform", "function")
-            return output, function(spark, dict(frames))
+            return output, self._callable(function, "custom transform")(spark, dict(frames))
         df = _named(frames, source, f"{kind} transform")
         if kind == "window":
             columns = [operators.WindowColumn(s.name, s.expression, s.partition_by, s.order_by) for s in steps]

@@ -73,7 +73,7 @@ class Step:
     partition_by: Sequence[str] = ()
     order_by: Sequence[Any] = ()
     hot_rows: int | None = None
-    function: Callable | None = None
+    function: Callable | str | None = None
 
 
 @dataclass
