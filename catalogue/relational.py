@@ -301,6 +301,26 @@ def topk_offset(spark, sf_dir):
     return _sql(spark, sf_dir, "customer", _OFFSET)
 
 
+_SORTED = "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem ORDER BY l_shipdate DESC, l_orderkey, l_linenumber"
+
+
+@query(_SORTED)
+def sorted_rows(spark, sf_dir):
+    return _sql(spark, sf_dir, "lineitem", _SORTED)
+
+
+_LATERAL = """
+    SELECT n_name, best, customers
+    FROM nation, LATERAL (SELECT max(c_acctbal) AS best, count(*) AS customers
+                          FROM customer WHERE c_nationkey = n_nationkey) AS its
+"""
+
+
+@query(_LATERAL)
+def join_lateral(spark, sf_dir):
+    return _sql(spark, sf_dir, "nation customer", _LATERAL)
+
+
 _SETOPS = """
     SELECT 'union' AS op, k FROM (SELECT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer) a
     UNION ALL

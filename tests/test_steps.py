@@ -96,6 +96,26 @@ def test_join_two_keys_hot(spark, sides, how):
     assert values(join(left, right, ["k", "j"], how, 5)) == values(left.join(right, ["k", "j"], how))
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_join_with_many_null_keys_and_a_shared_column(sides, how):
+    left, right = (s.withColumn("k", F.when(F.col("k") % 3 != 0, F.col("k"))).withColumn("x", F.lit(n))
+                   for n, s in enumerate(sides))
+    plain, ours = left.join(right, "k", how), join(left, right, "k", how, 20)
+    assert ours.columns == plain.columns == ["k", "a", "x", "b", "x"]
+    assert values(ours) == values(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_join_of_different_key_types(spark, how):
+    nan = float("nan")
+    left = spark.createDataFrame([(1, 1.5), (1, nan), (2, nan), (None, 2.0)] * 4, "k int, f double")
+    right = spark.createDataFrame([(1, 1.5, "a"), (2**40, nan, "b"), (2, nan, "c")] * 4, "K bigint, f double, v string")
+    plain, ours = left.join(right, ["k", "f"], how), join(left, right, ["k", "f"], how, 3)
+    assert ours.columns == plain.columns
+    assert values(ours.select(F.expr("cast(k as string)"), F.expr("cast(f as string)"), "v")) == values(
+        plain.select(F.expr("cast(k as string)"), F.expr("cast(f as string)"), "v"))
+
+
 def test_join_refuses(sides):
     left, right = sides
     with pytest.raises(JobError):

@@ -103,6 +103,17 @@ def test_replaces_a_column_in_place(frame):
     assert rows(split) == rows(frame.withColumn("v", F.sum("v").over(spec)))
 
 
+def test_nested_columns(frame):
+    nested = frame.select(F.struct("g", "o", "u").alias("st"), "v")
+    spec = Window.partitionBy("st.g").orderBy(F.col("st.o").desc(), "st.u")
+    for expression in ("sum(v)", "lag(st.u)", "rank()"):
+        plain = nested.withColumn("w", F.expr(expression).over(spec))
+        split = window(nested, "w", expression, ["st.g"], [{"column": "st.o", "desc": True}, "st.u"], hot_rows=300)
+        assert rows(split) == rows(plain)
+    plain = nested.withColumn("w", F.sum("st.u").over(Window.partitionBy("st.g")))
+    assert rows(window(nested, "w", "sum(st.u)", ["st.g"])) == rows(plain)
+
+
 def test_unsplittable_functions_use_the_plain_window(frame):
     got = window(frame, "w", "stddev(v)", ["g"], ["u"], hot_rows=10)
     assert got.count() == 4000

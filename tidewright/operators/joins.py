@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.errors import JobError
-from tidewright.names import column, has_unique_names
+from tidewright.names import column, fold, has_unique_names, is_case_sensitive
 from tidewright.operators.skew import hot_frame, hot_groups
 
 # Spark's names for join types.
@@ -49,62 +49,60 @@ def join(
     kind = _KINDS.get(how.lower().replace("_", ""))
     if kind is None:
         raise JobError(f"join: 'how' must be one of {sorted(_KINDS)}, not '{how}'")
-    plain = left.join(right, on=keys, how=kind)
     if kind not in ("left", "right", "full") or not (has_unique_names(left) and has_unique_names(right)):
-        return plain
+        return left.join(right, on=keys, how=kind)
     sides = {"left": [right], "right": [left], "full": [left, right]}[kind]
-    found = {}
-    for side in sides:
-        for row in hot_groups(side.dropna(subset=keys), keys, hot_rows):
-            found[tuple(row)[:-1]] = row
-    if not found:
-        return plain
-    return _outer_join_with_hot_keys(left, right, keys, kind, list(found.values()))
-
-
-def _outer_join_with_hot_keys(left, right, keys, kind, rows) -> DataFrame:
-    names = [f"__hot{i}" for i in range(len(keys))]
-    hot = hot_frame(left, keys, names, "__hot_size", rows)
+    hot = {tuple(row)[:-1]: row for side in sides for row in hot_groups(side, keys, hot_rows)}
+    unmatched = [key for key in hot if None in key]
+    for key in unmatched:
+        del hot[key]
+    apart = []
+    if unmatched and kind == "full":
+        # Rows whose key is NULL match nothing, yet all would meet in one task.
+        both = (left, right)
+        no_key = reduce(Column.__or__, [column(key).isNull() for key in keys])
+        apart = [_alone(side.filter(no_key), both, at, keys) for at, side in enumerate(both)]
+        left, right = left.filter(~no_key), right.filter(~no_key)
+    joined = left.join(right, on=keys, how=kind)
+    if hot:
+        names = [f"__hot{i}" for i in range(len(keys))]
+        # Of a full join the keys have a type both sides fit.
+        typed = joined if kind == "full" else sides[0]
+        listed = hot_frame(typed, keys, names, "__hot_size", list(hot.values()))
+        joined = _with_hot_keys_apart(left, right, keys, kind, listed, names)
+    return reduce(DataFrame.union, apart, joined)
+
+
+def _with_hot_keys_apart(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], kind: str, hot: DataFrame, names: Sequence[str]
+) -> DataFrame:
 
     def part(df: DataFrame, how: str) -> DataFrame:
-        # A plain equality: rows whose key is NULL match nothing and stay cold.
-        condition = F.lit(True)
-        for key, name in zip(keys, names):
-            condition = condition & (column(key) == column(name))
-        return df.join(hot, condition, how)
+        # A plain equality: rows whose key is NULL stay with the others.
+        return df.join(hot, reduce(Column.__and__, [column(k) == column(n) for k, n in zip(keys, names)]), how)
 
-    cold = part(left, "left_anti").join(part(right, "left_anti"), on=keys, how=kind)
     left_hot, right_hot = part(left, "left_semi"), part(right, "left_semi")
-    result = cold.union(left_hot.join(right_hot, on=keys, how="inner"))
-    # A hot key was counted on the side that may go unmatched in the other, so
-    # only a full join can find it there alone. The key lists stay as small as
-    # the list of hot keys.
-    left_rest = [field for field in left.schema.fields if field.name not in keys]
-    right_rest = [field for field in right.schema.fields if field.name not in keys]
-    if kind == "full":
-        lonely = left_hot.join(F.broadcast(right_hot.select(*keys).distinct()), on=keys, how="left_anti")
-        result = result.union(_laid_out(lonely, keys, left_rest, right_rest, lonely_side="left"))
-        lonely = right_hot.join(F.broadcast(left_hot.select(*keys).distinct()), on=keys, how="left_anti")
-        result = result.union(_laid_out(lonely, keys, left_rest, right_rest, lonely_side="right"))
+    result = part(left, "left_anti").join(part(right, "left_anti"), on=keys, how=kind)
+    result = result.union(left_hot.join(right_hot, on=keys, how="inner"))
+    if kind != "full":
+        # Hot keys were counted on the side whose rows go only with a match.
+        return result
+    # Here a hot key may occur on one side alone. The lists of keys compared
+    # are no longer than the list of hot keys.
+    for at, (mine, other) in enumerate([(left_hot, right_hot), (right_hot, left_hot)]):
+        alone = mine.join(F.broadcast(other.select(*keys).distinct()), on=keys, how="left_anti")
+        result = result.union(_alone(alone, (left, right), at, keys))
     return result
 
 
-def _laid_out(
-    df: DataFrame,
-    keys: Sequence[str],
-    left_rest: Sequence[StructField],
-    right_rest: Sequence[StructField],
-    lonely_side: str,
-) -> DataFrame:
-    """Rows of one side in the layout of the join, the other side NULL."""
-
-    def fields(rest, present):
-        return [
-            column(field.name) if present else F.lit(None).cast(field.dataType).alias(field.name) for field in rest
-        ]
-
-    return df.select(
-        *[column(key) for key in keys],
-        *fields(left_rest, lonely_side == "left"),
-        *fields(right_rest, lonely_side == "right"),
-    )
+def _alone(df: DataFrame, sides: Sequence[DataFrame], at: int, keys: Sequence[str]) -> DataFrame:
+    """Rows of side ``at`` without a match, in the layout of the join."""
+    exact = is_case_sensitive(df)
+    shared = {fold(key, exact) for key in keys}
+    rest = [
+        column(field.name) if side == at else F.lit(None).cast(field.dataType).alias(field.name)
+        for side, other in enumerate(sides)
+        for field in other.schema.fields
+        if fold(field.name, exact) not in shared
+    ]
+    return df.select(*[column(key) for key in keys], *rest)

@@ -32,9 +32,11 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None)
 def hot_frame(df: DataFrame, keys: Sequence[str], names: Sequence[str], size: str, rows: list[Row]) -> DataFrame:
     """``rows`` of ``hot_groups`` as a frame, marked for broadcast.
 
-    It has at most MAX_HOT rows (twice that where two sides are merged).
+    The keys take ``names`` and the types they have in ``df``. There are at
+    most MAX_HOT rows, or twice that where two sides are merged.
     """
-    fields = [StructField(name, df.schema[key].dataType, True) for key, name in zip(keys, names)]
+    types = [field.dataType for field in df.select(*[column(key) for key in keys]).schema.fields]
+    fields = [StructField(name, dt, True) for name, dt in zip(names, types)]
     schema = StructType([*fields, StructField(size, LongType(), False)])
     return F.broadcast(df.sparkSession.createDataFrame([tuple(row) for row in rows], schema))
 
