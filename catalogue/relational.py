@@ -80,7 +80,7 @@ def sql_step_rebound_view(spark, sf_dir):
 
 _SIDES = [
     *_CUSTKEY,
-    step("filter", source="orders", condition="o_totalprice > 50000 and custkey % 5 <> 0"),
+    step("filter", source="orders", condition="o_totalprice > 250000"),
     step("filter", source="customer", condition="c_acctbal > 0"),
     step("add_column", source="orders", name="o_orderkey", expression="cast(o_orderkey as string)"),
     step("select", source="orders", columns=["custkey", "o_orderkey"]),
@@ -89,7 +89,7 @@ _SIDES = [
 
 _ORACLE_SIDES = """
     WITH o AS (SELECT o_custkey AS custkey, CAST(o_orderkey AS VARCHAR) AS o_orderkey FROM orders
-               WHERE o_totalprice > 50000 AND o_custkey % 5 <> 0),
+               WHERE o_totalprice > 250000),
          c AS (SELECT c_custkey AS custkey, c_mktsegment FROM customer WHERE c_acctbal > 0)
 """
 
@@ -151,12 +151,12 @@ def join_cross_keyed(spark, sf_dir):
 
 @query(_ORACLE_SIDES + "SELECT c.custkey, o_orderkey, c_mktsegment FROM o RIGHT JOIN c ON o.custkey = c.custkey")
 def join_right_hot_keys(spark, sf_dir):
-    return _joined(spark, sf_dir, "right", hot_rows=12)
+    return _joined(spark, sf_dir, "right", hot_rows=6)
 
 
 @query(_ORACLE_SIDES + _FULL)
 def join_full_hot_keys(spark, sf_dir):
-    return _joined(spark, sf_dir, "full", hot_rows=12)
+    return _joined(spark, sf_dir, "full", hot_rows=6)
 
 
 @query("""
