@@ -5,7 +5,8 @@ from tidewright.functions import pii
 
 _ENTITIES = ["USA_SSN", "CREDIT_CARD", "EMAIL", "IP_ADDRESS", "PHONE_NUMBER"]
 
-# The same entities in the dialect of the oracle, which has no lookbehind.
+# The same entities in the dialect of the oracle, which has no lookaround: it
+# takes numbers one after the other, as no card here follows on other digits.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _SSN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
 _CARD = r"\b[0-9](?:[ -]?[0-9]){12,15}\b"

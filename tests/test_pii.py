@@ -23,6 +23,11 @@ def one(spark, text, entities):
         ("CREDIT_CARD", "41111111111111111111", "41111111111111111111"),
         ("CREDIT_CARD", "", ""),
         ("CREDIT_CARD", None, None),
+        ("CREDIT_CARD", f"1234 {VALID}", "1234 ****"),
+        ("CREDIT_CARD", f"2 {VALID} 3 {VALID}", "2 **** 3 ****"),
+        ("CREDIT_CARD", "378282246310005 1", "**** 1"),
+        ("CREDIT_CARD", f"{VALID} {INVALID} {VALID}", f"**** {INVALID} ****"),
+        ("CREDIT_CARD", "4222222222222", "****"),
         ("EMAIL", "mail a.b+c@ex-ample.co.uk now", "mail **** now"),
         ("IP_ADDRESS", "10.0.0.255 and 10.0.0.256", "**** and 10.0.0.256"),
         ("PHONE_NUMBER", "call (555) 123-4567 or +1 555-123-4567", "call **** or ****"),
@@ -60,7 +65,7 @@ def test_nested_text_and_other_columns(spark):
 
 
 def test_no_python_in_the_plan(spark):
-    plan = pii.redact(spark.createDataFrame([("x",)], "t string"), list(pii.PATTERNS))._jdf.queryExecution().toString()
+    plan = pii.redact(spark.createDataFrame([("x",)], "t string"), list(pii.ENTITIES))._jdf.queryExecution().toString()
     assert "Python" not in plan
 
 

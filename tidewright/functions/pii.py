@@ -25,17 +25,21 @@ _BEFORE, _AFTER = r"(?=[0-9])(?<![0-9A-Za-z_])", r"(?![0-9A-Za-z_])"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
-# What each entity looks like, in the order they are masked.
-# Text masked for one entity is not looked at for the next.
-PATTERNS = {
+# The entities, in the order they are masked, and what each looks
+# like. Text masked for one entity is not looked at for the next.
+ENTITIES = ("EMAIL", "USA_SSN", "CREDIT_CARD", "IP_ADDRESS", "PHONE_NUMBER")
+
+_PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "USA_SSN": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
-    "CREDIT_CARD": _BEFORE + r"[0-9](?:[ -]?[0-9]){12,15}" + _AFTER,
     "IP_ADDRESS": _BEFORE + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + _AFTER,
     "PHONE_NUMBER": r"(?=[0-9+(])(?<![0-9A-Za-z_+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
     + _AFTER,
 }
 
+# A card has one of these numbers of digits, and passes the Luhn check.
+_CARD_DIGITS = (16, 15, 14, 13)
+
 # What any text holding the entity contains. It is quicker to look for than the
 # entity itself, and most texts hold none.
 _HINTS = {
@@ -51,36 +55,55 @@ def _hinted(text: Column, entity: str) -> Column:
 
 
 def _checked(entities: Sequence[str]) -> list[str]:
-    unknown = [entity for entity in entities if entity not in PATTERNS]
+    unknown = [entity for entity in entities if entity not in ENTITIES]
     if unknown:
-        raise JobError(f"mask_pii: unknown entities {unknown}, known are {list(PATTERNS)}")
-    return [entity for entity in PATTERNS if entity in entities]
+        raise JobError(f"mask_pii: unknown entities {unknown}, known are {list(ENTITIES)}")
+    return [entity for entity in ENTITIES if entity in entities]
+
+
+def _with_cards(text: Column, use: Callable[[Column], Column], otherwise: Column) -> Column:
+    """``use`` of a pattern that fits the cards in ``text``, if there are any.
+
+    A card may come right after other digits, so a number is looked for at
+    every place one can start, each length by itself. Those that pass the Luhn
+    check make up the pattern, the longest first.
+    """
+    found = F.concat(
+        *[
+            F.regexp_extract_all(text, F.lit(f"(?=({_BEFORE}[0-9](?:[ -]?[0-9]){{{n - 1}}}{_AFTER}))"), F.lit(1))
+            for n in _CARD_DIGITS
+        ]
+    )
+    cards = F.filter(F.array_distinct(found), lambda one: F.call_function("luhn_check", F.translate(one, " -", "")))
 
+    def used(listed: Column) -> Column:
+        pattern = F.concat(F.lit(f"{_BEFORE}(?:"), F.array_join(listed, "|"), F.lit(f"){_AFTER}"))
+        return F.when(F.size(listed) > 0, use(pattern)).otherwise(otherwise)
 
-def _is_card(found: Column) -> Column:
-    return F.call_function("luhn_check", F.regexp_replace(found, "[ -]", ""))
+    # An array of one, so that the cards are looked for once.
+    return F.transform(F.array(cards), used)[0]
 
 
 def _mask(text: Column, entity: str) -> Column:
-    pattern = PATTERNS[entity]
+    def masked(pattern: Column) -> Column:
+        return F.regexp_replace(text, pattern, F.lit(MASK))
+
     if entity == "CREDIT_CARD":
-        # Only matches that pass the Luhn check go. The text is taken apart at
-        # the matches and put together again, so each is judged in its place.
-        pieces = F.zip_with(
-            F.split(text, pattern, -1),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-            lambda piece, match: F.concat(piece, F.when(_is_card(match), MASK).otherwise(F.coalesce(match, F.lit("")))),
-        )
-        masked = F.array_join(pieces, "")
+        result = _with_cards(text, masked, text)
     else:
-        masked = F.regexp_replace(text, pattern, MASK)
-    return F.when(_hinted(text, entity), masked).otherwise(text)
+        result = masked(F.lit(_PATTERNS[entity]))
+    return F.when(_hinted(text, entity), result).otherwise(text)
 
 
 def _count(text: Column, entity: str) -> Column:
-    found = F.regexp_extract_all(text, F.lit(PATTERNS[entity]), F.lit(0))
-    number = F.size(F.filter(found, _is_card) if entity == "CREDIT_CARD" else found)
-    return F.when(_hinted(text, entity), number).otherwise(F.lit(0))
+    def counted(pattern: Column) -> Column:
+        return F.size(F.regexp_extract_all(text, pattern, F.lit(0)))
+
+    if entity == "CREDIT_CARD":
+        result = _with_cards(text, counted, F.lit(0))
+    else:
+        result = counted(F.lit(_PATTERNS[entity]))
+    return F.when(_hinted(text, entity), result).otherwise(F.lit(0))
 
 
 def _has_text(dt: DataType) -> bool:
