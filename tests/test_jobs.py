@@ -183,6 +183,33 @@ def test_incremental_run_over_partitions_and_odd_names(spark, folder):
     assert rows(spark.read.parquet(f"{folder}/out")) == [(1, "a b%:c"), (2, "x"), (3, "y")]
 
 
+def test_incremental_run_over_a_table(spark, folder):
+    spark.sql("create database followed")
+    try:
+        spark.sql("create table followed.t (id int, p string) using csv options (header 'true', sep ';')"
+                  f" partitioned by (p) location '{folder}/t'")
+        job = Job.from_dict({
+            "sources": [{"name": "s", "source_type": "catalog", "database": "followed", "table": "t"}],
+            "transforms": [{"transform_type": "sql", "query": "select * from s"}],
+            "bookmark": "enabled", "state_path": f"{folder}/state",
+            "sink": {"sink_type": "file", "path": f"{folder}/out", "mode": "append"}})
+        for row in ("1, 'a'", "2, 'b'"):
+            spark.sql(f"insert into followed.t values ({row})")
+            job.run(spark)
+        assert rows(spark.read.parquet(f"{folder}/out")) == [(1, "a"), (2, "b")]
+    finally:
+        spark.sql("drop database followed cascade")
+
+
+@pytest.mark.parametrize("source", [
+    {"source_type": "file", "path": ["a", "b"]}, {"source_type": "file", "path": "a", "format": "delta"},
+    {"source_type": "file", "path": "a", "options": {"maxFilesPerTrigger": 1}},
+    {"source_type": "jdbc", "table": "t", "connection_url": "jdbc:x"}])
+def test_sources_that_cannot_be_followed(spark, folder, source):
+    with pytest.raises(JobError):
+        Job.from_dict({"sources": [{"name": "s", **source}], "bookmark": "enabled", "state_path": folder}).run(spark)
+
+
 def test_a_failed_run_is_repeated(spark, data):
     with pytest.raises(Exception):
         incremental(data, format="nonsense").run(spark)

@@ -24,6 +24,9 @@ EXPRESSIONS = [
     "min(v)",
     "max(case when v > 5 then v end)",
     "sum(d)",
+    "count_if(v > 50)",
+    "bool_and(v < 95)",
+    "bool_or(v > 98)",
 ]
 
 
@@ -58,7 +61,7 @@ def test_split_groups_equal_the_plain_window(frame, expression, groups):
 
 
 @pytest.mark.parametrize("expression", [e for e in EXPRESSIONS if e.split("(")[0] in (
-    "rank", "dense_rank", "percent_rank", "cume_dist", "count", "sum", "avg", "min", "max")])
+    "rank", "dense_rank", "percent_rank", "cume_dist", "count", "sum", "avg", "min", "max", "count_if")])
 def test_ties_share_one_value(frame, expression):
     spec = Window.partitionBy("g").orderBy("o")
     plain = frame.withColumn("w", F.expr(expression).over(spec))

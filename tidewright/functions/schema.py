@@ -137,7 +137,8 @@ def conform(df: DataFrame, target: StructType, strict: bool = False) -> DataFram
     Fields are matched by name at every depth; missing ones are NULL, others
     are left out. A column that already fits is passed on untouched, so
     filters still reach the scan. A value that cannot be cast becomes NULL,
-    or fails the job if ``strict``. A NULL struct stays NULL.
+    or fails the job if ``strict``; as the key of a map it always fails it. A
+    NULL struct stays NULL.
     """
     exact = is_case_sensitive(df)
     mismatches = kind_mismatches(df.schema, target, exact)

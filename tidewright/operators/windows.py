@@ -450,6 +450,9 @@ _PEERS = {
     "mean": ({"total": (F.sum, F.sum), "n": (F.count, F.sum)}, _average),
     "min": ({"low": (F.min, F.min)}, lambda low: low),
     "max": ({"high": (F.max, F.max)}, lambda high: high),
+    "count_if": ({"n": (F.count_if, F.sum)}, lambda n: n),
+    "bool_and": ({"low": (F.bool_and, F.min)}, lambda low: low),
+    "bool_or": ({"high": (F.bool_or, F.max)}, lambda high: high),
     "last": ({"own": (F.last, None)}, lambda own: own),
     "last_value": ({"own": (F.last, None)}, lambda own: own),
 }

@@ -8,6 +8,8 @@ next one.
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import re
 from typing import TYPE_CHECKING
 from urllib.parse import unquote
@@ -18,6 +20,7 @@ from pyspark.sql.types import StructType
 from tidewright.errors import JobError
 from tidewright.names import require
 from tidewright.sources import read_files
+from tidewright.sources.tables import table_name
 
 if TYPE_CHECKING:
     from tidewright.plans.job import Job
@@ -26,21 +29,50 @@ if TYPE_CHECKING:
 # Files are never taken for too old to be read, whenever they arrive.
 _NO_AGE_LIMIT = {"maxFileAge": "36500d"}
 
+# A run takes all new files at once.
+_NOT_ALLOWED = {"maxfilespertrigger", "maxbytespertrigger"}
+
+# Formats a stream can follow the files of.
+_FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro", "xml"}
+
 
 def run(spark: SparkSession, job: Job) -> bool:
-    """Run ``job`` on the new files of its file sources; False if there are none.
+    """Run ``job`` on the files that are new; False if there are none.
 
-    Other sources are read whole. The new files of several sources form one
+    File sources and tables kept in files are followed; other sources are read
+    whole. The new files of several sources form one
     batch: each source's bookmark waits for those after it, and the job. The
     sink may see a batch twice if the driver dies between write and bookmark.
     """
     state = require(job.state_path, "bookmark", "state_path").rstrip("/")
-    marked = [source for source in job.sources if source.source_type in ("s3", "file")]
+    marked = [_in_files(spark, source) for source in job.sources if source.source_type in ("s3", "file", "catalog")]
     if not marked:
-        raise JobError("bookmark: there is no file source")
+        raise JobError("bookmark: there is no file source and no table")
     return _next(spark, job, state, marked, {}, False)
 
 
+def _in_files(spark: SparkSession, source: Source) -> Source:
+    """The source as files: a table's own ones, if it is a table."""
+    if source.source_type == "catalog":
+        name = table_name(source.catalog, source.database, source.table)
+        about = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
+        source = dataclasses.replace(
+            source,
+            source_type="file",
+            path=about.get("location"),
+            format=about.get("provider", ""),
+            schema=spark.table(name).schema,
+            options={**about.get("storage_properties", {}), **source.options},
+        )
+    if source.format.lower() not in _FILE_FORMATS:
+        raise JobError(f"source '{source.name}': files of format '{source.format}' cannot be followed")
+    if not isinstance(source.path, str):
+        raise JobError(f"source '{source.name}': a bookmarked source has one path, which may be a glob")
+    if any(option.lower() in _NOT_ALLOWED for option in source.options):
+        raise JobError(f"source '{source.name}': a bookmarked run takes all new files, without {_NOT_ALLOWED}")
+    return source
+
+
 def _next(
     spark: SparkSession, job: Job, state: str, remaining: list[Source], frames: dict[str, DataFrame], any_new: bool
 ) -> bool:
@@ -49,7 +81,9 @@ def _next(
             job.write(spark, frames)
         return any_new
     source, rest = remaining[0], remaining[1:]
-    schema = _schema(spark, source)
+    schema = source.schema
+    if not isinstance(schema, StructType):
+        schema = read_files(spark, source.path, source.format, source.options, schema=schema).schema
     done: list[bool] = []
 
     def process(batch: DataFrame, _: int) -> None:
@@ -90,9 +124,3 @@ def _read_again(spark: SparkSession, source: Source, schema: StructType, files:
     if not re.search(r"[\\{}\[\]*?]", source.path):
         options.setdefault("basePath", source.path)
     return read_files(spark, paths, source.format, options, source.columns, schema)
-
-
-def _schema(spark: SparkSession, source: Source):
-    if not isinstance(source.path, str):
-        raise JobError(f"source '{source.name}': a bookmarked source has one path, which may be a glob")
-    return read_files(spark, source.path, source.format, source.options, schema=source.schema).schema
