@@ -255,7 +255,7 @@ def multi_path_read(spark, sf_dir):
         job(sf_dir, "orders", step("filter", condition=condition),
             sink={"sink_type": "file", "path": paths[-1]}).run(spark)
     source = {"name": "orders", "source_type": "s3", "path": paths, "columns": ["o_orderkey", "o_totalprice"],
-              "engine": "glue"}
+              "engine": "spark"}
     return Job.from_dict({"sources": [source]}).result(spark)
 
 

@@ -121,9 +121,26 @@ def test_without_fill_nulls(spark, db):
 def test_interrupted_evolution_is_finished(spark, db, folder):
     write_evolving_table(spark.sql("select 1 as id"), db, "t", "append", path=f"{folder}/t")
     spark.sql(f"create table {db}.t__evolving (id int, w string) using parquet location '{folder}/t'")
+    write_evolving_table(spark.sql("select 5 as id"), db, "t", "append", path=f"{folder}/t")
+    assert not spark.catalog.tableExists(f"{db}.t__evolving")
+    spark.sql(f"create table {db}.t__evolving (id int, w string) using parquet location '{folder}/t'")
     spark.sql(f"drop table {db}.t")
     write_evolving_table(spark.sql("select 2 as id, 'x' as w"), db, "t", "append", path=f"{folder}/t")
-    assert rows(spark.table(f"{db}.t")) == [(1, None), (2, "x")]
+    assert rows(spark.table(f"{db}.t")) == [(1, None), (2, "x"), (5, None)]
+
+
+def test_a_table_in_the_way_is_not_dropped(spark, db):
+    write_evolving_table(spark.sql("select 1 as id, named_struct('a', 1) as st"), db, "t", "append")
+    spark.range(3).write.saveAsTable(f"{db}.t__evolving")
+    with pytest.raises(JobError):
+        write_evolving_table(spark.sql("select 2 as id, named_struct('b', 1) as st"), db, "t", "append")
+    assert spark.table(f"{db}.t__evolving").count() == 3 and spark.table(f"{db}.t").count() == 1
+
+
+def test_json_tables(spark, db):
+    for mode in ("append", "overwrite"):
+        write_evolving_table(spark.sql("select 1 as id, 'x' as p"), db, "j", mode, ["p"], format="json")
+    assert rows(spark.table(f"{db}.j")) == [(1, "x")]
 
 
 def test_refusals(spark, db):

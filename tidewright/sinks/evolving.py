@@ -89,7 +89,7 @@ def _create(df, database, table, partition_by, path, format, options) -> None:
     # A path makes the table external, so that its description can be replaced
     # later on without touching its files.
     location = path or f"{df.sparkSession.catalog.getDatabase(table_name(database)).locationUri.rstrip('/')}/{table}"
-    settings = {"compression": "zstd", **dict(options or {})}
+    settings = {**({"compression": "zstd"} if format in ("parquet", "orc") else {}), **dict(options or {})}
     writer = arranged(df, partition_by).write.format(format).options(**settings).option("path", location)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -100,10 +100,19 @@ def _finish_interrupted(spark: SparkSession, name: str, standby: str) -> None:
     """Complete a change of schema that was cut off half-way."""
     if not spark.catalog.tableExists(standby):
         return
-    if spark.catalog.tableExists(name):
+    found = _about(spark, standby)
+    if not spark.catalog.tableExists(name):
+        if found.get("type") != "EXTERNAL":
+            raise JobError(f"{standby} is in the way: it is no description left by a change of {name}")
+        spark.sql(f"ALTER TABLE {standby} RENAME TO {name}")
+    elif found.get("type") == "EXTERNAL" and found["location"] == _about(spark, name)["location"]:
         spark.sql(f"DROP TABLE {standby}")
     else:
-        spark.sql(f"ALTER TABLE {standby} RENAME TO {name}")
+        raise JobError(f"{standby} is in the way: it is no description left by a change of {name}")
+
+
+def _about(spark: SparkSession, name: str) -> dict:
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
 
 
 def _evolve(df: DataFrame, name: str, standby: str, fill_nulls: bool) -> None:
@@ -133,7 +142,7 @@ def _replace_description(spark: SparkSession, name: str, standby: str, schema: S
     The new description is complete under a second name before the old one
     goes, so a job cut off in between loses nothing.
     """
-    about = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
+    about = _about(spark, name)
     if about.get("type") != "EXTERNAL" or about.get("bucket_columns"):
         raise SchemaMismatch(f"{name}: nested fields can only be added to an external table without buckets")
     partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
