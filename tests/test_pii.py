@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import Row
 
@@ -72,3 +75,44 @@ def test_no_python_in_the_plan(spark):
 def test_unknown_entity(spark):
     with pytest.raises(JobError):
         pii.redact(spark.range(1), ["NOPE"])
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + at % 2) for at, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def masked_by_hand(text):
+    """At each place from the left, the longest number that is a card."""
+    out, at = "", 0
+    while at < len(text):
+        for n in (16, 15, 14, 13):
+            found = re.compile(rf"(?<![0-9A-Za-z_])[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9A-Za-z_])").match(text, at)
+            if found and luhn(re.sub("[ -]", "", found[0])):
+                out, at = out + "****", found.end()
+                break
+        else:
+            out, at = out + text[at], at + 1
+    return out
+
+
+def test_cards_against_brute_force(spark):
+    rng = random.Random(3)
+    cards = ["4111111111111111", "378282246310005", "30569309025904", "4222222222222", "5500005555555559"]
+
+    def piece():
+        kind = rng.randrange(4)
+        if kind == 0:
+            return "".join(c + rng.choice(["", "", "", " ", "-"]) for c in rng.choice(cards))
+        if kind == 1:
+            return "".join(rng.choice("0123456789 -") for _ in range(rng.randrange(1, 25)))
+        return rng.choice(["a", "_", ", ", " ", "-", "x1"])
+
+    texts = ["".join(piece() for _ in range(rng.randrange(1, 8))) for _ in range(2000)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    masked = {r.i: r.t for r in pii.redact(rows, ["CREDIT_CARD"]).collect()}
+    wrong = [(t, masked[i], masked_by_hand(t)) for i, t in enumerate(texts) if masked[i] != masked_by_hand(t)]
+    assert not wrong, wrong[:3]
+    counted = {r.i: sum(d.n for d in r[pii.DETECTED]) for r in pii.detect(rows, ["CREDIT_CARD"]).collect()}
+    assert all(counted[i] == masked[i].count("****") for i in counted)
+    assert sum(counted.values()) > 500

@@ -143,6 +143,32 @@ def test_json_tables(spark, db):
     assert rows(spark.table(f"{db}.j")) == [(1, "x")]
 
 
+def test_iceberg_calls(spark, db, monkeypatch):
+    """Iceberg itself is absent: what would be asked of it."""
+    calls = []
+
+    class Writer:
+        def __init__(self, frame, name):
+            calls.append(("writeTo", name, frame.columns))
+
+        def __getattr__(self, name):
+            return lambda *given: calls.append((name, *[str(g) for g in given])) or self
+
+    monkeypatch.setattr(type(spark.range(1)), "writeTo", lambda frame, name: Writer(frame, name))
+    batch = spark.sql("select 1 as id, null as nothing, 'x' as p")
+    write_evolving_table(batch, db, "i", "append", ["p"], path="s3://b/i", format="iceberg")
+    assert calls[0] == ("writeTo", f"`{db}`.`i`", ["id", "p"]) and calls[1] == ("using", "iceberg")
+    assert ("tableProperty", "write.distribution-mode", "hash") in calls
+    assert calls[-2:] == [("tableProperty", "location", "s3://b/i"), ("create",)]
+    spark.sql(f"create table {db}.i (id int, p string) using parquet")
+    for mode, last in (("append", "append"), ("overwrite", "overwritePartitions")):
+        calls.clear()
+        write_evolving_table(spark.sql("select 'n' as new, 'x' as p"), db, "i", mode, format="iceberg")
+        assert calls == [("writeTo", f"`{db}`.`i`", ["id", "p", "new"]), ("option", "merge-schema", "true"), (last,)]
+    with pytest.raises(SchemaMismatch):
+        write_evolving_table(spark.sql("select array(1) as id"), db, "i", "append", format="iceberg")
+
+
 def test_refusals(spark, db):
     with pytest.raises(JobError):
         write_evolving_table(spark.range(1), db, "t", "ignore")
