@@ -30,6 +30,20 @@ def test_files_round_trip(spark, folder):
     assert read_files(spark, "unused", options={"paths": [f"{folder}/out"]}).count() == 100
 
 
+def test_odd_column_names(spark, folder, db):
+    df = spark.range(6).selectExpr("id as `an id`", "id % 2 as `a.b`", "'x' as `p q`")
+    write_files(df, f"{folder}/out", partition_by=["p q"])
+    assert spark.read.parquet(f"{folder}/out").columns == ["an id", "a.b", "p q"]
+    for batch in (df, df.withColumn("new one", F.lit(1)), df.withColumn("st", F.struct(F.lit(1).alias("x y")))):
+        write_evolving_table(batch, db, "odd", "append", ["p q"])
+    wider = df.withColumn("st", F.struct(F.lit(1).alias("x y"), F.lit(2).alias("z.z")))
+    write_evolving_table(wider, db, "odd", "append", ["p q"])
+    append_to_table(spark.table(f"{db}.odd").limit(2), db, "odd")
+    table = spark.table(f"{db}.odd")
+    assert table.columns == ["an id", "a.b", "new one", "st", "p q"] and table.count() == 26
+    assert table.schema["st"].dataType.fieldNames() == ["x y", "z.z"]
+
+
 def test_a_large_partition_is_cut_into_several_files(spark, folder):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
     try:

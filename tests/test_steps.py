@@ -116,6 +116,14 @@ def test_join_of_different_key_types(spark, how):
         plain.select(F.expr("cast(k as string)"), F.expr("cast(f as string)"), "v"))
 
 
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_join_of_odd_names(spark, how):
+    left = spark.range(30).selectExpr("if(id < 20, 1, id) as `a key`", "id as `v 1`")
+    right = spark.range(30).selectExpr("if(id < 15, 1, id + 5) as `a key`", "id as `v 2`")
+    plain, ours = left.join(right, "a key", how), join(left, right, "a key", how, 5)
+    assert values(ours) == values(plain) and ours.columns == plain.columns
+
+
 def test_join_refuses(sides):
     left, right = sides
     with pytest.raises(JobError):

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from tidewright.names import require
+from tidewright.names import column, require
 
 
 def arranged(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -17,7 +17,7 @@ def arranged(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     merges small ones, so a partition holding a third of the rows is no
     bottleneck.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *[column(name) for name in partition_by]) if partition_by else df
 
 
 def write_files(
