@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidewright import work
+from tidewright.plans import job
 from tidewright.operators import join, window
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -60,6 +61,11 @@ def test_skewed_join_partitions_are_split(spark, conf):
         joined = join(left, right, "k", how)
         joined._jdf.queryExecution().toRdd().count()
         assert "(skew=true)" in joined._jdf.queryExecution().executedPlan().toString(), how
+    for forced in (False, True):
+        with work.settings(spark, job._WHILE_WRITING if forced else {}):
+            counted = join(left, right, "k").groupBy("k").agg(F.max("a"), F.max("b"))
+            counted._jdf.queryExecution().toRdd().count()
+        assert ("(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()) == forced
 
 
 def test_hot_window_rows_spread_over_buckets(spark):

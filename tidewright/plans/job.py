@@ -17,9 +17,14 @@ from tidewright.functions.registry import register
 from tidewright.names import require
 from tidewright.plans.spec import SINK_TYPES, SOURCE_TYPES, STEP_TYPES, Sink, Source, Step, build
 from tidewright.streaming import incremental
+from tidewright.work import settings
 
 Frames = dict[str, DataFrame]
 
+# Split the skewed partitions of a join even if what comes after, such as an
+# aggregation by the same key, then needs a shuffle of its own.
+_WHILE_WRITING = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+
 
 @dataclass
 class Job:
@@ -139,7 +144,8 @@ class Job:
     def write(self, spark: SparkSession, given: Mapping[str, DataFrame] | None = None) -> None:
         df = self.result(spark, given)
         if self.sink is not None and self.body is None:
-            _write(df, self._effective_sink())
+            with settings(spark, _WHILE_WRITING):
+                _write(df, self._effective_sink())
 
     def _callable(self, function: Callable | str, what: str) -> Callable:
         """The function itself, or the one given or imported under that name."""

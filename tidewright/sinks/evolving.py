@@ -21,7 +21,7 @@ from tidewright.functions.schema import (
 from tidewright.names import column, fold, is_case_sensitive, require
 from tidewright.sinks.files import arranged
 from tidewright.sources.tables import table_name
-from tidewright.work import stage
+from tidewright.work import settings, stage
 
 # Properties a new Iceberg table is created with.
 ICEBERG_PROPERTIES = {
@@ -32,8 +32,6 @@ ICEBERG_PROPERTIES = {
     "write.distribution-mode": "hash",
 }
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 
 def write_evolving_table(
     df: DataFrame,
@@ -181,9 +179,7 @@ def _insert(df: DataFrame, name: str, overwrite: bool) -> None:
         return
     # insertInto heeds the session's setting only: a writer option would be
     # ignored and every other partition deleted.
-    before = spark.conf.get(_OVERWRITE_MODE, None)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         try:
             arranged(df, partitions).write.insertInto(name, overwrite=True)
         except AnalysisException as error:
@@ -191,11 +187,6 @@ def _insert(df: DataFrame, name: str, overwrite: bool) -> None:
                 raise
             # The batch is read from the very table it replaces.
             arranged(stage(df), partitions).write.insertInto(name, overwrite=True)
-    finally:
-        if before is None:
-            spark.conf.unset(_OVERWRITE_MODE)
-        else:
-            spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def _write_iceberg(df, name, mode, partition_by, path, fill_nulls) -> None:
