@@ -395,6 +395,9 @@ class _Split:
             parts, value = _PEERS[one.function]
             argument = one.arguments[0] if one.arguments else "1"
             source = F.lit(1) if argument == "*" else F.expr(argument)
+            if one.function in _SPREADS:
+                rows = self._with_mean(rows, source, f"__w{at}_mean")
+                source = source.cast("double") - F.col(f"__w{at}_mean")
             found = {}
             for part, (partial, total) in parts.items():
                 name = f"__w{at}_{part}"
@@ -407,7 +410,18 @@ class _Split:
         ordered = self._running(self._bucketed(peers, sorts), sorts, running)
         others = _numbered_names(f"peer{at_first}_", len(mine))
         joined = rows.join(ordered.select(*_aliased(mine, others), *values), same_keys(mine, others))
-        return joined.drop(*others, *names), {at: F.col(f"__w{at}") for at, _ in columns}
+        means = [f"__w{at}_mean" for at, _ in columns]
+        return joined.drop(*others, *names, *means), {at: F.col(f"__w{at}") for at, _ in columns}
+
+    def _with_mean(self, rows: DataFrame, source: Column, name: str) -> DataFrame:
+        """``rows`` with the mean of the group. Squares are summed around it, as
+        those of large numbers would drown their differences."""
+        if not self.keys:
+            return rows.withColumn(name, rows.agg(F.avg(source)).scalar())
+        others = [f"{name}_{i}" for i in range(len(self.keys))]
+        means = rows.groupBy(*_aliased(self.keys, others)).agg(F.avg(source).cast("double").alias(name))
+        # one row per hot group
+        return rows.join(F.broadcast(means), same_keys(self.keys, others)).drop(*others)
 
 
 # Running totals every peer function can use: rows up to and with the ties,
@@ -427,6 +441,20 @@ def _average(total: Column, n: Column) -> Column:
     return F.when(n > 0, total / F.greatest(n, F.lit(1)))
 
 
+def _variance(freedom: int) -> Callable[..., Column]:
+    """The variance, with the divisor smaller by ``freedom`` than the number of rows."""
+
+    def value(n: Column, total: Column, squares: Column) -> Column:
+        around = F.greatest(squares - total * total / F.greatest(n, F.lit(1)), F.lit(0.0))
+        return F.when(n > freedom, around / F.greatest(n - freedom, F.lit(1)))
+
+    return value
+
+
+def _deviation(freedom: int) -> Callable[..., Column]:
+    return lambda n, total, squares: F.sqrt(_variance(freedom)(n, total, squares))
+
+
 _POSITIONS = {
     "row_number": _Split._row_number,
     "ntile": _Split._ntile,
@@ -437,6 +465,18 @@ _POSITIONS = {
     "nth_value": _Split._nth,
 }
 
+_SPREADS = {
+    "variance": _variance(1),
+    "var_samp": _variance(1),
+    "var_pop": _variance(0),
+    "std": _deviation(1),
+    "stddev": _deviation(1),
+    "stddev_samp": _deviation(1),
+    "stddev_pop": _deviation(0),
+}
+
+_SUMS = {"n": (F.count, F.sum), "total": (F.sum, F.sum), "squares": (lambda d: F.sum(d * d), F.sum)}
+
 # Per function the parts it needs, each as an aggregate of tied rows and its
 # running total (None: of the tied rows only), and the value made of them.
 _PEERS = {
@@ -455,4 +495,5 @@ _PEERS = {
     "bool_or": ({"high": (F.bool_or, F.max)}, lambda high: high),
     "last": ({"own": (F.last, None)}, lambda own: own),
     "last_value": ({"own": (F.last, None)}, lambda own: own),
+    **{function: (_SUMS, value) for function, value in _SPREADS.items()},
 }
