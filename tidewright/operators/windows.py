@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewright.errors import JobError
 from tidewright.names import Expression, column, expression as to_column, fold, has_unique_names, is_case_sensitive
