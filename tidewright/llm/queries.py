@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, mixing, simhash
+from tidewright.llm import chat, langid, mixing, pieces, simhash
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +36,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """A quarter of the documents, by their identifiers; those without one aren't held out."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.train(documents.where(~held_out()))
+    found = langid.identify(documents, model, keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 @query(r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -95,6 +111,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pieces.token_counts(pieces.encode(documents, PIECE_MODEL, keep=["doc_id"]), ["doc_id"])
+
+
 @query(r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
