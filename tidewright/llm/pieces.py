@@ -22,7 +22,7 @@ from tidewright.names import column
 
 SPACE = "▁"
 _SPACE_BYTES = SPACE.encode()
-_KEPT_SEGMENTS = 300_000
+_KEPT_SEGMENTS = 500_000
 # Types of pieces in a model file (fixed values).
 _NORMAL, _UNKNOWN, _CONTROL, _USER_DEFINED, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 
@@ -125,9 +125,12 @@ class PieceModel:
         self.lengths = np.array(lengths, dtype=np.int64)
         self.spaced = np.array([k == _NORMAL and p.startswith(SPACE) for p, k in zip(self.pieces, kinds)])
         self.control = np.array([k == _CONTROL for k in kinds])
-        # Texts can be cut before spaces if no piece goes on from a letter to a space.
-        whole = any(SPACE in p.lstrip(SPACE) for p in self.score)
-        self.segment = re.compile(r"(?s).+" if whole else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # Texts can be cut before spaces if no piece goes on from a letter to a space, and
+        # around line ends and tabs that no piece holds.
+        used = set().union(*self.score)
+        apart = "".join(c for c in "\n\t\r" if c not in used)
+        cut = f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + (f"|[{apart}]" if apart else "")
+        self.segment = re.compile("(?s).+" if any(SPACE in p.lstrip(SPACE) for p in self.score) else cut)
         self.kept: dict[str, bytes] = {}
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
@@ -192,17 +195,17 @@ class PieceModel:
 
     def _merged(self, symbols: list[str]) -> list[str]:
         """Merge the neighbours that make the best piece, the leftmost of equals, until none does."""
-        score = self.score
-        if len(symbols) <= 32:
-            while len(symbols) > 1:
-                best, place = None, -1
-                for i in range(len(symbols) - 1):
-                    value = score.get(symbols[i] + symbols[i + 1])
-                    if value is not None and (best is None or value > best):
-                        best, place = value, i
-                if best is None:
-                    break
-                symbols[place : place + 2] = [symbols[place] + symbols[place + 1]]
+        score, none = self.score, -np.inf
+        if len(symbols) <= 64:
+            values = [score.get(a + b, none) for a, b in zip(symbols, symbols[1:])]
+            while values and (best := max(values)) != none:
+                at = values.index(best)
+                symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+                del values[at]
+                if at:
+                    values[at - 1] = score.get(symbols[at - 1] + symbols[at], none)
+                if at < len(values):
+                    values[at] = score.get(symbols[at] + symbols[at + 1], none)
             return symbols
         # The same with a heap, for long segments.
         after, before = [*range(1, len(symbols)), -1], [*range(-1, len(symbols) - 1)]
