@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, langid, mixing, pieces, simhash
+from tidewright.llm import chat, langid, mixing, pieces, simhash, warc
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_edits(table(spark, sf_dir, "documents"))
