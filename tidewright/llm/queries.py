@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, langid, mixing, pieces, simhash, warc
+from tidewright.llm import chat, jaccard, langid, mixing, pieces, simhash, warc
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -162,3 +162,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.group_alike(table(spark, sf_dir, "documents"))
