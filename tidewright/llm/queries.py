@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, jaccard, langid, mixing, pieces, simhash, warc
+from tidewright.llm import chat, jaccard, langid, mixing, passages, pieces, simhash, warc
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -167,3 +167,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.group_alike(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
