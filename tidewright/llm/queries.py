@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, jaccard, langid, mixing, passages, pieces, simhash, warc
+from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, simhash, warc
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -172,3 +172,13 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
