@@ -22,7 +22,6 @@ from tidewright.llm.shingles import mixed, shingle_hashes
 from tidewright.names import column
 from tidewright.work import stage
 
-_DENSE_WORDS = 32
 _CHUNK = 4_096
 _U = np.uint64
 
@@ -69,9 +68,19 @@ def block_keys(own: np.ndarray, band: int, likeness: tuple[int, int]) -> np.ndar
 
 
 def dense_sketch(own: np.ndarray) -> bytes:
-    """2,048 bits of parities."""
-    bits = np.bincount((own & _U(64 * _DENSE_WORDS - 1)).astype(np.int64), minlength=64 * _DENSE_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    """Parities at a power of two of bits, four for each member at least."""
+    bits = max(64, 1 << (4 * len(own) - 1).bit_length()) if len(own) else 64
+    parity = np.bincount((own & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """The sketches at the width of the narrowest, a row each; halves of wider ones are XORed."""
+    width = min(map(len, sketches)) // 8
+    out = np.empty((len(sketches), width), _U)
+    for i, sketch in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, _U).reshape(-1, width), axis=0)
+    return out
 
 
 def _sets(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -186,7 +195,7 @@ def close_pairs(members: DataFrame, likeness: tuple[int, int]) -> DataFrame:
         def close() -> Iterator[pa.RecordBatch]:
             names = np.array([row[4] for row in held], np.int64)
             sizes = np.array([row[5] for row in held], np.int64)
-            bits = np.frombuffer(b"".join(row[6] for row in held), _U).reshape(len(held), _DENSE_WORDS)
+            bits = folded([row[6] for row in held])
             is_one = np.array([row[3] for row in held])
             same = at[1] == at[2]
             for i in np.flatnonzero(is_one).tolist():
@@ -216,16 +225,21 @@ def close_pairs(members: DataFrame, likeness: tuple[int, int]) -> DataFrame:
     return together.mapInArrow(pairs, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, likeness: tuple[int, int]) -> DataFrame:
-    """The pairs whose sets are alike, counted member by member. ``texts`` has ``name, text``."""
-    p, q = likeness
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct())
+def set_members(texts: DataFrame, words: int) -> DataFrame:
+    """``name, own``: the members of the sets of rows ``name, text``."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [_set_of(text.as_py(), words).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["name", "own"])
 
+    return texts.mapInArrow(members, "name long, own binary")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, likeness: tuple[int, int]) -> DataFrame:
+    """``u, v``: the pairs ``a, b`` whose sets are alike, counted member by member."""
+    p, q = likeness
+
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -235,12 +249,28 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, likeness: tuple[int
                 keep.append(q * both >= p * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = stage(texts.join(wanted, "name", "left_semi").mapInArrow(members, "name long, own binary"))
     first = sets.select(F.col("name").alias("a"), F.col("own").alias("own_a"))
     second = sets.select(F.col("name").alias("b"), F.col("own").alias("own_b"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "own_a", "own_b").mapInArrow(alike, "u long, v long")
 
 
+def joined_by_links(pairs: DataFrame, sets: DataFrame, likeness: tuple[int, int]) -> DataFrame:
+    """``node, root`` of the components that the alike ones of the pairs make.
+
+    First every set is compared with the first one it is paired with, which joins most
+    copies; then all pairs that are still apart. Pairs within a component change nothing.
+    """
+    first = stage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = stage(verified(first, sets, likeness))
+    roots = stage(components(links))
+    root_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    root_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    rest = pairs.join(first, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left").where(apart)
+    more = verified(stage(rest.select("a", "b")), sets, likeness)
+    return components(links.unionAll(more))
+
+
 def group_alike(
     df: DataFrame,
     *,
@@ -271,8 +301,8 @@ def group_alike(
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     chosen = stage(sets.join(wanted, "name", "left_semi").select("name", "id"))
     texts = rows.join(chosen, rows["id"].eqNullSafe(chosen["id"])).select("name", "text")
-    links = verified(pairs, _one_text(texts, words), words, likeness)
-    roots = components(links)
+    members = stage(set_members(_one_text(texts, words), words))
+    roots = joined_by_links(pairs, members, likeness)
     joined = known.join(roots, known["name"] == roots["node"], "left").select(
         "id", "size", F.when(F.col("size") > 0, F.coalesce("root", "name")).alias("class")
     )
