@@ -131,7 +131,7 @@ def postings(df: DataFrame, words: int, likeness: tuple[int, int]) -> DataFrame:
 
 
 def shared_blocks(posted: DataFrame) -> DataFrame:
-    """``run, chunk, chunks, name``: the sets that share a block, once for each list of sets.
+    """``run, members, chunk, chunks, name``: the sets that share a block, once for each list of sets.
 
     Keys are brought together and sorted, and their runs are read as a stream, so that
     a task holds the names of one run; runs of a single set end here. Long runs are cut
@@ -152,11 +152,11 @@ def shared_blocks(posted: DataFrame) -> DataFrame:
                 own = names[start : start + size]
                 run = xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
                 chunk = np.arange(size) // _CHUNK
-                out.append((np.full(size, run), chunk, np.full(size, chunk[-1] + 1), own))
+                out.append((np.full(size, run), np.full(size, size), chunk, np.full(size, chunk[-1] + 1), own))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([row[i] for row in out]).astype(np.int64)) for i in range(4)],
-                    ["run", "chunk", "chunks", "name"],
+                    [pa.array(np.concatenate([row[i] for row in out]).astype(np.int64)) for i in range(5)],
+                    ["run", "members", "chunk", "chunks", "name"],
                 )
 
         for batch in batches:
@@ -173,19 +173,22 @@ def shared_blocks(posted: DataFrame) -> DataFrame:
             yield from emitted(rest_keys, rest_names)
 
     together = posted.repartition("key").sortWithinPartitions("key", "name")
-    return together.mapInArrow(runs, "run long, chunk long, chunks long, name long").distinct()
+    return together.mapInArrow(runs, "run long, members long, chunk long, chunks long, name long").distinct()
 
 
-def close_pairs(members: DataFrame, likeness: tuple[int, int]) -> DataFrame:
+def close_pairs(members: DataFrame, likeness: tuple[int, int], only_first: bool) -> DataFrame:
     """``a, b``: sets that share a block and whose sizes and sketches let them be alike.
 
-    ``members`` has ``run, chunk, chunks, name, size, sketch``. Chunks of a run meet two by two.
+    ``members`` has ``run, chunk, chunks, name, size, sketch, root``. Chunks of a run meet two by
+    two. With ``only_first`` each set is paired with the first such set of its run (and
+    chunk), so that the pairs of a run of copies are no more than its rows; else
+    with all of those that have another root.
     """
     p, q = likeness
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     met = members.withColumn("other", other).select(
         "run", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
-        (F.col("chunk") == F.least("chunk", "other")).alias("is_one"), "name", "size", "sketch",
+        (F.col("chunk") == F.least("chunk", "other")).alias("is_one"), "name", "size", "sketch", "root",
     )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,16 +199,20 @@ def close_pairs(members: DataFrame, likeness: tuple[int, int]) -> DataFrame:
             names = np.array([row[4] for row in held], np.int64)
             sizes = np.array([row[5] for row in held], np.int64)
             bits = folded([row[6] for row in held])
+            roots = np.array([row[7] for row in held], np.int64)
             is_one = np.array([row[3] for row in held])
             same = at[1] == at[2]
+            free = np.ones(len(held), bool)
             for i in np.flatnonzero(is_one).tolist():
                 j = np.arange(i + 1, len(held)) if same else np.flatnonzero(~is_one)
+                j = j[free[j] if only_first else roots[j] != roots[i]]
                 # The smaller may be no smaller than p / q of the larger.
                 low, high = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
                 j = j[low * q >= high * p]
                 apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
                 j = j[apart * (q + p) <= (sizes[i] + sizes[j]) * (q - p)]
                 if len(j):
+                    free[j] = False
                     first = np.full(len(j), names[i])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(first, names[j])), pa.array(np.maximum(first, names[j]))], ["a", "b"]
@@ -254,23 +261,6 @@ def verified(pairs: DataFrame, sets: DataFrame, likeness: tuple[int, int]) -> Da
     return pairs.join(first, "a").join(second, "b").select("a", "b", "own_a", "own_b").mapInArrow(alike, "u long, v long")
 
 
-def joined_by_links(pairs: DataFrame, sets: DataFrame, likeness: tuple[int, int]) -> DataFrame:
-    """``node, root`` of the components that the alike ones of the pairs make.
-
-    First every set is compared with the first one it is paired with, which joins most
-    copies; then all pairs that are still apart. Pairs within a component change nothing.
-    """
-    first = stage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = stage(verified(first, sets, likeness))
-    roots = stage(components(links))
-    root_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    root_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    rest = pairs.join(first, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left").where(apart)
-    more = verified(stage(rest.select("a", "b")), sets, likeness)
-    return components(links.unionAll(more))
-
-
 def group_alike(
     df: DataFrame,
     *,
@@ -296,13 +286,20 @@ def group_alike(
         F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
     )
     runs = stage(shared_blocks(postings(rows, words, likeness)))
-    pairs = stage(close_pairs(runs.join(sets.drop("id"), "name").select(*runs.columns, "size", "sketch"), likeness))
-    # One text for each set in a pair: that of its smallest identifier.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    chosen = stage(sets.join(wanted, "name", "left_semi").select("name", "id"))
-    texts = rows.join(chosen, rows["id"].eqNullSafe(chosen["id"])).select("name", "text")
-    members = stage(set_members(_one_text(texts, words), words))
-    roots = joined_by_links(pairs, members, likeness)
+    sketched = runs.join(sets.drop("id"), "name").withColumn("root", F.col("name"))
+    # First every set is compared with one of each run, which joins most copies; then, in runs of
+    # three or more, all that are still apart. Pairs within a component change nothing.
+    pairs = stage(close_pairs(sketched, likeness, only_first=True))
+    links = stage(verified(pairs, _members_of(pairs, rows, sets, words), likeness))
+    roots = stage(components(links))
+    parts = runs.where("members > 2").join(roots, runs["name"] == roots["node"], "left").select(
+        *runs.columns, F.coalesce("root", "name").alias("root")
+    )
+    split = parts.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    apart = parts.join(split.select("run"), "run", "left_semi").join(sets.drop("id"), "name")
+    more = stage(close_pairs(apart, likeness, only_first=False).join(pairs, ["a", "b"], "left_anti"))
+    found = stage(verified(more, _members_of(more, rows, sets, words), likeness))
+    roots = stage(components(links.unionAll(found)))
     joined = known.join(roots, known["name"] == roots["node"], "left").select(
         "id", "size", F.when(F.col("size") > 0, F.coalesce("root", "name")).alias("class")
     )
@@ -314,6 +311,14 @@ def group_alike(
     )
 
 
+def _members_of(pairs: DataFrame, rows: DataFrame, sets: DataFrame, words: int) -> DataFrame:
+    """``name, own`` for each set in a pair, from the text of its smallest identifier, staged."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    chosen = stage(sets.join(wanted, "name", "left_semi").select("name", "id"))
+    texts = rows.join(chosen, rows["id"].eqNullSafe(chosen["id"])).select("name", "text")
+    return stage(set_members(_one_text(texts, words), words))
+
+
 def _one_text(texts: DataFrame, words: int) -> DataFrame:
     """Of texts found by identifier, those that have the set they were looked up for.
 
