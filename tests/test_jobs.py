@@ -32,16 +32,22 @@ def test_a_whole_job(spark, data):
     job = Job.from_dict(config(
         data,
         transforms=[
-            {"transform_type": "filter", "source": "orders", "output": "orders", "condition": "amount > 100"},
-            {"transform_type": "sql", "output": "enriched",
-             "query": "SELECT o.*, c.name FROM orders o JOIN customers c USING (customer_id)"},
-            {"transform_type": "join", "left": "orders", "right": "customers", "on": "customer_id", "output": "joined"},
+            {"transform_type": "aggregate", "source": "orders", "output": "totals", "group_by": ["customer_id"],
+             "aggs": {"spent": "sum(amount)", "n": "count(*)"}},
+            {"transform_type": "join", "left": "customers", "right": "totals", "on": "customer_id", "how": "left",
+             "output": "spending"},
+            {"transform_type": "add_column", "source": "spending", "name": "big", "expression": "coalesce(spent, 0) > 200"},
         ],
-        sink={"source": "joined", "sink_type": "s3", "path": f"{data}/out", "mode": "overwrite"},
+        sink={"source": "spending", "sink_type": "file", "path": f"{data}/spending", "mode": "overwrite"},
     ))
     job.run(spark)
-    assert rows(spark.read.parquet(f"{data}/out")) == [(0, 3, 150, "n0"), (1, 4, 200, "n1")]
-    assert job.frames(spark)["enriched"].count() == 2
+    spent = {}
+    for row in spark.read.parquet(f"{data}/orders").collect():
+        spent[row["customer_id"]] = spent.get(row["customer_id"], 0) + row["amount"]
+    names = [row["customer_id"] for row in spark.read.parquet(f"{data}/customers").collect()]
+    written = {row["customer_id"]: (row["spent"], row["big"]) for row in spark.read.parquet(f"{data}/spending").collect()}
+    assert written == {name: (spent.get(name), spent.get(name, 0) > 200) for name in names}
+    assert job.frames(spark)["totals"].count() == len(spent)
 
 
 def test_names(spark, data):

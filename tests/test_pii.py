@@ -116,3 +116,12 @@ def test_cards_against_brute_force(spark):
     counted = {r.i: sum(d.n for d in r[pii.DETECTED]) for r in pii.detect(rows, ["CREDIT_CARD"]).collect()}
     assert all(counted[i] == masked[i].count("****") for i in counted)
     assert sum(counted.values()) > 500
+
+
+def test_long_texts_of_labels_are_masked(spark):
+    from tidewright.functions.pii import redact
+
+    long = "x@" + "a." * 100_000
+    df = spark.createDataFrame([(long + "1",), (long + "com",)], "text string")
+    first, second = [row["text"] for row in redact(df, ["EMAIL"]).collect()]
+    assert first == long + "1" and second == "****"

@@ -5,35 +5,37 @@ import pytest
 from tidewright import Job, JobError
 from tidewright.plans.job import read
 
-EVENTS = {"name": "events", "source_type": "s3", "format": "parquet", "path": "s3://bucket/events/"}
-OUT = {"sink_type": "s3", "format": "parquet", "path": "s3://bucket/out/", "mode": "overwrite"}
+PARTS = {"name": "parts", "source_type": "file", "format": "orc", "path": "/lake/parts"}
+DUMP = {"sink_type": "file", "format": "json", "path": "/lake/dump", "mode": "append"}
 
 SHAPES = {
-    "plain": {"sources": [EVENTS], "sink": OUT},
-    "masking": {"sources": [EVENTS], "mask_pii": ["USA_SSN", "CREDIT_CARD"], "sink": OUT},
-    "evolving": {
-        "sources": [EVENTS],
-        "sink": {"sink_type": "iceberg", "database": "analytics", "table": "events", "mode": "append",
-                 "fill_nulls": True, "catalog_id": "1"},
-        "config": {"service": {"warehouse": "s3://bucket/warehouse/"}},
+    "copy": {"sources": [PARTS], "sink": DUMP},
+    "two sources": {
+        "sources": [PARTS, {"name": "bins", "source_type": "catalog", "database": "stock", "table": "bins"}],
+        "transforms": [{"transform_type": "join", "right": "bins", "on": "part_no", "how": "left_anti"}],
+        "mask_pii": ["PHONE_NUMBER", "IP_ADDRESS"],
+        "sink": DUMP,
     },
-    "topic": {
-        "sources": [{"name": "stream", "source_type": "kafka", "connection_url": "broker:9092", "topic": "clicks"}],
-        "sink": {**OUT, "mode": "append"},
+    "table": {
+        "sources": [PARTS],
+        "sink": {"sink_type": "iceberg", "database": "stock", "table": "parts", "fill_nulls": False, "partition_by": ["bin"]},
     },
-    "http": {
-        "sources": [{"name": "weather", "source_type": "api", "url": "https://example.org/stations",
-                     "headers": {"Accept": "application/json"}}],
-        "sink": OUT,
+    "stream": {
+        "sources": [{"name": "scans", "source_type": "kafka", "connection_url": "k1:9092,k2:9092", "topic": "scans",
+                     "options": {"startingOffsets": "earliest"}}],
+        "transforms": [{"transform_type": "add_column", "name": "body", "expression": "CAST(value AS STRING)"}],
+        "sink": DUMP,
+    },
+    "pages of answers": {
+        "sources": [{"name": "prices", "source_type": "api", "url": "https://prices.example.net/v2"}],
+        "sink": DUMP,
     },
     "database": {
-        "sources": [{"name": "rows", "source_type": "jdbc", "engine": "spark", "connection_type": "postgresql",
-                     "database": "shop", "table": "orders", "options": {"fetchsize": 1000},
-                     "auth": {"rds_iam": {"host": "h", "port": 5432, "username": "u"}, "password": "p"}}],
-        "sink": {"sink_type": "jdbc", "connection_url": "jdbc:x", "table": "t", "mode": "append"},
+        "sources": [{"name": "bins", "source_type": "jdbc", "connection_url": "jdbc:db2:stock", "table": "bins"}],
+        "sink": {"sink_type": "jdbc", "connection_url": "jdbc:db2:copy", "table": "bins", "mode": "append"},
     },
-    "partitioned": {"sources": [EVENTS], "sink": OUT, "partition_by": ["year", "day"], "create_timestamp": True,
-                    "partition_timestamp_column": "ts"},
+    "by month": {"sources": [PARTS], "sink": DUMP, "partition_by": ["month"], "create_timestamp": True,
+                 "partition_timestamp_column": "counted_at"},
 }
 
 
@@ -48,7 +50,7 @@ def test_defaults():
                          "sink": {"sink_type": "table", "database": "d", "table": "t"}, "partition_by": ["year"]})
     assert job.sources[0].format == "parquet" and job.sink.mode == "overwrite" and job.sink.fill_nulls
     assert job._effective_sink().partition_by == ["year"]
-    assert Job.from_dict({"sink": OUT, "partition_by": ["year"]})._effective_sink().partition_by == ()
+    assert Job.from_dict({"sink": DUMP, "partition_by": ["year"]})._effective_sink().partition_by == ()
     assert Job().default_source == "source"
 
 
@@ -72,16 +74,15 @@ def asked(shape):
 def test_database_reader():
     assert asked("database") == [
         ("format", "jdbc", {}),
-        ("options", {"url": "jdbc:postgresql://h:5432/shop", "dbtable": "orders", "fetchsize": "1000", "user": "u",
-                     "password": "p", "ssl": "true", "sslmode": "require"}),
+        ("options", {"url": "jdbc:db2:stock", "dbtable": "bins"}),
         ("load", {}),
     ]
 
 
-def test_topic_reader():
-    assert asked("topic") == [
+def test_stream_reader():
+    assert asked("stream") == [
         ("format", "kafka", {}),
-        ("options", {"kafka.bootstrap.servers": "broker:9092", "subscribe": "clicks"}),
+        ("options", {"kafka.bootstrap.servers": "k1:9092,k2:9092", "subscribe": "scans", "startingOffsets": "earliest"}),
         ("load", {}),
     ]
 
@@ -97,3 +98,23 @@ def test_required_settings(source):
 def test_secrets_are_given_by_the_caller():
     with pytest.raises(JobError, match="secret_id"):
         Job.from_dict({"sources": [{"name": "s", "source_type": "jdbc", "table": "t", "secret_id": "x"}]})
+
+
+def test_database_url_and_credentials():
+    reader = Reader()
+    source = {"name": "bins", "source_type": "jdbc", "connection_type": "mysql", "database": "stock", "table": "bins",
+              "auth": {"rds_iam": {"host": "db1", "port": 3306, "username": "reader"}, "password": "word"}}
+    read(reader, Job.from_dict({"sources": [source]}).sources[0])
+    assert reader.calls[1] == ("options", {
+        "url": "jdbc:mysql://db1:3306/stock", "dbtable": "bins", "user": "reader", "password": "word", "ssl": "true",
+        "sslmode": "require"})
+
+
+def test_imported_modules():
+    from tidewright.plans.job import _imported
+
+    import math
+
+    assert _imported([{"name": "math"}, {"name": "sqrt", "from": "math"}]) == {"math": math, "sqrt": math.sqrt}
+    with pytest.raises(JobError):
+        _imported([{"name": "no_such_module"}])

@@ -30,7 +30,8 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 ENTITIES = ("EMAIL", "USA_SSN", "CREDIT_CARD", "IP_ADDRESS", "PHONE_NUMBER")
 
 _PATTERNS = {
-    "EMAIL": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # Loops over classes only: Java's matcher recurses for each round of a looped group.
+    "EMAIL": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-][A-Za-z0-9.-]*(?<!\.)\.[A-Za-z]{2,}",
     "USA_SSN": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
     "IP_ADDRESS": _BEFORE + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + _AFTER,
     "PHONE_NUMBER": r"(?=[0-9+(])(?<![0-9A-Za-z_+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"

@@ -188,9 +188,10 @@ class Job:
 def _imported(imports: Sequence[Mapping[str, str]]) -> dict[str, Any]:
     functions = {}
     for entry in imports:
-        name, module = require(entry.get("name"), "import", "name"), require(entry.get("from"), "import", "from")
+        name, module = require(entry.get("name"), "import", "name"), entry.get("from")
         try:
-            functions[name] = getattr(importlib.import_module(module), name)
+            # Without a module to take it from, the name is a module itself.
+            functions[name] = getattr(importlib.import_module(module), name) if module else importlib.import_module(name)
         except (ImportError, AttributeError) as error:
             raise JobError(f"import: {error}") from None
     return functions

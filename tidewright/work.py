@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -10,26 +9,14 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidewright.errors import JobError
-
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else one in the warehouse.
 
-    Only a single-machine session that names none gets a temporary folder; on
-    a cluster a machine-local folder would be lost with its machine.
+    Either is shared by all executors; a machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise JobError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidewright-")
-    return _local_folders[context.applicationId]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
