@@ -246,3 +246,12 @@ def test_fetch_from_a_frame_of_urls(spark):
         fetch_records(urls, "url", "id int").collect()
     urls = spark.range(5).selectExpr("concat('data:application/json,', url_encode(to_json(struct(id)))) as url")
     assert rows(fetch_records(urls, F.col("url"), "id int")) == [(i,) for i in range(5)]
+
+
+def test_http_documents_are_fetched_once_and_keep_their_digits(spark, folder):
+    page = f"{folder}/exact.json"
+    with open(page, "w") as file:
+        file.write('[{"d": 0.12345678901234567890},\n {"d": 1}]')
+    read = read_http_json(spark, f"file://{page}", "d decimal(30,20)")
+    os.remove(page)
+    assert [str(row["d"]) for row in read.union(read).collect()][:2] == ["0.12345678901234567890", "1.00000000000000000000"]

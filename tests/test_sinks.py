@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import Row, functions as F
 
@@ -219,3 +221,47 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest"}
     with pytest.raises(JobError):
         kafka_options("h", None)
+
+
+def test_nested_evolution_keeps_the_description(spark, db, folder):
+    spark.sql(f"CREATE DATABASE {db}")
+    spark.sql(
+        f"""CREATE TABLE {db}.told (id int COMMENT 'it\\'s a key', ts timestamp, st struct<a:int>) USING json
+        OPTIONS (timestampFormat 'dd/MM/yyyy HH:mm') COMMENT 'told' LOCATION '{folder}/told' TBLPROPERTIES ('kept' = 'yes')"""
+    )
+    spark.sql(f"INSERT INTO {db}.told VALUES (1, timestamp'2024-03-02 10:20:00', named_struct('a', 1))")
+    batch = spark.sql("SELECT 2 id, timestamp'2024-03-03 10:20:00' ts, named_struct('a', 2, 'b', 'x') st")
+    write_evolving_table(batch, db, "told")
+    found = spark.table(f"{db}.told").selectExpr("id", "date_format(ts, 'd H:m') at", "st.b").orderBy("id").collect()
+    assert [tuple(row) for row in found] == [(1, "2 10:20", None), (2, "3 10:20", "x")]
+    assert spark.sql(f"SHOW TBLPROPERTIES {db}.told ('kept')").first()["value"] == "yes"
+    assert spark.catalog.getTable(f"{db}.told").description == "told"
+    assert spark.catalog.listColumns(f"{db}.told")[0].description == "it's a key"
+
+
+def test_impossible_casts_are_refused_before_the_table_changes(spark, db):
+    write_evolving_table(spark.sql("SELECT 1 id"), db, "dated")
+    with pytest.raises(SchemaMismatch):
+        write_evolving_table(spark.sql("SELECT date'2024-01-01' id, 'x' more"), db, "dated")
+    assert spark.table(f"{db}.dated").columns == ["id"]
+
+
+def test_two_writers_keep_other_partitions(spark, db):
+    for name in ("one", "two"):
+        write_evolving_table(spark.range(4).selectExpr("id", "id % 4 p"), db, name, partition_by=["p"])
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting, None)
+
+    def overwrite(name):
+        for p in range(2):
+            batch = spark.range(1).selectExpr("id + 100 id", f"cast({p} as bigint) p")
+            write_evolving_table(batch, db, name, mode="overwrite", partition_by=["p"])
+
+    writers = [threading.Thread(target=overwrite, args=[name]) for name in ("one", "two")]
+    for writer in writers:
+        writer.start()
+    for writer in writers:
+        writer.join()
+    for name in ("one", "two"):
+        assert sorted(row["id"] for row in spark.table(f"{db}.{name}").collect()) == [2, 3, 100, 100]
+    assert spark.conf.get(setting, None) == before

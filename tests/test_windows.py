@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tidewright.errors import JobError
-from tidewright.operators import WindowColumn, window, windows
+from tidewright.operators import WindowColumn, skew, window, windows
 
 EXPRESSIONS = [
     "row_number()",
@@ -26,6 +26,10 @@ EXPRESSIONS = [
     "min(v)",
     "max(case when v > 5 then v end)",
     "sum(d)",
+    "avg(d)",
+    "avg(-d * d)",
+    "avg(cast(d as decimal(33,13)))",
+    "avg(cast(v as decimal(5,0)))",
     "count_if(v > 50)",
     "bool_and(v < 95)",
     "bool_or(v > 98)",
@@ -139,3 +143,28 @@ def test_unsplittable_functions_use_the_plain_window(frame):
 def test_name_must_be_an_identifier(frame, name):
     with pytest.raises(JobError):
         window(frame, name, "count(*)", ["g"])
+
+
+def test_more_hot_groups_than_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_ROWS", 5)
+    frame = spark.range(0, 2000).select((F.col("id") % 20).alias("g"), F.hash("id").alias("o"), "id")
+    spec = Window.partitionBy("g").orderBy("o")
+    plain = frame.withColumn("w", F.row_number().over(spec)).withColumn("s", F.sum("id").over(spec))
+    columns = [WindowColumn("w", "row_number()", ["g"], ["o"]), WindowColumn("s", "sum(id)", ["g"], ["o"])]
+    assert rows(windows(frame, columns, hot_rows=90)) == rows(plain)
+
+
+def test_whole_groups_read_the_input_once_more_each(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(0, 100).select(*[(F.col("id") % n).alias(f"k{n}") for n in range(2, 7)], "id").write.parquet(path)
+    columns = [WindowColumn(f"s{n}", "sum(id)", [f"k{n}"]) for n in range(2, 7)]
+    result = windows(spark.read.parquet(path), columns)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") <= 6
+    assert result.count() == 100
+
+
+def test_keys_that_differ_between_readings_keep_all_rows(spark):
+    frame = spark.range(0, 1000).withColumn("g", F.floor(F.rand() * 8))
+    assert window(frame, "n", "count(*)", ["g"]).count() == 1000
+    assert window(frame, "n", "row_number()", ["g"], ["id"], hot_rows=100).count() == 1000

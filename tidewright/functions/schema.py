@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StructField, StructType
 
@@ -136,8 +137,8 @@ def conform(df: DataFrame, target: StructType, strict: bool = False) -> DataFram
 
     Fields are matched by name at every depth; missing ones are NULL, others
     are left out. A column that already fits is passed on untouched, so
-    filters still reach the scan. A value that cannot be cast becomes NULL,
-    or fails the job if ``strict``; as the key of a map it always fails it. A
+    filters still reach the scan. Types between which Spark has no cast are
+    refused. A value that cannot be cast becomes NULL, or fails the job if ``strict``; as the key of a map it always fails it. A
     NULL struct stays NULL.
     """
     exact = is_case_sensitive(df)
@@ -153,7 +154,12 @@ def conform(df: DataFrame, target: StructType, strict: bool = False) -> DataFram
         else:
             value = _conformed(column(source.name), source.dataType, field.dataType, exact, strict)
             columns.append(value.alias(field.name))
-    return df.select(*columns)
+    try:
+        return df.select(*columns)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("DATATYPE_MISMATCH.CAST"):
+            raise
+        raise SchemaMismatch(error.getMessage()) from error
 
 
 def _conformed(value: Column, source: DataType, target: DataType, exact: bool, strict: bool) -> Column:

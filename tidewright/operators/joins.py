@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.errors import JobError
 from tidewright.names import column, fold, has_unique_names, is_case_sensitive
-from tidewright.operators.skew import hot_frame, hot_groups
+from tidewright.operators.skew import hot_groups, small
+from tidewright.work import fits_broadcast, stage
 
 # Spark's names for join types.
 _KINDS = {
@@ -41,7 +42,8 @@ def join(
     Adaptive execution splits a hot key of an inner, semi or anti join and of
     the preserved side of an outer join. It cannot split the other side of an
     outer join, so hot keys are looked for there, and the rows that carry them
-    go through an inner join instead.
+    go through an inner join instead. Without ``hot_rows`` a side that Spark
+    would broadcast isn't counted.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not keys:
@@ -51,31 +53,34 @@ def join(
         raise JobError(f"join: 'how' must be one of {sorted(_KINDS)}, not '{how}'")
     if kind not in ("left", "right", "full") or not (has_unique_names(left) and has_unique_names(right)):
         return left.join(right, on=keys, how=kind)
+    if kind != "full" and hot_rows is None and fits_broadcast({"left": right, "right": left}[kind]):
+        return left.join(right, on=keys, how=kind)
+    names = [f"__hot{i}" for i in range(len(keys))]
     sides = {"left": [right], "right": [left], "full": [left, right]}[kind]
-    hot = {tuple(row)[:-1]: row for side in sides for row in hot_groups(side, keys, hot_rows)}
-    unmatched = [key for key in hot if None in key]
-    for key in unmatched:
-        del hot[key]
+    found = [hot for side in sides if (hot := hot_groups(side, keys, names, "__hot_size", hot_rows))]
+    if not found:
+        return left.join(right, on=keys, how=kind)
+    # Several parts read each side; they are to read files, not repeat all steps before.
+    left, right = stage(left), stage(right)
     apart = []
-    if unmatched and kind == "full":
+    if kind == "full":
         # Rows whose key is NULL match nothing, yet all would meet in one task.
         both = (left, right)
         no_key = reduce(Column.__or__, [column(key).isNull() for key in keys])
         apart = [_alone(side.filter(no_key), both, at, keys) for at, side in enumerate(both)]
         left, right = left.filter(~no_key), right.filter(~no_key)
-    joined = left.join(right, on=keys, how=kind)
-    if hot:
-        names = [f"__hot{i}" for i in range(len(keys))]
-        # Of a full join the keys have a type both sides fit.
-        typed = joined if kind == "full" else sides[0]
-        listed = hot_frame(typed, keys, names, "__hot_size", list(hot.values()))
-        joined = _with_hot_keys_apart(left, right, keys, kind, listed, names)
+    # Of a full join the keys have a type both sides fit.
+    typed = (left.join(right, on=keys, how=kind) if kind == "full" else sides[0]).select(*[column(k) for k in keys])
+    cast = [F.col(name).cast(field.dataType).alias(name) for name, field in zip(names, typed.schema.fields)]
+    listed = reduce(DataFrame.union, [hot.frame.select(*cast) for hot in found]).dropna().distinct()
+    joined = _with_hot_keys_apart(left, right, keys, kind, listed, names, sum(hot.groups for hot in found))
     return reduce(DataFrame.union, apart, joined)
 
 
 def _with_hot_keys_apart(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], kind: str, hot: DataFrame, names: Sequence[str]
+    left: DataFrame, right: DataFrame, keys: Sequence[str], kind: str, hot: DataFrame, names: Sequence[str], groups: int
 ) -> DataFrame:
+    hot = small(hot, groups)
 
     def part(df: DataFrame, how: str) -> DataFrame:
         # A plain equality: rows whose key is NULL stay with the others.
@@ -90,7 +95,7 @@ def _with_hot_keys_apart(
     # Here a hot key may occur on one side alone. The lists of keys compared
     # are no longer than the list of hot keys.
     for at, (mine, other) in enumerate([(left_hot, right_hot), (right_hot, left_hot)]):
-        alone = mine.join(F.broadcast(other.select(*keys).distinct()), on=keys, how="left_anti")
+        alone = mine.join(small(other.select(*keys).distinct(), groups), on=keys, how="left_anti")
         result = result.union(_alone(alone, (left, right), at, keys))
     return result
 

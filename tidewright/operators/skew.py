@@ -3,47 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewright.names import column
+from tidewright.work import stage
 
 #: Rows one task may hold of a single group before the group is split.
 HOT_ROWS = 2_000_000
 
-#: Most groups ever treated one by one. Any group beyond them holds less than
-#: one in MAX_HOT of the rows, which is no more than a task's share.
-MAX_HOT = 2_000
+#: Frames known to have no more rows are broadcast, and hot groups listed on the
+#: driver; beyond it they stay tables, joined as Spark sees fit.
+SMALL_ROWS = 1_000
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list[Row]:
-    """The largest groups over ``hot_rows``: their keys, then their row count.
+@dataclass
+class HotGroups:
+    """Keys and row count of every hot group: how many, and their rows together."""
 
-    One pass that reads the key columns only and counts before it shuffles.
-    At most MAX_HOT rows reach the driver, however large the data.
-    """
-    size = "__rows"
-    counted = df.groupBy(*[column(key) for key in keys]).agg(F.count(F.lit(1)).alias(size))
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    return counted.filter(F.col(size) > limit).orderBy(F.col(size).desc()).limit(MAX_HOT).collect()
+    frame: DataFrame
+    groups: int
+    rows: int
 
 
-def hot_frame(df: DataFrame, keys: Sequence[str], names: Sequence[str], size: str, rows: list[Row]) -> DataFrame:
-    """``rows`` of ``hot_groups`` as a frame, marked for broadcast.
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], names: Sequence[str], size: str, hot_rows: int | None = None
+) -> HotGroups | None:
+    """All groups over ``hot_rows``: their keys as ``names``, and ``size``.
 
-    The keys take ``names`` and the types they have in ``df``. There are at
-    most MAX_HOT rows, or twice that where two sides are merged.
+    One pass that reads the key columns only and counts before it shuffles. At
+    most SMALL_ROWS + 1 groups reach the driver; more are written to a table.
     """
-    types = [field.dataType for field in df.select(*[column(key) for key in keys]).schema.fields]
-    fields = [StructField(name, dt, True) for name, dt in zip(names, types)]
-    schema = StructType([*fields, StructField(size, LongType(), False)])
-    return F.broadcast(df.sparkSession.createDataFrame([tuple(row) for row in rows], schema))
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    counted = df.groupBy(*[column(key).alias(name) for key, name in zip(keys, names)]).agg(
+        F.count(F.lit(1)).alias(size)
+    )
+    over = counted.filter(F.col(size) > limit)
+    listed = over.limit(SMALL_ROWS + 1).collect()
+    if not listed:
+        return None
+    if len(listed) <= SMALL_ROWS:
+        fields = [StructField(name, counted.schema[name].dataType, True) for name in names]
+        schema = StructType([*fields, StructField(size, LongType(), False)])
+        frame = df.sparkSession.createDataFrame([tuple(row) for row in listed], schema)
+        return HotGroups(frame, len(listed), sum(row[-1] for row in listed))
+    frame = stage(over)
+    groups, rows = frame.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return HotGroups(frame, groups, rows)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has at most ``rows`` rows, marked for broadcast if those are few."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     """Equality of two key lists in which NULL equals NULL."""
-    condition = F.lit(True)
-    for a, b in zip(left, right):
-        condition = condition & column(a).eqNullSafe(column(b))
-    return condition
+    return reduce(Column.__and__, [column(a).eqNullSafe(column(b)) for a, b in zip(left, right)], F.lit(True))

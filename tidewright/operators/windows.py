@@ -5,7 +5,7 @@ group holds a large share of all rows. So the group sizes are counted first,
 and only the rows of oversized groups take another way: they are spread over
 range buckets in window order, each bucket is evaluated by itself, and what
 the buckets before it add up to is carried in. There are at most as many
-carries as buckets plus hot groups, so these are broadcast.
+carries as buckets plus hot groups; these are broadcast if they are few.
 """
 
 from __future__ import annotations
@@ -14,19 +14,23 @@ import math
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType
 
 from tidewright.errors import JobError
 from tidewright.names import Expression, column, expression as to_column, fold, has_unique_names, is_case_sensitive
-from tidewright.operators.skew import HOT_ROWS, hot_frame, hot_groups, same_keys
-from tidewright.work import stage
+from tidewright.operators.skew import HOT_ROWS, hot_groups, same_keys, small
+from tidewright.work import is_repeatable, stage
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _CALL = re.compile(r"\s*(\w+)\s*\((.*)\)\s*", re.DOTALL)
 
-_MAX_BUCKETS = 10_000
+# Digits, and decimals, of the decimals whose means are exact when split; others
+# would need more than the 38 digits of Spark's decimals on the way.
+_MEAN_DIGITS, _MEAN_SCALE = 33, 13
 
 # Names of the columns added on the way.
 _BUCKET, _TIE, _SIZE, _NUMBER = "__bucket", "__tie", "__group_rows", "__number"
@@ -102,16 +106,16 @@ def window(
 def windows(df: DataFrame, columns: Sequence[WindowColumn], hot_rows: int | None = None) -> DataFrame:
     """Add window columns one after the other.
 
-    Neighbours that share their groups and do not build on each other are
-    computed together: their group sizes are counted once, and hot groups are
-    put in order once. Groups of more than ``hot_rows`` rows count as hot.
+    Neighbours that do not build on each other are computed together. If they
+    share their groups, group sizes are counted once, and hot groups are put in
+    order once; without an order each kind of group is one more reading. Groups of more than ``hot_rows`` rows count as hot.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
     for group in _independent(columns):
         unique = has_unique_names(df)
         if unique and all(c.is_whole_group() for c in group):
             df = _whole_groups(df, group)
-        elif unique and all(c.is_splittable() for c in group):
+        elif unique and all(c.is_splittable() and _is_exact(df, c) for c in group):
             df = _ordered(df, group, limit)
         else:
             df = _plain(df, group)
@@ -122,8 +126,8 @@ def _independent(columns: Sequence[WindowColumn]) -> Iterator[list[WindowColumn]
     group: list[WindowColumn] = []
     for one in columns:
         alike = group and (
-            one.partition_by == group[0].partition_by
-            and one.is_whole_group() == group[0].is_whole_group()
+            one.is_whole_group() == group[0].is_whole_group()
+            and (one.is_whole_group() or one.partition_by == group[0].partition_by)
             and one.is_splittable() == group[0].is_splittable()
             and not one.mentions([c.name for c in group])
             and one.name.lower() not in [c.name.lower() for c in group]
@@ -185,6 +189,14 @@ def _has_split_form(function: str, arguments: Sequence[str]) -> bool:
     return (function in _POSITIONS or function in _PEERS) and len(arguments) <= 1
 
 
+def _is_exact(df: DataFrame, one: WindowColumn) -> bool:
+    """Whether splitting gives the very value: not for means of very long decimals."""
+    if one.function not in ("avg", "mean") or not one.arguments:
+        return True
+    kind = df.select(F.expr(one.arguments[0]).alias("v")).schema["v"].dataType
+    return not isinstance(kind, DecimalType) or (kind.precision <= _MEAN_DIGITS and kind.scale <= _MEAN_SCALE)
+
+
 def _plain(df: DataFrame, group: Sequence[WindowColumn]) -> DataFrame:
     return reduce(lambda frame, one: frame.withColumn(one.name, one.over(frame)), group, df)
 
@@ -212,35 +224,42 @@ def _whole_groups(df: DataFrame, group: Sequence[WindowColumn]) -> DataFrame:
     Aggregating first and joining back never gathers a group's rows: without
     ``partition_by`` each value is one scalar, with it Spark broadcasts the
     groups if they turn out small and otherwise splits skewed join partitions.
+    All are aggregated from the same frame. It is staged if another reading of
+    it could give other rows.
     """
-    sources = group[0].partition_by
-    if not sources:
-        return df.withColumns({c.name: df.agg(F.expr(c.expression.strip())).scalar() for c in group})
-    keys, others = _numbered_names("key", len(sources)), _numbered_names("other", len(sources))
-    values = _numbered_names("value", len(group))
-    grouped = df.groupBy(*_aliased(sources, others)).agg(
-        *[F.expr(c.expression.strip()).alias(value) for c, value in zip(group, values)]
-    )
-    joined = df.select("*", *_aliased(sources, keys)).join(grouped, same_keys(keys, others))
-    return _with_values(joined, df, {c.name: F.col(value) for c, value in zip(group, values)})
+    df = df if is_repeatable(df) else stage(df)
+    joined, values = df, {}
+    for at, sources in enumerate(_distinct([c.partition_by for c in group])):
+        alike = [c for c in group if c.partition_by == sources]
+        if not sources:
+            values.update({c.name: df.agg(F.expr(c.expression.strip())).scalar() for c in alike})
+            continue
+        keys, others = _numbered_names(f"key{at}_", len(sources)), _numbered_names(f"other{at}_", len(sources))
+        names = _numbered_names(f"value{at}_", len(alike))
+        grouped = df.groupBy(*_aliased(sources, others)).agg(
+            *[F.expr(c.expression.strip()).alias(name) for c, name in zip(alike, names)]
+        )
+        joined = joined.select("*", *_aliased(sources, keys)).join(grouped, same_keys(keys, others), "left")
+        values.update({c.name: F.col(name) for c, name in zip(alike, names)})
+    return _with_values(joined, df, {c.name: values[c.name] for c in group})
 
 
 def _ordered(df: DataFrame, group: Sequence[WindowColumn], limit: int) -> DataFrame:
+    df = df if is_repeatable(df) else stage(df)
     plain = _plain(df, group)
     sources = group[0].partition_by
     keys, hot_names = _numbered_names("key", len(sources)), _numbered_names("hot", len(sources))
     keyed = df.select("*", *_aliased(sources, keys))
-    found = hot_groups(keyed, keys, limit)
-    if not found:
+    found = hot_groups(keyed, keys, hot_names, _SIZE, limit)
+    if found is None:
         return plain
     if not keys:
-        rows, cold = keyed.withColumn(_SIZE, F.lit(found[0][-1])), None
+        rows, cold = keyed.withColumn(_SIZE, F.lit(found.rows)), None
     else:
-        hot = hot_frame(keyed, keys, hot_names, _SIZE, found)
+        hot = small(found.frame, found.groups)
         rows = keyed.join(hot, same_keys(keys, hot_names)).drop(*hot_names)
         cold = keyed.join(hot, same_keys(keys, hot_names), "left_anti").select(*[column(c) for c in df.columns])
-    buckets = max(2, min(_MAX_BUCKETS, math.ceil(sum(row[-1] for row in found) / max(limit, 1))))
-    split = _Split(keys, buckets)
+    split = _Split(keys, max(2, math.ceil(found.rows / max(limit, 1))), found.groups)
     if any(c.function in _POSITIONS for c in group):
         rows = rows.withColumn(_TIE, F.monotonically_increasing_id())
     # Kept, because it is read several times and its lineage may be long, and
@@ -263,11 +282,11 @@ def _distinct(items: Sequence) -> list:
 class _Split:
     """Window columns of hot groups, whose rows are spread over many tasks.
 
-    ``keys`` name the columns that tell the groups apart.
+    ``keys`` name the columns that tell the ``groups`` groups apart.
     """
 
-    def __init__(self, keys: Sequence[str], buckets: int):
-        self.keys, self.buckets = list(keys), buckets
+    def __init__(self, keys: Sequence[str], buckets: int, groups: int):
+        self.keys, self.buckets, self.groups = list(keys), buckets, groups
 
     def _bucketed(self, rows: DataFrame, sorts: Sequence[Column]) -> DataFrame:
         """``rows`` in window order over range buckets, with the bucket's number.
@@ -301,7 +320,8 @@ class _Split:
                 merged[n] = F.coalesce(here + before, here, before)
             else:
                 merged[n] = F.least(here, before) if total is F.min else F.greatest(here, before)
-        joined = within.join(F.broadcast(carried), same_keys(mine, others))
+        # A bucket's rows of one group are no more than a task's share.
+        joined = within.join(small(carried, self.buckets + self.groups), same_keys(mine, others))
         return joined.withColumns(merged).drop(*others, *[f"{n}_carry" for n in measures], _BUCKET)
 
     def by_place(self, rows: DataFrame, orders, columns) -> tuple[DataFrame, dict[int, Column]]:
@@ -360,7 +380,7 @@ class _Split:
         found = numbered.filter(F.col(_NUMBER) == place).select(
             *_aliased(self.keys, others), F.struct(*value).alias(f"{name}_at")
         )  # at most one row per hot group
-        return valued.join(F.broadcast(found), same_keys(self.keys, others), "left").drop(*others)
+        return valued.join(small(found, self.groups), same_keys(self.keys, others), "left").drop(*others)
 
     def _first(self, valued, numbered, name, one):
         joined = self._at(valued, numbered, name, [F.expr(one.arguments[0]).alias("value")], 1)
@@ -405,6 +425,9 @@ class _Split:
                 if total is not None:
                     running[name] = (total, F.col(name))
                 found[part] = F.col(name)
+            if value is _average:
+                kind = rows.select(F.avg(source).alias("v")).schema["v"].dataType
+                found["scale"] = kind.scale if isinstance(kind, DecimalType) else None
             values.append(value(**found).alias(f"__w{at}"))
         peers = rows.groupBy(*mine, _SIZE).agg(F.count(F.lit(1)).alias(_COUNT), *aggregates)
         ordered = self._running(self._bucketed(peers, sorts), sorts, running)
@@ -421,7 +444,7 @@ class _Split:
         others = [f"{name}_{i}" for i in range(len(self.keys))]
         means = rows.groupBy(*_aliased(self.keys, others)).agg(F.avg(source).cast("double").alias(name))
         # one row per hot group
-        return rows.join(F.broadcast(means), same_keys(self.keys, others)).drop(*others)
+        return rows.join(small(means, self.groups), same_keys(self.keys, others)).drop(*others)
 
 
 # Running totals every peer function can use: rows up to and with the ties,
@@ -437,8 +460,24 @@ def _percent_rank() -> Column:
     return F.when(F.col(_SIZE) > 1, (_rank() - 1) / F.greatest(F.col(_SIZE) - 1, F.lit(1))).otherwise(F.lit(0.0))
 
 
-def _average(total: Column, n: Column) -> Column:
-    return F.when(n > 0, total / F.greatest(n, F.lit(1)))
+def _average(total: Column, n: Column, scale: int | None) -> Column:
+    by = F.greatest(n, F.lit(1))
+    return F.when(n > 0, total / by if scale is None else _exact_quotient(total, by, scale))
+
+
+def _exact_quotient(total: Column, n: Column, scale: int) -> Column:
+    """``total / n`` rounded once, half up, at ``scale`` decimals, as Spark rounds a mean.
+
+    A plain division of decimals would round at a scale derived from the types.
+    """
+    n = n.cast("decimal(19,0)")
+    rest = total % n
+    whole = ((total - rest) / n).cast(f"decimal({37 - scale},0)")
+    shifted = F.abs(rest.cast(f"decimal({15 + scale},{scale - 4})") * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")
+    over = shifted % n
+    digits = ((shifted - over) / n).cast("decimal(38,0)") + F.when(over * 2 >= n, 1).otherwise(0)
+    part = (digits.cast(f"decimal({scale + 1},0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({scale + 2},{scale})")
+    return whole + F.when(rest < 0, -part).otherwise(part)
 
 
 def _variance(freedom: int) -> Callable[..., Column]:

@@ -121,6 +121,8 @@ def _evolve(df: DataFrame, name: str, standby: str, fill_nulls: bool) -> None:
     if mismatches:
         raise SchemaMismatch(f"{name}: {'; '.join(mismatches)}; nothing was written")
     merged = merge_schema(live, batch, exact)
+    if fill_nulls:
+        conform(df, merged)  # refuses impossible casts before the table changes
     known = {fold(field.name, exact) for field in live.fields}
     added = [field for field in merged.fields if fold(field.name, exact) not in known]
     kept = StructType([field for field in merged.fields if fold(field.name, exact) in known])
@@ -131,7 +133,19 @@ def _evolve(df: DataFrame, name: str, standby: str, fill_nulls: bool) -> None:
 
 
 def _columns_ddl(fields: Sequence[StructField]) -> str:
-    return ", ".join(f"{table_name(field.name)} {void_free_ddl(field.dataType)}" for field in fields)
+    def ddl(field: StructField) -> str:
+        comment = field.metadata.get("comment")
+        return f"{table_name(field.name)} {void_free_ddl(field.dataType)}" + (f" COMMENT {_text(comment)}" if comment else "")
+
+    return ", ".join(map(ddl, fields))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pairs(values: Mapping[str, str]) -> str:
+    return ", ".join(f"{_text(key)} = {_text(value)}" for key, value in values.items())
 
 
 def _replace_description(spark: SparkSession, name: str, standby: str, schema: StructType) -> None:
@@ -146,11 +160,16 @@ def _replace_description(spark: SparkSession, name: str, standby: str, schema: S
     partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     fields = [field for field in schema.fields if field.name not in partitions]
     fields += [field for field in schema.fields if field.name in partitions]
-    location = about["location"].replace("\\", "\\\\").replace("'", "\\'")
     clauses = [f"CREATE TABLE {standby} ({_columns_ddl(fields)}) USING {about['provider']}"]
     if partitions:
         clauses.append(f"PARTITIONED BY ({', '.join(table_name(p) for p in partitions)})")
-    clauses.append(f"LOCATION '{location}'")
+    clauses.append(f"LOCATION {_text(about['location'])}")
+    if about.get("storage_properties"):
+        clauses.append(f"OPTIONS ({_pairs(about['storage_properties'])})")
+    if about.get("comment"):
+        clauses.append(f"COMMENT {_text(about['comment'])}")
+    if about.get("table_properties"):
+        clauses.append(f"TBLPROPERTIES ({_pairs(about['table_properties'])})")
     spark.sql(" ".join(clauses))
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {standby}")

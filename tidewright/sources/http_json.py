@@ -10,17 +10,14 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from tidewright.names import require
-from tidewright.work import new_folder
+from tidewright.work import new_folder, stage
 
 # The fetching code travels with the job, so executors need not have it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Records handed on at a time.
-_BATCH = 1_000
-
 
 def fetch_records(
     df: DataFrame,
@@ -35,39 +32,35 @@ def fetch_records(
     A document is a list of records or one record. The requests of a partition
     run one after the other: ``parallelism``, or else the partitioning of
     ``df``, says how many are open at a time. An answer other than success
-    fails the task, which Spark tries again. Without a ``schema`` the documents
-    are fetched once into the shared folder and the schema is inferred there.
+    fails the task, which Spark tries again. Documents are fetched once, as they
+    are, into the shared folder; without a ``schema`` it is inferred there.
     """
     sent = dict(headers or {})
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            records: list[str] = []
             for address in batch["url"]:
                 request = urllib.request.Request(address, headers=sent)
                 with urllib.request.urlopen(request, timeout=timeout) as answer:
-                    document = json.load(answer)
-                found = document if isinstance(document, list) else [document]
-                records.extend(json.dumps(record) for record in found)
-                if len(records) >= _BATCH:
-                    yield pd.DataFrame({"value": records})
-                    records = []
-            if records:
-                yield pd.DataFrame({"value": records})
+                    body = answer.read()
+                yield pd.DataFrame({"value": [body.decode(json.detect_encoding(body))]})
 
     source = F.col(url) if isinstance(url, str) else url
     urls = df.select(source.alias("url"))
     if parallelism:
         urls = urls.repartition(parallelism)
-    records = urls.mapInPandas(fetch, "value string")
+    documents = stage(urls.mapInPandas(fetch, "value string"))
     if schema is None:
+        # Line breaks inside strings are escaped in JSON, so those left are white space.
+        lines = documents.select(F.translate("value", "\r\n", "  ").alias("value"))
         folder = new_folder(df.sparkSession, "http")
-        records.write.text(folder)
+        lines.write.text(folder)
         return df.sparkSession.read.json(folder)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    parsed = records.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("record"))
-    return parsed.select("record.*")
+    # A document of one record is read as a list of one.
+    records = F.from_json("value", ArrayType(schema), {"mode": "FAILFAST"})
+    return documents.select(F.inline(records))
 
 
 def read_http_json(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -24,20 +25,39 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_CHANGING = threading.RLock()
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """The session's settings changed for a while, then as they were."""
-    before = {key: spark.conf.get(key, None) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
+    """The session's settings changed for a while, then as they were.
+
+    Threads take turns, so that none sees a setting taken back by another.
+    """
+    with _CHANGING:
+        before = {key: spark.conf.get(key, None) for key in values}
+        try:
+            for key, value in values.items():
                 spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
+
+
+def is_repeatable(df: DataFrame) -> bool:
+    """Whether ``df`` gives the same rows each time it is read, as far as its expressions go."""
+    return df._jdf.queryExecution().analyzed().deterministic()
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` is under its limit for broadcasts."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return int(plan.stats().sizeInBytes()) <= limit
 
 
 # Types every reader and writer of Parquet agrees on.
