@@ -231,7 +231,7 @@ def test_nested_evolution_keeps_the_description(spark, db, folder):
     )
     spark.sql(f"INSERT INTO {db}.told VALUES (1, timestamp'2024-03-02 10:20:00', named_struct('a', 1))")
     batch = spark.sql("SELECT 2 id, timestamp'2024-03-03 10:20:00' ts, named_struct('a', 2, 'b', 'x') st")
-    write_evolving_table(batch, db, "told")
+    write_evolving_table(batch, db, "told", "append")
     found = spark.table(f"{db}.told").selectExpr("id", "date_format(ts, 'd H:m') at", "st.b").orderBy("id").collect()
     assert [tuple(row) for row in found] == [(1, "2 10:20", None), (2, "3 10:20", "x")]
     assert spark.sql(f"SHOW TBLPROPERTIES {db}.told ('kept')").first()["value"] == "yes"
