@@ -133,11 +133,7 @@ def _evolve(df: DataFrame, name: str, standby: str, fill_nulls: bool) -> None:
 
 
 def _columns_ddl(fields: Sequence[StructField]) -> str:
-    def ddl(field: StructField) -> str:
-        comment = field.metadata.get("comment")
-        return f"{table_name(field.name)} {void_free_ddl(field.dataType)}" + (f" COMMENT {_text(comment)}" if comment else "")
-
-    return ", ".join(map(ddl, fields))
+    return ", ".join(f"{table_name(field.name)} {void_free_ddl(field.dataType)}" for field in fields)
 
 
 def _text(value: str) -> str:
@@ -157,10 +153,13 @@ def _replace_description(spark: SparkSession, name: str, standby: str, schema: S
     about = _about(spark, name)
     if about.get("type") != "EXTERNAL" or about.get("bucket_columns"):
         raise SchemaMismatch(f"{name}: nested fields can only be added to an external table without buckets")
-    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    described = spark.catalog.listColumns(name)
+    partitions = [c.name for c in described if c.isPartition]
+    comments = {c.name: f" COMMENT {_text(c.description)}" for c in described if c.description}
     fields = [field for field in schema.fields if field.name not in partitions]
     fields += [field for field in schema.fields if field.name in partitions]
-    clauses = [f"CREATE TABLE {standby} ({_columns_ddl(fields)}) USING {about['provider']}"]
+    columns = ", ".join(_columns_ddl([field]) + comments.get(field.name, "") for field in fields)
+    clauses = [f"CREATE TABLE {standby} ({columns}) USING {about['provider']}"]
     if partitions:
         clauses.append(f"PARTITIONED BY ({', '.join(table_name(p) for p in partitions)})")
     clauses.append(f"LOCATION {_text(about['location'])}")
