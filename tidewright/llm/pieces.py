@@ -22,7 +22,7 @@ from tidewright.names import column
 
 SPACE = "▁"
 _SPACE_BYTES = SPACE.encode()
-_KEPT_SEGMENTS = 500_000
+_KEPT_SEGMENTS = 200_000
 # Types of pieces in a model file (fixed values).
 _NORMAL, _UNKNOWN, _CONTROL, _USER_DEFINED, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 
@@ -273,7 +273,7 @@ def model(content: bytes) -> PieceModel:
     return PieceModel(content)
 
 
-_BATCH_CHARS = 4_000_000
+_BATCH_CHARS = 500_000
 
 
 def encode(df: DataFrame, model_file: str, *, keep: list[str], text_column: str = "text") -> DataFrame:
@@ -284,7 +284,7 @@ def encode(df: DataFrame, model_file: str, *, keep: list[str], text_column: str
     tasks. A null text counts as empty, which has the ids begin and end. Columns
     not kept don't matter; a kept column may not have the name of a new one.
     An empty table gives no rows. A text is encoded in one piece, so memory
-    follows the longest text; batches are cut at about four million characters.
+    follows the longest text; batches are cut at about half a million characters.
     """
     with open(model_file, "rb") as file:
         content = df.sparkSession.sparkContext.broadcast(file.read())
