@@ -19,7 +19,9 @@ from tidewright.names import column
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
-_CHUNK_CHARS = 1_000_000
+# Letters are scored a chunk at a time, which bounds what a task holds; texts are labelled in groups.
+_CHUNK_CHARS = 250_000
+_GROUP_CHARS = 2_000_000
 
 # First and last code points of scripts, from Unicode's blocks (fixed values).
 SCRIPT_RANGES = {
@@ -45,11 +47,10 @@ SCRIPT_RANGES = {
 @lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: whether it is a letter, its lower case, the number of its script."""
-    characters = [chr(i) for i in range(0x110000)]
-    letters = np.fromiter((c.isalpha() for c in characters), bool, 0x110000)
+    letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
     lower = np.arange(0x110000, dtype=np.uint32)
     for i in np.flatnonzero(letters).tolist():
-        if len(small := characters[i].lower()) == 1:
+        if len(small := chr(i).lower()) == 1:
             lower[i] = ord(small)
     scripts = np.zeros(0x110000, np.uint8)
     for number, ranges in enumerate(SCRIPT_RANGES.values(), 1):
@@ -83,6 +84,19 @@ def _chunks(texts: list[str]) -> Iterator[list[tuple[int, int, str]]]:
         yield held
 
 
+def _groups(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """(number of the first text, texts): neighbours in groups of a bounded size, or a text alone."""
+    start, held, size = 0, [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1] or "")
+        if size >= _GROUP_CHARS:
+            yield start, held
+            start, held, size = start + len(held), [], 0
+    if held:
+        yield start, held
+
+
 def _letters(chunk: list[tuple[int, int, str]]):
     """Of a chunk: the trigram of each letter, where words start among the letters, the
     script of each word, and the text, start and end of each word."""
@@ -132,15 +146,17 @@ def train(df: DataFrame, *, text_column: str = "text", lang_column: str = "lang"
         counts: dict[str, np.ndarray] = {}
         width = BUCKETS + len(SCRIPT_RANGES) + 1
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                own = counts.setdefault(lang, np.zeros(width, np.int64))
-                for chunk in _chunks(texts):
-                    trigrams, starts, scripts, _, begin, end = _letters(chunk)
-                    own[:BUCKETS] += np.bincount(trigrams, minlength=BUCKETS)
-                    own[BUCKETS:] += np.bincount(scripts, end - begin, width - BUCKETS).astype(np.int64)
+            langs = batch.column(0).to_pylist()
+            for first, group in _groups(batch.column(1)):
+                by_lang: dict[str, list[str]] = {}
+                for lang, text in zip(langs[first:], group):
+                    by_lang.setdefault(lang, []).append(text)
+                for lang, texts in by_lang.items():
+                    own = counts.setdefault(lang, np.zeros(width, np.int64))
+                    for chunk in _chunks(texts):
+                        trigrams, starts, scripts, _, begin, end = _letters(chunk)
+                        own[:BUCKETS] += np.bincount(trigrams, minlength=BUCKETS)
+                        own[BUCKETS:] += np.bincount(scripts, end - begin, width - BUCKETS).astype(np.int64)
         for lang, own in counts.items():
             found = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays(
@@ -217,11 +233,14 @@ def _best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.n
 def label_texts(model: Model, texts: list[str | None], penalty: float):
     """For each text: language, score, and spans as (start, end, number of the language)."""
     n_langs = len(model.languages)
-    parts = [_letters(chunk) for chunk in _chunks([text or "" for text in texts])] if n_langs else []
-    if not any(len(part[1]) for part in parts):
+    parts = []
+    for chunk in _chunks([text or "" for text in texts]) if n_langs else ():
+        trigrams, starts, scripts, *places = _letters(chunk)
+        if len(starts):
+            parts.append((_word_scores(model, trigrams, starts, scripts), *places))
+    if not parts:
         return [(UNKNOWN, 0.0, []) for _ in texts]
-    scores = np.concatenate([_word_scores(model, *part[:3]) for part in parts])
-    owner, start, end = (np.concatenate([part[i] for part in parts]) for i in (3, 4, 5))
+    scores, owner, start, end = (np.concatenate(found) for found in zip(*parts))
     lengths = np.bincount(owner, minlength=len(texts))
     path = _best_paths(scores, lengths, penalty)
     letters = np.bincount(owner * n_langs + path, end - start, len(texts) * n_langs).reshape(len(texts), n_langs)
@@ -260,7 +279,8 @@ def identify(
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
         for batch in batches:
-            found = label_texts(learned, batch.column(batch.num_columns - 1).to_pylist(), penalty)
+            groups = _groups(batch.column(batch.num_columns - 1))
+            found = [row for _, group in groups for row in label_texts(learned, group, penalty)]
             made = [
                 pa.array([lang for lang, _, _ in found], pa.string()),
                 pa.array([score for _, score, _ in found], pa.float64()),
