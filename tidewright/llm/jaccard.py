@@ -233,12 +233,23 @@ def close_pairs(members: DataFrame, likeness: tuple[int, int], only_first: bool)
 
 
 def set_members(texts: DataFrame, words: int) -> DataFrame:
-    """``name, own``: the members of the sets of rows ``name, text``."""
+    """``name, own``: the members of the sets of rows ``name, text``.
+
+    Texts were looked up by identifier, and a repeated one may have brought other texts: what
+    doesn't have the set of that name is left out, as is a set met before in the task.
+    """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            own = [_set_of(text.as_py(), words).tobytes() for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["name", "own"])
+            found: dict[int, bytes] = {}
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if name not in seen and _signature(own := _set_of(text.as_py(), words)) == name:
+                    seen.add(name)
+                    found[name] = own.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*found], pa.int64()), pa.array([*found.values()], pa.binary())], ["name", "own"]
+            )
 
     return texts.mapInArrow(members, "name long, own binary")
 
@@ -316,23 +327,4 @@ def _members_of(pairs: DataFrame, rows: DataFrame, sets: DataFrame, words: int)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     chosen = stage(sets.join(wanted, "name", "left_semi").select("name", "id"))
     texts = rows.join(chosen, rows["id"].eqNullSafe(chosen["id"])).select("name", "text")
-    return stage(set_members(_one_text(texts, words), words))
-
-
-def _one_text(texts: DataFrame, words: int) -> DataFrame:
-    """Of texts found by identifier, those that have the set they were looked up for.
-
-    Identifiers that are repeated may come with other texts.
-    """
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            keep = []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                fits = name not in seen and _signature(_set_of(text.as_py(), words)) == name
-                seen |= {name} if fits else set()
-                keep.append(fits)
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return texts.mapInArrow(kept, "name long, text string")
+    return stage(set_members(texts, words))
