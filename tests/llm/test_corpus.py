@@ -8,6 +8,7 @@ import os
 import random
 import re
 import struct
+from urllib.parse import unquote
 
 import numpy as np
 import public_tokenizers
@@ -294,6 +295,14 @@ def test_warc_dictionary_and_broken_records():
             warc.decode_record(records[0].replace(old, new))
 
 
+def test_warc_reads_urls_of_any_length():
+    url = "data:text/plain," + "é" * 1_000_000
+    record = warc.decode_record(warc.encode_record(1, url, b"page", None, False, "2024-01-01T00:00:00Z"))
+    assert record["payload"] == b"page" and unquote(record["url"]) == url
+    with pytest.raises(warc.InvalidRecord):
+        warc.decode_record(b"WARC/1.1\r\n" + b"x" * 200_000)
+
+
 def test_html(spark):
     shell = "<html><head><title>T</title></head><body><nav>menu</nav>{}<footer>f</footer></body></html>"
     article = "<article><h1>A &amp; B</h1><p>x<b>y</b>  z<br>w<p>v<div class='comments'>no</div><form>no</form></article>"

@@ -31,8 +31,6 @@ _VERSION = "WARC/1.1"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _TYPES = ("response", "revisit")
 _READ_BYTES = 1 << 18
-# Of a record's header; more means that the frame holds no record.
-_MOST_HEADER = 1 << 16
 
 
 class InvalidRecord(ValueError):
@@ -79,7 +77,7 @@ def encode_record(
 
 def decode_record(record: bytes) -> dict:
     """The fields of a record, after checking its header, lengths and digests."""
-    head, found, rest = record[:_MOST_HEADER].partition(b"\r\n\r\n")
+    head, found, block = record.partition(b"\r\n\r\n")
     if not found:
         raise InvalidRecord("a header without an end")
     lines = head.decode("utf-8").split("\r\n")
@@ -96,7 +94,6 @@ def decode_record(record: bytes) -> dict:
     if headers["warc-type"] not in _TYPES:
         raise InvalidRecord(f"type {headers['warc-type']!r}")
     datetime.strptime(headers["warc-date"], "%Y-%m-%dT%H:%M:%SZ")
-    block = record[len(head) + 4 :]
     length = headers["content-length"]
     if not length.isdigit() or len(block) != int(length) + 4 or block[-4:] != b"\r\n\r\n":
         raise InvalidRecord(f"{len(block) - 4} bytes where the header says {length}")
