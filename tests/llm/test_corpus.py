@@ -135,6 +135,19 @@ def test_repeated_passages(spark):
     assert passages.repeated_passages(docs(spark, [])).count() == 0
 
 
+def test_passages_belong_to_a_text_of_an_identifier(spark):
+    shared = prose("p", 60)
+    rows = [(1, f"{prose(1, 40)} {shared}", "s"), (2, f"{prose(2, 80)} {shared} {prose(3, 5)}", "s")]
+    rows += [(2, prose(4, 20), "s"), (2, prose(5, 200), "s"), (3, prose(6, 70), "s"), (3, f"{shared} {prose(7, 90)}", "s")]
+    df = docs(spark, rows)
+    found = [(r["doc_id"], r["first_id"]) for r in passages.repeated_passages(df).collect()]
+    assert sorted(found) == [(2, 1), (3, 1)]
+    left = sorted(r["text"] for r in passages.drop_repeats(df, columns=["doc_id", "text"]).collect())
+    clean = [rows[i][1] for i in (0, 2, 3, 4)]
+    assert len(left) == 6 and all(text in left for text in clean)
+    assert sum(shared in text for text in left) == 1
+
+
 def simhash_of(text):
     own = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
     votes = [0] * 128
