@@ -148,6 +148,24 @@ def test_passages_belong_to_a_text_of_an_identifier(spark):
     assert sum(shared in text for text in left) == 1
 
 
+def test_passages_of_frequent_lines(spark):
+    for trial, n in enumerate((30, 40, 45)):
+        rows, pairs = [], []
+        for case in range(8):
+            first, second = prose(f"A{trial}.{case}", n), prose(f"B{trial}.{case}", n)
+            for i in range(40):
+                doc = 1_000 * case + i
+                before, after = prose(f"x{trial}.{doc}", 50), prose(f"y{trial}.{doc}", 50)
+                # Two of them hold both lines, one after the other.
+                line = f"{first} {second}" if i in (17, 31) else (first, second)[i % 2]
+                rows.append((doc, f"{before} {line} {after}", "s"))
+            pairs.append((1_000 * case + 31, 1_000 * case + 17))
+        found = {r["doc_id"]: r for r in passages.repeated_passages(docs(spark, rows)).collect()}
+        assert [(i, found[i]["first_id"]) for i, _ in pairs if i in found] == pairs and len(found) == len(pairs)
+        for i, _ in pairs:
+            assert 48 <= found[i]["start_word"] <= 50 and 50 + 2 * n <= found[i]["end_word"] <= 52 + 2 * n
+
+
 def simhash_of(text):
     own = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
     votes = [0] * 128
