@@ -433,3 +433,20 @@ def test_pipeline_stages_keep_the_columns(spark):
     alone = corpus_pipeline.drop_near_duplicates(spark, docs_table, SF)
     want = brute_components({r["doc_id"]: r["text"] for r in docs_table.collect()})
     assert {r["doc_id"] for r in alone.collect()} == {i for i, (_, root) in want.items() if i == root}
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    small, other, shared, alone, near = (prose(f"k{i}", 60) for i in range(5))
+    rows = [(1, small), (2, small), (2, other), (None, alone), (None, shared), (None, shared), (3, near), (3, near), (4, ""), (4, ""), (None, None)]
+    rows += [(5, prose("k5", 40)), (5, prose("k5", 40) + " more"), (6, prose("k5", 40))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, SF)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    of_five = [row for row in got if row[0] == 5]
+    assert len(of_five) == 1 and of_five[0] in rows
+    want = [(1, small), (2, other), (None, alone), (None, shared), (3, near), (4, ""), (4, ""), (None, None)]
+    assert [row for row in got if row[0] != 5] == sorted(want, key=repr)
+    assert corpus_pipeline.drop_near_duplicates(spark, df.where("doc_id > 99"), SF).count() == 0

@@ -84,11 +84,12 @@ def folded(sketches: list[bytes]) -> np.ndarray:
 
 
 def _sets(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return df.select(column(id_column).cast("long").alias("id"), F.coalesce(column(text_column), F.lit("")).alias("text"))
+    text = F.coalesce(column(text_column), F.lit(""))
+    return df.select(column(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("digest"))
 
 
 def summaries(df: DataFrame, words: int) -> DataFrame:
-    """``id, size, name, sketch`` of each row of ``id, text``."""
+    """``id, digest, size, name, sketch`` of each row of ``id, text, digest``."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,9 +99,11 @@ def summaries(df: DataFrame, words: int) -> DataFrame:
                 rows.append((len(own), _signature(own), dense_sketch(own)))
             kinds = (pa.int64(), pa.int64(), pa.binary())
             made = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "size", "name", "sketch"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), *made], ["id", "digest", "size", "name", "sketch"]
+            )
 
-    return df.mapInArrow(made, "id long, size long, name long, sketch binary")
+    return df.mapInArrow(made, "id long, digest long, size long, name long, sketch binary")
 
 
 def postings(df: DataFrame, words: int, likeness: tuple[int, int]) -> DataFrame:
@@ -291,6 +294,51 @@ def group_alike(
     than all others. Other columns don't matter. An empty table gives no rows.
     Sets are named, and shingles compared, by 64-bit hashes.
     """
+    joined = _classes(df, id_column, text_column, words, likeness)
+    smallest = joined.where("size > 0").groupBy("class").agg(F.min("id").alias("component_id"))
+    return joined.join(smallest, "class", "left").select(
+        F.col("id").alias(id_column),
+        F.col("size").alias("n_shingles"),
+        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+    )
+
+
+def keep_one(
+    df: DataFrame,
+    *,
+    columns: list[str],
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = 5,
+    likeness: tuple[int, int] = (4, 5),
+) -> DataFrame:
+    """One row of each group of like rows (see ``group_alike``), whatever their identifiers.
+
+    That is a row with the smallest identifier, a null one being larger than all others; of
+    several, the one whose text has the smallest hash, and of equal texts any. Rows whose text is
+    null or has no word are like none and all stay. An empty table gives no rows.
+    """
+    classes = stage(_classes(df, id_column, text_column, words, likeness))
+    texts = classes.where("size > 0").groupBy("class", F.col("id").isNull().alias("last"), "id", "digest").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    first = texts.groupBy("class").agg(F.min(F.struct("last", "id", "digest", "n")).alias("x"))
+    empty = classes.where("size = 0").select("id", "digest", F.lit(1).cast("long").alias("n")).distinct()
+    chosen = stage(first.select("x.id", "x.digest", "x.n").unionByName(empty).withColumnsRenamed({"id": "_of", "digest": "_which", "n": "_rows"}))
+    text = F.coalesce(column(text_column), F.lit(""))
+    own = column(id_column).cast("long").eqNullSafe(F.col("_of")) & (F.xxhash64(text) == F.col("_which"))
+    wanted = [column(c) for c in columns]
+    kept = df.select(*wanted).join(chosen.where("_rows = 1").drop("_rows"), own, "left_semi")
+    if not chosen.where("_rows > 1").limit(1).count():
+        return kept
+    # Equal rows of one identifier, of which any stays.
+    repeated = df.select(*wanted).join(chosen.where("_rows > 1").drop("_rows"), own)
+    one = repeated.groupBy("_of", "_which").agg(F.first(F.struct(*wanted)).alias("_row")).select("_row.*")
+    return kept.unionByName(one)
+
+
+def _classes(df: DataFrame, id_column: str, text_column: str, words: int, likeness: tuple[int, int]) -> DataFrame:
+    """``id, digest, size, class`` of every row; rows of a class are linked, and the class of size 0 is null."""
     rows = _sets(df, id_column, text_column)
     known = stage(summaries(rows, words))
     sets = known.where("size > 0").groupBy("name").agg(
@@ -311,14 +359,8 @@ def group_alike(
     more = stage(close_pairs(apart, likeness, only_first=False).join(pairs, ["a", "b"], "left_anti"))
     found = stage(verified(more, _members_of(more, rows, sets, words), likeness))
     roots = stage(components(links.unionAll(found)))
-    joined = known.join(roots, known["name"] == roots["node"], "left").select(
-        "id", "size", F.when(F.col("size") > 0, F.coalesce("root", "name")).alias("class")
-    )
-    smallest = joined.where("size > 0").groupBy("class").agg(F.min("id").alias("component_id"))
-    return joined.join(smallest, "class", "left").select(
-        F.col("id").alias(id_column),
-        F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+    return known.join(roots, known["name"] == roots["node"], "left").select(
+        "id", "digest", "size", F.when(F.col("size") > 0, F.coalesce("root", "name")).alias("class")
     )
 
 
