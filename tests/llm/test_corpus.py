@@ -351,6 +351,20 @@ def test_html(spark):
     assert html_text.main_text(df.where("page_id > 99")).count() == 0
 
 
+def test_html_keeps_articles_in_named_wrappers():
+    def text(body):
+        lines = html_text.read_lines(f"<html><body>{body}</body></html>")
+        return " ".join(line.text for line in lines if line.is_main) or " ".join(line.text for line in lines)
+
+    body = "<article><p>the story</p><div class='related'>more</div></article>"
+    for name in ("content-with-sidebar", "has-sidebar", "no-comments", "site-content search-results", "post-header-wrap", "search"):
+        assert text(f"<div class='{name}'>{body}</div>") == "the story", name
+        assert text(f"<div class='{name}'><div id=sidebar>{body}</div></div>") == "the story", name
+    assert text("<article class='no-comments'>kept</article>") == "kept"
+    assert text(body + "<div class='related'><article>card</article></div>") == "the story"
+    assert text("<div class='search'><p>a long unmarked story</p><span class='share'>x</span></div><p>end</p>") == "a long unmarked story end"
+
+
 def test_common_lines():
     rng = random.Random(8)
     for _ in range(200):
