@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, simhash, warc
+from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, simhash, slots, warc
+from tidewright.work import new_folder
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -182,3 +183,18 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = slots.shard_documents(table(spark, sf_dir, "documents"), new_folder(spark, "slots"), shards=24)
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+    )
