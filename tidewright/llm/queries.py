@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, simhash, slots, warc
+from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, prefix_trie, simhash, slots, warc
 from tidewright.work import new_folder
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -198,3 +198,57 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
     )
+
+
+@query(r"""
+WITH bits AS (
+  SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, b: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce([4294967295] || list_transform(range(1, len(c) + 1), lambda i: ord(c[i])),
+                         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS c FROM turns), bits
+), rebuilt AS (
+  SELECT i.conv_id, t.pos AS place, role, text FROM ids i JOIN turns t ON t.conv_id = i.base AND t.pos < i.h
+  UNION ALL
+  SELECT i.conv_id, t.pos + 4, role, text FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.pos >= i.h
+), steps AS (
+  SELECT conv_id, row_number() OVER o AS depth,
+         md5(string_agg(md5(len(role) || ':' || role || text), '') OVER (o ROWS UNBOUNDED PRECEDING)) AS node,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM rebuilt WINDOW o AS (PARTITION BY conv_id ORDER BY place)
+), members AS (
+  SELECT conv_id, depth, node, words FROM steps UNION ALL SELECT conv_id, 0, '', 0 FROM ids
+), nodes AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words
+  FROM members GROUP BY node
+), ends AS (
+  SELECT m.node, sha256(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id)) AS ends_sha256
+  FROM members m JOIN (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id) e USING (conv_id, depth)
+  GROUP BY m.node
+), parents AS (
+  SELECT n.node, p.node AS parent FROM nodes n JOIN members p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), children AS (
+  SELECT parent AS node, count(*) AS n_children FROM parents GROUP BY parent
+), sums AS (
+  SELECT a.node, sum(CASE WHEN c.n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n.n_convs - 1) * n.words) AS saved_tokens
+  FROM nodes n JOIN members a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN children c ON c.node = n.node
+  GROUP BY a.node
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN parents p USING (node) LEFT JOIN nodes up ON up.node = p.parent
+LEFT JOIN children c ON c.node = n.node LEFT JOIN ends e ON e.node = n.node
+""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = prefix_trie.branched(prefix_trie.conversations(table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_nodes(rebuilt)
