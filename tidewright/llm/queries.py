@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, prefix_trie, simhash, slots, warc
+from tidewright.llm import chat, html_text, jaccard, langid, mixing, nearest, passages, pieces, prefix_trie, simhash, slots, variants, warc
 from tidewright.work import new_folder
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -252,3 +252,49 @@ LEFT JOIN children c ON c.node = n.node LEFT JOIN ends e ON e.node = n.node
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rebuilt = prefix_trie.branched(prefix_trie.conversations(table(spark, sf_dir, "conversations")))
     return prefix_trie.prefix_nodes(rebuilt)
+
+
+@query(r"""
+WITH RECURSIVE bits AS (
+  SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, b: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+), runs AS (
+  SELECT id, run, count(*) AS times, list_transform(range(1, length(id || ':' || run) + 1), lambda i: ord((id || ':' || run)[i])) AS points
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents)
+  GROUP BY id, run
+), hashed AS (
+  SELECT run, times,
+         xor(list_reduce([4294967295] || flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END)),
+                         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, bits
+), results AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:length(run)] ELSE run END AS word, times
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM results WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), without AS (
+  SELECT word, n, length(word) AS l, i, word[1:i - 1] || word[i + 1:length(word)] AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM without a JOIN without b ON a.i = b.i AND a.rest = b.rest AND a.l = b.l AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM pairs GROUP BY word
+), formed AS (
+  SELECT w.word, CASE WHEN near_n >= 2 * w.n THEN near END AS form, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS here FROM words
+  UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.here WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.here AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk w ON w.word = f.word JOIN formed last ON last.word = w.here AND last.form IS NULL
+""")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
