@@ -247,6 +247,51 @@ def incremental_two_runs(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("""
+    SELECT o_orderkey, count(l_linenumber) AS lines, CAST(sum(l_quantity) AS BIGINT) AS units
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey
+""")
+def incremental_two_sources(spark, sf_dir):
+    """Orders and their lines arrive in two drops. The second run breaks off; the next one repeats its batch."""
+    landing, out, state = (new_folder(spark, label) for label in ("landing", "incremental", "bookmark"))
+    tables = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+    class BrokenOff(Exception):
+        pass
+
+    def break_off(spark, frames):
+        raise BrokenOff
+
+    def paired(*first):
+        return Job.from_dict({
+            "sources": [{"name": t, "source_type": "file", "path": f"{landing}/{t}"} for t in tables],
+            "transforms": [
+                *first,
+                step("aggregate", source="lineitem", group_by=["l_orderkey"],
+                     aggs={"lines": "count(l_linenumber)", "units": "cast(sum(l_quantity) as bigint)"}),
+                step("rename", source="lineitem", mapping={"l_orderkey": "o_orderkey"}),
+                step("join", right="lineitem", on="o_orderkey", how="left"),
+                step("add_column", name="lines", expression="coalesce(lines, 0)"),
+                step("select", columns=["o_orderkey", "lines", "units"]),
+            ],
+            "sink": {"sink_type": "file", "path": out, "mode": "append"},
+            "bookmark": "enabled", "state_path": state,
+        })
+
+    for part in (0, 1, 2):
+        for table, key in tables.items():
+            job(sf_dir, table, step("filter", condition=f"{key} % 3 = {part}"),
+                sink={"sink_type": "file", "path": f"{landing}/{table}", "mode": "append"}).run(spark)
+        if part == 1:
+            # Its batch is begun, but not written; the third drop arrives before the next run.
+            try:
+                paired(step("custom", function=break_off)).run(spark)
+            except BrokenOff:
+                continue
+        paired().run(spark)
+    return spark.read.parquet(out)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def multi_path_read(spark, sf_dir):
     paths = []

@@ -48,6 +48,23 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                     spark.conf.set(key, value)
 
 
+def rename_once(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder in one step; False, and nothing changes, if ``to`` exists already."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(path), hadoop.Path(to)
+    context = hadoop.FileContext.getFileContext(
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        context.rename(old, new, options)
+    except Exception:
+        if context.util().exists(new):
+            return False
+        raise
+    return True
+
+
 def is_repeatable(df: DataFrame) -> bool:
     """Whether ``df`` gives the same rows each time it is read, as far as its expressions go."""
     return df._jdf.queryExecution().analyzed().deterministic()
