@@ -36,6 +36,22 @@ EXPRESSIONS = [
     "stddev(v)",
     "var_pop(v + 1000000)",
     "variance(d)",
+    "covar_samp(v, u)",
+    "covar_pop(v + 1000000, d)",
+    "corr(v, u)",
+    "max_by(v, hash(u))",
+    "min_by(v, if(u % 3 = 0, null, hash(u, 1)))",
+    "any_value(v)",
+    "any_value(v) ignore nulls",
+    "first(v) ignore nulls",
+    "first_value(v, true)",
+    "last(v) ignore nulls",
+    "last_value(v, false)",
+    "bit_xor(u)",
+    "bit_and(u + 4096)",
+    "every(v < 99)",
+    "lead(v, 5, u)",
+    "nth_value(u, 1)",
 ]
 
 
@@ -66,23 +82,74 @@ def rows(df):
     return [tuple(Close(v) if isinstance(v, float) else v for v in row) for row in plain]
 
 
-@pytest.mark.parametrize("expression", EXPRESSIONS)
+def same_columns(frame, expressions, groups, orders, hot_rows):
+    """All expressions in one call give what Spark's own window gives for each."""
+    sorts = [F.col(o["column"]).desc() if isinstance(o, dict) else F.col(o).asc() for o in orders]
+    spec = Window.partitionBy(*groups).orderBy(*sorts)
+    names = [f"w{at}" for at in range(len(expressions))]
+    plain = frame.select("*", *[F.expr(e).over(spec).alias(n) for n, e in zip(names, expressions)])
+    split = windows(frame, [WindowColumn(n, e, groups, orders) for n, e in zip(names, expressions)], hot_rows)
+    assert [f.dataType for f in split.schema] == [f.dataType for f in plain.schema]
+    for row, expected in zip(rows(split), rows(plain), strict=True):
+        different = [(e, a, b) for e, a, b in zip(["row"] * len(frame.columns) + list(expressions), row, expected) if not a == b]
+        assert not different, (different, expected[: len(frame.columns)])
+
+
 @pytest.mark.parametrize("groups", [["g"], []])
-def test_split_groups_equal_the_plain_window(frame, expression, groups):
-    order = [{"column": "o", "desc": True}, {"column": "u"}]
-    spec = Window.partitionBy(*groups).orderBy(F.col("o").desc(), F.col("u").asc())
-    plain = frame.withColumn("w", F.expr(expression).over(spec))
-    split = window(frame, "w", expression, groups, order, hot_rows=300)
-    assert split.schema == plain.schema or [f.dataType for f in split.schema] == [f.dataType for f in plain.schema]
+def test_split_groups_equal_the_plain_window(frame, groups):
+    same_columns(frame, EXPRESSIONS, groups, [{"column": "o", "desc": True}, "u"], 300)
+
+
+def test_ties_share_one_value(frame):
+    shared = ("rank", "dense_rank", "percent_rank", "cume_dist", "count", "sum", "avg", "min", "max", "count_if", "stddev",
+              "var_pop", "corr", "covar_pop", "bit_xor", "every")
+    same_columns(frame, [e for e in EXPRESSIONS if e.split("(")[0] in shared], ["g"], ["o"], 300)
+
+
+@pytest.mark.parametrize("keys", [1, 3, 7])
+def test_ties_over_several_buckets(frame, keys):
+    """Also where one tie is all there is."""
+    tied = frame.withColumn("o", F.when(F.col("u") % 5 == 0, 0).otherwise(F.hash("u") % keys))
+    expressions = ["rank()", "dense_rank()", "percent_rank()", "cume_dist()", "sum(v)", "count(*)", "max(v)", "avg(d)", "corr(v, u)",
+                   "bit_or(u)", "nth_value(o, 700)", "nth_value(o, 50)", "min_by(o, o)"]
+    same_columns(tied, expressions, ["g"], [{"column": "o", "desc": True}], 100)
+
+
+def test_neighbours_further_away_than_a_bucket_is_long(frame):
+    """Buckets of about a dozen rows."""
+    same_columns(frame.where("u < 400"), ["lag(u, 40, -1)", "lead(u, 40, -1)", "lag(v, 7)", "nth_value(u, 60)"], ["g"], ["u"], 12)
+
+
+@pytest.mark.parametrize("expression, without", [
+    ("sum(v) filter (where v > 50 and g is null)", "sum(case when v > 50 and g is null then v end)"),
+    ("count(*) FILTER (WHERE v in (1, 2, 3))", "count(case when v in (1, 2, 3) then 1 end)"),
+    ("max_by(v, hash(u)) filter (where v < 70)", "max_by(v, case when v < 70 then hash(u) end)"),
+    ("corr(v, u) filter (where u % 3 = 0)", "corr(case when u % 3 = 0 then v end, u)"),
+    ("last(v) filter (where v > 90) ignore nulls", "last(case when v > 90 then v end) ignore nulls")])
+@pytest.mark.parametrize("hot_rows", [300, None])
+def test_filters(frame, expression, without, hot_rows):
+    with pytest.raises(JobError):
+        window(frame, "w", "last(v) filter (where v > 90)", ["g"], ["u"], hot_rows)
+    plain = frame.withColumn("w", F.expr(without).over(Window.partitionBy("g").orderBy("u")))
+    assert rows(window(frame, "w", expression, ["g"], ["u"], hot_rows)) == rows(plain)
+
+
+def test_no_join_by_number_and_one_layout_for_orders_that_begin_alike(frame):
+    columns = [WindowColumn("a", "lag(v)", ["g"], ["o", "u"]), WindowColumn("b", "lead(v, 3)", ["g"], ["o", "u"]),
+               WindowColumn("c", "rank()", ["g"], ["o"]), WindowColumn("d", "sum(v)", ["g"], ["o"])]
+    split = windows(frame, columns, hot_rows=300)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    # Cold rows leave out hot groups, hot rows meet one row a bucket: all joins are broadcasts.
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "__number" not in plan
+    by_o, by_u = Window.partitionBy("g").orderBy("o"), Window.partitionBy("g").orderBy("o", "u")
+    plain = (frame.withColumn("a", F.lag("v").over(by_u)).withColumn("b", F.lead("v", 3).over(by_u))
+             .withColumn("c", F.rank().over(by_o)).withColumn("d", F.sum("v").over(by_o)))
     assert rows(split) == rows(plain)
 
 
-@pytest.mark.parametrize("expression", [e for e in EXPRESSIONS if e.split("(")[0] in (
-    "rank", "dense_rank", "percent_rank", "cume_dist", "count", "sum", "avg", "min", "max", "count_if", "stddev", "var_pop")])
-def test_ties_share_one_value(frame, expression):
-    spec = Window.partitionBy("g").orderBy("o")
-    plain = frame.withColumn("w", F.expr(expression).over(spec))
-    assert rows(window(frame, "w", expression, ["g"], ["o"], hot_rows=300)) == rows(plain)
+def test_what_is_not_split_is_named(frame):
+    with pytest.warns(UserWarning, match="'w'.*skewness"):
+        window(frame, "w", "skewness(v)", ["g"], ["u"], hot_rows=10)
 
 
 def test_nth_value_is_seen_by_its_ties(spark):

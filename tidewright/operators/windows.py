@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -23,7 +24,7 @@ from pyspark.sql.types import DecimalType
 from tidewright.errors import JobError
 from tidewright.names import Expression, column, expression as to_column, fold, has_unique_names, is_case_sensitive
 from tidewright.operators.skew import HOT_ROWS, hot_groups, same_keys, small
-from tidewright.work import is_repeatable, stage
+from tidewright.work import comes_in_order, is_repeatable, stage
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _CALL = re.compile(r"\s*(\w+)\s*\((.*)\)\s*", re.DOTALL)
@@ -33,11 +34,15 @@ _CALL = re.compile(r"\s*(\w+)\s*\((.*)\)\s*", re.DOTALL)
 _MEAN_DIGITS, _MEAN_SCALE = 33, 13
 
 # Names of the columns added on the way.
-_BUCKET, _TIE, _SIZE, _NUMBER = "__bucket", "__tie", "__group_rows", "__number"
+_BUCKET, _TIE, _SIZE = "__bucket", "__tie", "__group_rows"
 
 # Functions Spark accepts only in a window with an order.
 _WINDOW_ONLY = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead", "nth_value"}
 
+# Functions that give one row's value and may pass over nulls, and those of two values.
+_PLACED = {"first", "first_value", "any_value", "last", "last_value"}
+_OF_TWO = {"min_by", "max_by", "corr", "covar_pop", "covar_samp"}
+
 
 @dataclass
 class WindowColumn:
@@ -62,14 +67,39 @@ class WindowColumn:
         self.partition_by = list(self.partition_by)
         self.orders = [_order(item) for item in self.order_by]
         self.call = _call(self.expression) if isinstance(self.expression, str) else None
+        if self.call and self.call.condition:
+            # Spark has no FILTER in windows.
+            self.expression = self.call.filtered()
+            self.call = _call(self.expression)
+        self.scale = None
 
     @property
     def function(self) -> str | None:
-        return self.call[0] if self.call else None
+        return self.call.function if self.call else None
 
     @property
     def arguments(self) -> list[str]:
-        return self.call[1] if self.call else []
+        return self.call.arguments if self.call else []
+
+    @property
+    def ignores_nulls(self) -> bool:
+        flag = self.arguments[1].lower() if self.function in _PLACED and len(self.arguments) == 2 else ""
+        return self.call.ignores_nulls or flag == "true"
+
+    @property
+    def values(self) -> list[str]:
+        """The arguments that are values of rows."""
+        return self.arguments[: 2 if self.function in _OF_TWO else 1]
+
+    @property
+    def steps(self) -> int:
+        """How many rows away, or which row or how many tiles, the function asks for."""
+        given = self.arguments if self.function == "ntile" else self.arguments[1:]
+        return int(given[0]) if given and given[0].isdigit() else 1
+
+    @property
+    def default(self) -> str | None:
+        return self.arguments[2] if self.function in ("lag", "lead") and len(self.arguments) == 3 else None
 
     def over(self, df: DataFrame) -> Column:
         spec = Window.partitionBy(*self.partition_by)
@@ -81,7 +111,7 @@ class WindowColumn:
         return not self.orders and self.function is not None and self.function not in _WINDOW_ONLY
 
     def is_splittable(self) -> bool:
-        return bool(self.orders) and self.function is not None and _has_split_form(self.function, self.arguments)
+        return bool(self.orders) and self.function is not None and _has_split_form(self)
 
     def mentions(self, names: Sequence[str]) -> bool:
         """Whether any of ``names`` may occur in it."""
@@ -118,6 +148,9 @@ def windows(df: DataFrame, columns: Sequence[WindowColumn], hot_rows: int | None
         elif unique and all(c.is_splittable() and _is_exact(df, c) for c in group):
             df = _ordered(df, group, limit)
         else:
+            for one in group:
+                if one.orders:
+                    warnings.warn(f"window '{one.name}': '{one.expression}' takes each of its groups in one task", stacklevel=2)
             df = _plain(df, group)
     return df
 
@@ -152,13 +185,49 @@ def _sort(source: Column, desc: bool) -> Column:
     return source.desc() if desc else source.asc()
 
 
-def _call(text: str) -> tuple[str, list[str]] | None:
-    """Name and arguments if ``text`` is a single function call."""
+@dataclass
+class _Call:
+    """A single function call, as it stands in the text."""
+
+    function: str
+    arguments: list[str]
+    ignores_nulls: bool = False
+    condition: str | None = None
+
+    def filtered(self) -> str:
+        """The call with its FILTER condition moved into the argument whose nulls it passes over."""
+        if self.function in {*_POSITIONS, *_PLACED} and not self.ignores_nulls:
+            raise JobError(f"window: '{self.function}' takes no FILTER")
+        arguments = list(self.arguments)
+        at = 1 if self.function in ("min_by", "max_by") else 0
+        value = "1" if arguments[at : at + 1] in ([], ["*"]) else arguments[at]
+        arguments[at : at + 1] = [f"CASE WHEN {self.condition} THEN {value} END"]
+        return f"{self.function}({', '.join(arguments)})" + (" IGNORE NULLS" if self.ignores_nulls else "")
+
+
+_FILTER = re.compile(r"(.*\))\s*filter\s*\(\s*where\b(.*)\)\s*", re.IGNORECASE | re.DOTALL)
+_NULLS = re.compile(r"(.*\))\s*(ignore|respect)\s+nulls\s*", re.IGNORECASE | re.DOTALL)
+
+
+def _call(text: str) -> _Call | None:
+    """The parts of ``text`` if it is a single function call."""
+    condition, ignores = None, False
+    if found := _NULLS.fullmatch(text):
+        text, ignores = found[1], found[2].lower() == "ignore"
+    if found := _FILTER.fullmatch(text):
+        text, condition = found.groups()
+        if _arguments(condition) is None:
+            return None
     match = _CALL.fullmatch(text)
     if match is None or re.match(r"\s*distinct\b", match[2], re.IGNORECASE):
         return None
-    arguments, depth, start = [], 0, 0
-    body, quote = match[2], None
+    arguments = _arguments(match[2])
+    return None if arguments is None else _Call(match[1].lower(), arguments, ignores, condition and condition.strip())
+
+
+def _arguments(body: str) -> list[str] | None:
+    """What stands between the commas outside brackets and quotes; None if those don't match."""
+    arguments, depth, start, quote = [], 0, 0, None
     if "\\" in body:
         return None
     for at, letter in enumerate(body):
@@ -176,28 +245,39 @@ def _call(text: str) -> tuple[str, list[str]] | None:
     if depth or quote:
         return None
     last = body[start:].strip()
-    return match[1].lower(), arguments + ([last] if last else [])
+    return arguments + ([last] if last else [])
 
 
-def _has_split_form(function: str, arguments: Sequence[str]) -> bool:
-    if function == "nth_value":
-        return len(arguments) == 2 and arguments[1].isdigit() and int(arguments[1]) > 0
-    if function in ("lag", "lead"):
-        return len(arguments) in (1, 2, 3) and all(a.isdigit() for a in arguments[1:2])
-    if function == "ntile":
-        return len(arguments) == 1 and arguments[0].isdigit() and int(arguments[0]) > 0
-    return (function in _POSITIONS or function in _PEERS) and len(arguments) <= 1
+def _has_split_form(one: WindowColumn) -> bool:
+    function, arguments = one.function, one.arguments
+    if function in _PLACED:
+        flag = len(arguments) == 2 and arguments[1].lower() in ("true", "false")
+        return len(arguments) == 1 or flag
+    if one.ignores_nulls:
+        return False
+    if function in _POSITIONS:
+        numbers = arguments if function == "ntile" else arguments[1:2]
+        fits = len(arguments) in _POSITIONS[function] and all(n.isdigit() and int(n) > 0 for n in numbers)
+        return fits and (function == "ntile" or one.steps <= (_MOST_STEPS if function in ("lag", "lead") else _LAST_PLACE))
+    return function in _PEERS and len(arguments) in ((2,) if function in _OF_TWO else (0, 1))
 
 
 def _is_exact(df: DataFrame, one: WindowColumn) -> bool:
-    """Whether splitting gives the very value: not for means of very long decimals."""
-    if one.function not in ("avg", "mean") or not one.arguments:
+    """Whether splitting gives the very value: not for means of very long decimals, nor for values without an order."""
+    if not one.values or one.values == ["*"]:
         return True
-    kind = df.select(F.expr(one.arguments[0]).alias("v")).schema["v"].dataType
-    return not isinstance(kind, DecimalType) or (kind.precision <= _MEAN_DIGITS and kind.scale <= _MEAN_SCALE)
+    kinds = [field.dataType for field in df.select(*[F.expr(v).alias(f"v{i}") for i, v in enumerate(one.values)]).schema]
+    if one.function in ("avg", "mean"):
+        one.scale = df.select(F.avg(F.expr(one.values[0])).alias("v")).schema["v"].dataType
+        one.scale = one.scale.scale if isinstance(one.scale, DecimalType) else None
+        return not isinstance(kinds[0], DecimalType) or (kinds[0].precision <= _MEAN_DIGITS and kinds[0].scale <= _MEAN_SCALE)
+    return not any("map<" in kind.simpleString() or "variant" in kind.simpleString() for kind in kinds)
 
 
 def _plain(df: DataFrame, group: Sequence[WindowColumn]) -> DataFrame:
+    """Spark's own windows; those that don't mention each other in one step."""
+    if has_unique_names(df) and not any(one.mentions([c.name for c in group[:at]]) for at, one in enumerate(group)):
+        return df.withColumns({one.name: one.over(df) for one in group})
     return reduce(lambda frame, one: frame.withColumn(one.name, one.over(frame)), group, df)
 
 
@@ -260,16 +340,14 @@ def _ordered(df: DataFrame, group: Sequence[WindowColumn], limit: int) -> DataFr
         rows = keyed.join(hot, same_keys(keys, hot_names)).drop(*hot_names)
         cold = keyed.join(hot, same_keys(keys, hot_names), "left_anti").select(*[column(c) for c in df.columns])
     split = _Split(keys, max(2, math.ceil(found.rows / max(limit, 1))), found.groups)
-    if any(c.function in _POSITIONS for c in group):
-        rows = rows.withColumn(_TIE, F.monotonically_increasing_id())
-    # Kept, because it is read several times and its lineage may be long, and
-    # because a tie must be broken the same way if a task is run again.
-    valued, values = stage(rows), {}
-    for orders in _distinct([c.orders for c in group]):
-        alike = [(at, c) for at, c in enumerate(group) if c.orders == orders]
-        valued, peers = split.by_peers(valued, orders, [(at, c) for at, c in alike if c.function in _PEERS])
-        valued, places = split.by_place(valued, orders, [(at, c) for at, c in alike if c.function in _POSITIONS])
-        values.update(peers | places)
+    # A tie must be broken the same way if a task is run again: rows that come
+    # out of a shuffle may come in another order then, so they are kept first.
+    valued, values = rows.withColumn(_TIE, F.monotonically_increasing_id()), {}
+    if not comes_in_order(rows):
+        valued = stage(valued)
+    for orders, alike in _chains(group):
+        valued, found_here = split.evaluate(valued, orders, alike)
+        values.update(found_here)
     types = {c.name: plain.schema[c.name].dataType for c in group}
     result = _with_values(valued, df, {c.name: values[at].cast(types[c.name]) for at, c in enumerate(group)})
     return result if cold is None else _plain(cold, group).union(result)
@@ -282,182 +360,257 @@ def _distinct(items: Sequence) -> list:
 class _Split:
     """Window columns of hot groups, whose rows are spread over many tasks.
 
-    ``keys`` name the columns that tell the ``groups`` groups apart.
+    ``keys`` name the columns that tell the ``groups`` groups apart. Rows are laid out once in
+    window order over range buckets. Each bucket is a window of its own; what it needs of the
+    others is made from one row a bucket and group: how many rows and order keys there are, the
+    totals of all its rows, of those that tie with its first and with its last, and the values at its ends.
     """
 
     def __init__(self, keys: Sequence[str], buckets: int, groups: int):
         self.keys, self.buckets, self.groups = list(keys), buckets, groups
 
+    def evaluate(
+        self, rows: DataFrame, orders: list, columns: Sequence[tuple[int, WindowColumn]]
+    ) -> tuple[DataFrame, dict[int, Column]]:
+        """``rows`` with all that ``columns`` need, whose orders all begin ``orders``, and their values."""
+        rows, parts = self._with_parts(rows, columns)
+        sorts = [_sort(F.col(source), desc) for source, desc in orders]
+        local = self._local(self._bucketed(rows, [*sorts, F.col(_TIE).asc()]), [*sorts, F.col(_TIE).asc()], columns, parts)
+        carries = self._carries(local, columns, parts)
+        mine = [_BUCKET, *self.keys]
+        others = _numbered_names("carry", len(mine))
+        kept = [c for c in carries.columns if c not in mine]
+        # A bucket's rows of one group are no more than a task's share.
+        joined = local.join(
+            small(carries.select(*_aliased(mine, others), *kept), self.buckets + self.groups), same_keys(mine, others)
+        )
+        values = {at: self._value(at, one, parts.get(at, {})).alias(f"__w{at}") for at, one in columns}
+        given = [column(c) for c in rows.columns if c not in _SCRATCH and not c.startswith("__in_")]
+        return joined.select(*given, *values.values()), {at: F.col(f"__w{at}") for at in values}
+
     def _bucketed(self, rows: DataFrame, sorts: Sequence[Column]) -> DataFrame:
         """``rows`` in window order over range buckets, with the bucket's number.
 
         The bounds are drawn from a sample, so the result is kept: every later
-        use must see the same buckets.
+        use must see the same buckets. Ties are broken freely, so that even rows
+        with equal order keys spread over buckets.
         """
         placed = rows.repartitionByRange(self.buckets, *[F.col(k).asc() for k in self.keys], *sorts)
         return stage(placed.withColumn(_BUCKET, F.spark_partition_id()))
 
-    def _running(
-        self, bucketed: DataFrame, sorts: Sequence[Column], measures: Mapping[str, tuple[Callable, Column]]
-    ) -> DataFrame:
-        """Running totals over whole groups: within the bucket, plus the carry."""
-        local = Window.partitionBy(_BUCKET, *self.keys).orderBy(*sorts)
-        local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        earlier = Window.partitionBy(*self.keys).orderBy(_BUCKET)
-        earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-        mine = [_BUCKET, *self.keys]
-        others = _numbered_names("carry", len(mine))
-        totals = bucketed.groupBy(*mine).agg(*[total(value).alias(n) for n, (total, value) in measures.items()])
-        carried = totals.select(
-            *_aliased(mine, others),
-            *[total(F.col(n)).over(earlier).alias(f"{n}_carry") for n, (total, _) in measures.items()],
-        )
-        within = bucketed.withColumns({n: total(value).over(local) for n, (total, value) in measures.items()})
-        merged = {}
-        for n, (total, _) in measures.items():
-            here, before = F.col(n), F.col(f"{n}_carry")
-            if total is F.sum:
-                merged[n] = F.coalesce(here + before, here, before)
-            else:
-                merged[n] = F.least(here, before) if total is F.min else F.greatest(here, before)
-        # A bucket's rows of one group are no more than a task's share.
-        joined = within.join(small(carried, self.buckets + self.groups), same_keys(mine, others))
-        return joined.withColumns(merged).drop(*others, *[f"{n}_carry" for n in measures], _BUCKET)
-
-    def by_place(self, rows: DataFrame, orders, columns) -> tuple[DataFrame, dict[int, Column]]:
-        """Functions of a row's place in its group.
-
-        Rows that tie may come in any order, so a tie is broken freely and even
-        rows with equal order keys spread over buckets.
-        """
-        if not columns:
-            return rows, {}
-        sorts = [*[_sort(F.col(source), desc) for source, desc in orders], F.col(_TIE).asc()]
-        numbered = self._running(self._bucketed(rows, sorts), sorts, {_NUMBER: (F.sum, F.lit(1))})
-        valued, values = numbered, {}
+    def _with_parts(self, rows: DataFrame, columns) -> tuple[DataFrame, dict[int, dict]]:
+        """The arguments of all aggregates as columns, and each aggregate's parts."""
+        parts = {}
         for at, one in columns:
-            valued, value = _POSITIONS[one.function](self, valued, numbered, f"__w{at}", one)
-            values[at] = F.col(f"__w{at}")
-            valued = valued.withColumn(f"__w{at}", value)
-        return valued.drop(_NUMBER), values
-
-    def _row_number(self, valued, numbered, name, one):
-        return valued, F.col(_NUMBER)
-
-    def _ntile(self, valued, numbered, name, one):
-        tiles = F.lit(int(one.arguments[0]))
-        place, size = F.col(_NUMBER) - 1, F.col(_SIZE)
-        small, larger = F.floor(size / tiles), size % tiles
-        in_larger = larger * (small + 1)
-        rest = larger + F.floor((place - in_larger) / F.greatest(small, F.lit(1)))
-        return valued, F.when(place < in_larger, F.floor(place / (small + 1))).otherwise(rest) + 1
-
-    def _lag(self, valued, numbered, name, one):
-        return self._neighbour(valued, numbered, name, one, 1)
-
-    def _lead(self, valued, numbered, name, one):
-        return self._neighbour(valued, numbered, name, one, -1)
-
-    def _neighbour(self, valued, numbered, name, one, sign):
-        value, *rest = one.arguments
-        steps = int(rest[0]) if rest else 1
-        default = F.expr(rest[1]) if len(rest) > 1 else F.lit(None)
-        mine = [_NUMBER, *self.keys]
-        others = [f"{name}_{i}" for i in range(len(mine))]
-        near = numbered.select(
-            (F.col(_NUMBER) + sign * steps).alias(others[0]),
-            *_aliased(self.keys, others[1:]),
-            F.struct(F.expr(value).alias("value")).alias(f"{name}_near"),
-        )
-        # The row's number is part of the key, so the join is even.
-        joined = valued.join(near, same_keys(mine, others), "left").drop(*others)
-        found = F.col(f"{name}_near")
-        return joined, F.when(found.isNotNull(), found["value"]).otherwise(default)
-
-    def _at(self, valued, numbered, name, value, place) -> DataFrame:
-        """``valued`` with the value of the group's row number ``place``."""
-        others = [f"{name}_{i}" for i in range(len(self.keys))]
-        found = numbered.filter(F.col(_NUMBER) == place).select(
-            *_aliased(self.keys, others), F.struct(*value).alias(f"{name}_at")
-        )  # at most one row per hot group
-        return valued.join(small(found, self.groups), same_keys(self.keys, others), "left").drop(*others)
-
-    def _first(self, valued, numbered, name, one):
-        joined = self._at(valued, numbered, name, [F.expr(one.arguments[0]).alias("value")], 1)
-        return joined, F.col(f"{name}_at")["value"]
-
-    def _nth(self, valued, numbered, name, one):
-        place = int(one.arguments[1])
-        sources = [source for source, _ in one.orders]
-        keys = [F.col(source).alias(f"order{i}") for i, source in enumerate(sources)]
-        joined = self._at(valued, numbered, name, [F.expr(one.arguments[0]).alias("value"), *keys], place)
-        found = F.col(f"{name}_at")
-        ties = reduce(
-            lambda a, b: a & b, [F.col(source).eqNullSafe(found[f"order{i}"]) for i, source in enumerate(sources)]
-        )
-        return joined, F.when(found.isNotNull() & ((F.col(_NUMBER) >= place) | ties), found["value"])
-
-    def by_peers(self, rows: DataFrame, orders, columns) -> tuple[DataFrame, dict[int, Column]]:
-        """Functions whose value all tied rows share.
-
-        Tied rows are aggregated first, so what is put in order has no ties,
-        and then joined back.
-        """
-        if not columns:
-            return rows, {}
-        at_first = columns[0][0]
-        names = [f"__order{at_first}_{i}" for i in range(len(orders))]
-        sorts = [_sort(F.col(name), desc) for name, (_, desc) in zip(names, orders)]
-        rows = rows.select("*", *_aliased([source for source, _ in orders], names))
-        mine = [*self.keys, *names]
-        aggregates, running, values = [], {_UPTO: (F.sum, F.col(_COUNT)), _DISTINCT: (F.sum, F.lit(1))}, []
-        for at, one in columns:
-            parts, value = _PEERS[one.function]
-            argument = one.arguments[0] if one.arguments else "1"
-            source = F.lit(1) if argument == "*" else F.expr(argument)
-            if one.function in _SPREADS:
-                rows = self._with_mean(rows, source, f"__w{at}_mean")
-                source = source.cast("double") - F.col(f"__w{at}_mean")
-            found = {}
-            for part, (partial, total) in parts.items():
-                name = f"__w{at}_{part}"
-                aggregates.append(partial(source).alias(name))
-                if total is not None:
-                    running[name] = (total, F.col(name))
-                found[part] = F.col(name)
-            if value is _average:
-                kind = rows.select(F.avg(source).alias("v")).schema["v"].dataType
-                found["scale"] = kind.scale if isinstance(kind, DecimalType) else None
-            values.append(value(**found).alias(f"__w{at}"))
-        peers = rows.groupBy(*mine, _SIZE).agg(F.count(F.lit(1)).alias(_COUNT), *aggregates)
-        ordered = self._running(self._bucketed(peers, sorts), sorts, running)
-        others = _numbered_names(f"peer{at_first}_", len(mine))
-        joined = rows.join(ordered.select(*_aliased(mine, others), *values), same_keys(mine, others))
-        means = [f"__w{at}_mean" for at, _ in columns]
-        return joined.drop(*others, *names, *means), {at: F.col(f"__w{at}") for at, _ in columns}
-
-    def _with_mean(self, rows: DataFrame, source: Column, name: str) -> DataFrame:
-        """``rows`` with the mean of the group. Squares are summed around it, as
+            if one.function not in _PEERS or one.function in _POSITIONS and not one.ignores_nulls:
+                continue
+            sources = [F.lit(1) if a == "*" else F.expr(a) for a in one.values or ["1"]]
+            if one.function in _CENTRED:
+                sources = [s.cast("double") for s in sources]
+                if len(sources) == 2:
+                    both = sources[0].isNotNull() & sources[1].isNotNull()
+                    sources = [F.when(both, s) for s in sources]
+                rows, sources = self._centred(rows, sources, f"__in_{at}")
+            names = [f"__in_{at}_{i}" for i in range(len(sources))]
+            rows = rows.withColumns(dict(zip(names, sources)))
+            made = _PEERS[one.function][0](*[F.col(name) for name in names], one.ignores_nulls)
+            parts[at] = {f"__in_{at}_{part}": own for part, own in made.items()}
+        return rows, parts
+
+    def _centred(self, rows: DataFrame, sources: Sequence[Column], name: str) -> tuple[DataFrame, list[Column]]:
+        """Values less the mean of their group. Products are summed around it, as
         those of large numbers would drown their differences."""
+        means = [f"{name}_mean{i}" for i in range(len(sources))]
+        aggregates = [F.avg(source).alias(mean) for source, mean in zip(sources, means)]
         if not self.keys:
-            return rows.withColumn(name, rows.agg(F.avg(source)).scalar())
-        others = [f"{name}_{i}" for i in range(len(self.keys))]
-        means = rows.groupBy(*_aliased(self.keys, others)).agg(F.avg(source).cast("double").alias(name))
+            scalars = rows.agg(F.struct(*aggregates).alias("means"))
+            return rows, [s - scalars.select(f"means.{mean}").scalar() for s, mean in zip(sources, means)]
+        others = [f"{name}_key{i}" for i in range(len(self.keys))]
+        found = rows.groupBy(*_aliased(self.keys, others)).agg(*aggregates)
         # one row per hot group
-        return rows.join(small(means, self.groups), same_keys(self.keys, others)).drop(*others)
-
-
-# Running totals every peer function can use: rows up to and with the ties,
-# rows among the ties, order keys so far.
-_UPTO, _COUNT, _DISTINCT = "__upto", "__peers", "__distinct"
-
-
-def _rank() -> Column:
-    return F.col(_UPTO) - F.col(_COUNT) + 1
-
-
-def _percent_rank() -> Column:
-    return F.when(F.col(_SIZE) > 1, (_rank() - 1) / F.greatest(F.col(_SIZE) - 1, F.lit(1))).otherwise(F.lit(0.0))
+        joined = rows.join(small(found, self.groups), same_keys(self.keys, others))
+        return joined, [s - F.col(mean) for s, mean in zip(sources, means)]
+
+    def _local(self, bucketed: DataFrame, sorts: Sequence[Column], columns, parts) -> DataFrame:
+        """Each bucket by itself: places, ties and running totals within it."""
+        whole = Window.partitionBy(_BUCKET, *self.keys)
+        in_order = whole.orderBy(*sorts)
+        added = {_AT: F.row_number().over(in_order)}
+        for at, one in columns:
+            steps = one.steps
+            if one.function == "lag":
+                added[f"__near{at}"] = F.lag(F.struct(F.expr(one.values[0]).alias("value")), steps).over(in_order)
+            elif one.function == "lead":
+                added[f"__near{at}"] = F.lead(F.struct(F.expr(one.values[0]).alias("value")), steps).over(in_order)
+        local = bucketed.withColumns(added)
+        for tag, orders in _tags(columns):
+            by = whole.orderBy(*[_sort(F.col(source), desc) for source, desc in orders])
+            # The frame of an ordered window ends with the ties of the row.
+            local = local.withColumns({
+                f"__rank{tag}": F.rank().over(by), f"__dense{tag}": F.dense_rank().over(by),
+                f"__upto{tag}": F.count(F.lit(1)).over(by),
+                **{part: partial(source).over(by) for at, one in columns if one.orders == orders
+                   for part, (partial, _, source) in parts.get(at, {}).items()},
+            })
+        return local.withColumn(_IN, F.count(F.lit(1)).over(whole))
+
+    def _carries(self, local: DataFrame, columns, parts) -> DataFrame:
+        """For each bucket and group what comes in from the buckets before and after it."""
+        made = [F.count(F.lit(1)).alias(_IN)]
+        for tag, orders in _tags(columns):
+            first, last = F.col(f"__rank{tag}") == 1, F.col(f"__upto{tag}") == F.col(_IN)
+            key = F.struct(*[F.col(source).alias(f"k{i}") for i, (source, _) in enumerate(orders)])
+            made += [
+                F.min_by(key, _AT).alias(f"__first{tag}"), F.max_by(key, _AT).alias(f"__last{tag}"),
+                F.count_if(first).alias(f"__firsts{tag}"), F.count_if(last).alias(f"__lasts{tag}"),
+                F.max(f"__dense{tag}").alias(f"__keys{tag}"),
+            ]
+            for at, one in columns:
+                if one.orders == orders:
+                    for part, (partial, _, source) in parts.get(at, {}).items():
+                        made += [partial(source).alias(part), partial(F.when(first, source)).alias(f"{part}_first")]
+        for at, one in columns:
+            if one.function in _POSITIONS and one.values and not one.ignores_nulls and one.function != "ntile":
+                entry = F.struct(F.col(_AT).alias("at"), F.expr(one.values[0]).alias("value"))
+                from_end = F.col(_IN) - F.col(_AT)
+                near = from_end < one.steps if one.function == "lag" else F.col(_AT) <= one.steps
+                listed = F.collect_list(F.when(near, entry))
+                made.append(F.array_sort(listed, lambda a, b: a["at"] - b["at"]).alias(f"__ends{at}"))
+        buckets = local.groupBy(_BUCKET, *self.keys).agg(*made)
+
+        along = Window.partitionBy(*self.keys).orderBy(_BUCKET)
+        earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+        carried = {_BEFORE: F.coalesce(F.sum(_IN).over(earlier), F.lit(0))}
+        for tag, orders in _tags(columns):
+            goes_on = F.coalesce(F.col(f"__first{tag}").eqNullSafe(F.lag(f"__last{tag}").over(along)), F.lit(False))
+            goes_on &= F.lag(_IN).over(along).isNotNull()
+            buckets = buckets.withColumn(f"__on{tag}", goes_on)
+            next_on = F.coalesce(F.lead(f"__on{tag}").over(along), F.lit(False))
+            alike_last = Window.partitionBy(*self.keys, f"__last{tag}").orderBy(_BUCKET)
+            alike_first = Window.partitionBy(*self.keys, f"__first{tag}").orderBy(_BUCKET)
+            onward = alike_first.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+            so_far = alike_last.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            # Ties that reach over several buckets: of the first rows those before, of the last those after.
+            tied = {f"__tied{tag}": F.sum(f"__lasts{tag}").over(so_far), f"__more{tag}": F.sum(f"__firsts{tag}").over(onward)}
+            for at, one in columns:
+                if one.orders == orders:
+                    tied.update({f"{part}_on": total(F.col(f"{part}_first")).over(onward)
+                                 for part, (_, total, _) in parts.get(at, {}).items()})
+            buckets = buckets.withColumns(tied)
+            carried[f"__tied{tag}"] = F.when(F.col(f"__on{tag}"), F.lag(f"__tied{tag}").over(along)).otherwise(0)
+            carried[f"__more{tag}"] = F.when(next_on, F.lead(f"__more{tag}").over(along)).otherwise(0)
+            own_keys = F.col(f"__keys{tag}") - F.col(f"__on{tag}").cast("int")
+            carried[f"__earlier{tag}"] = F.coalesce(F.sum(own_keys).over(earlier), F.lit(0))
+            for at, one in columns:
+                if one.orders == orders:
+                    for part, (_, total, _) in parts.get(at, {}).items():
+                        carried[f"{part}_before"] = total(F.col(part)).over(earlier)
+                        carried[f"{part}_after"] = F.when(next_on, F.lead(f"{part}_on").over(along))
+        for at, one in columns:
+            ends = f"__ends{at}"
+            if one.function == "lag":
+                # Each bucket of a group has a row of it at least, so that many buckets are enough.
+                carried[ends] = F.flatten(F.collect_list(ends).over(along.rowsBetween(-one.steps, -1)))
+            elif one.function == "lead":
+                carried[ends] = F.flatten(F.collect_list(ends).over(along.rowsBetween(1, one.steps)))
+            elif one.function in ("first", "first_value", "any_value", "nth_value") and not one.ignores_nulls:
+                before = F.coalesce(F.sum(_IN).over(earlier), F.lit(0))
+                place = (F.lit(one.steps) - before).cast("int")
+                here = F.when((place >= 1) & (place <= F.size(ends)), F.get(F.col(ends), place - 1))
+                buckets = buckets.withColumn(f"__here{at}", here)
+                everything = Window.partitionBy(*self.keys)
+                carried[ends] = F.first(f"__here{at}", ignorenulls=True).over(everything)
+        on = [F.col(f"__on{tag}") for tag, _ in _tags(columns)]
+        return buckets.select(_BUCKET, *self.keys, *on, *[value.alias(name) for name, value in carried.items()])
+
+    def _value(self, at: int, one: WindowColumn, parts: Mapping) -> Column:
+        tag = next(tag for tag, orders in _tags([(at, one)]))
+        number = F.col(_BEFORE) + F.col(_AT)
+        is_first, is_last = F.col(f"__rank{tag}") == 1, F.col(f"__upto{tag}") == F.col(_IN)
+        # Where the first tie began in an earlier bucket, its rows there come off; no tie, nothing to take off.
+        rank = F.col(_BEFORE) + F.col(f"__rank{tag}") - F.when(is_first, F.col(f"__tied{tag}")).otherwise(0)
+        dense = F.col(f"__earlier{tag}") + F.col(f"__dense{tag}") - F.col(f"__on{tag}").cast("int")
+        upto = F.col(_BEFORE) + F.col(f"__upto{tag}") + F.when(is_last, F.col(f"__more{tag}")).otherwise(0)
+        ends, near = F.col(f"__ends{at}"), F.col(f"__near{at}")
+        size = F.col(_SIZE)
+        match one.function:
+            case "row_number":
+                return number
+            case "rank":
+                return rank
+            case "dense_rank":
+                return dense
+            case "percent_rank":
+                return F.when(size > 1, (rank - 1) / F.greatest(size - 1, F.lit(1))).otherwise(F.lit(0.0))
+            case "cume_dist":
+                return upto / size
+            case "ntile":
+                return _tile(number - 1, size, F.lit(one.steps))
+            case "lag" | "lead":
+                # Over the edge of the bucket, the rest of the way goes along the rows next to it.
+                if one.function == "lag":
+                    over = F.size(ends) - (one.steps - F.col(_AT))
+                else:
+                    over = one.steps - (F.col(_IN) - F.col(_AT))
+                beyond = F.when((over >= 1) & (over <= F.size(ends)), F.get(ends, over.cast("int") - 1))
+                default = F.expr(one.default) if one.default else F.lit(None)
+                return F.when(near.isNotNull(), near["value"]).when(beyond.isNotNull(), beyond["value"]).otherwise(default)
+        if one.function in _POSITIONS and not one.ignores_nulls:
+            return F.when(upto >= one.steps, ends["value"])
+        merged = {
+            part.removeprefix(f"__in_{at}_"): _merged(total, F.col(part), F.col(f"{part}_before"), F.when(is_last, F.col(f"{part}_after")))
+            for part, (_, total, _) in parts.items()
+        }
+        return _PEERS[one.function][1](**merged, **({"scale": one.scale} if one.function in ("avg", "mean") else {}))
+
+
+def _tags(columns) -> list[tuple[str, list]]:
+    """The orders of the columns, each with a name to tell what is made for it."""
+    return [(str(len(orders)), orders) for orders in _distinct([one.orders for _, one in columns])]
+
+
+def _chains(group: Sequence[WindowColumn]) -> Iterator[tuple[list, list[tuple[int, WindowColumn]]]]:
+    """Columns by what order serves them: one that another order begins with is served by that as well."""
+    longest: list[list] = []
+    for orders in sorted(_distinct([c.orders for c in group]), key=len, reverse=True):
+        if not any(other[: len(orders)] == orders for other in longest):
+            longest.append(orders)
+    for orders in longest:
+        yield orders, [
+            (at, c) for at, c in enumerate(group)
+            if next(other for other in longest if other[: len(c.orders)] == c.orders) == orders
+        ]
+
+
+def _merged(total: Callable, *values: Column) -> Column:
+    def two(a: Column, b: Column) -> Column:
+        match total:
+            case F.min:
+                return F.least(a, b)
+            case F.max:
+                return F.greatest(a, b)
+            case F.bit_and:
+                return F.coalesce(a.bitwiseAND(b), a, b)
+            case F.bit_or:
+                return F.coalesce(a.bitwiseOR(b), a, b)
+            case F.bit_xor:
+                return F.coalesce(a.bitwiseXOR(b), a, b)
+        return F.coalesce(a + b, a, b)
+
+    return reduce(two, values)
+
+
+def _tile(place: Column, size: Column, tiles: Column) -> Column:
+    small, larger = F.floor(size / tiles), size % tiles
+    in_larger = larger * (small + 1)
+    rest = larger + F.floor((place - in_larger) / F.greatest(small, F.lit(1)))
+    return F.when(place < in_larger, F.floor(place / (small + 1))).otherwise(rest) + 1
+
+
+# Names made on the way: a row's place in its bucket, the rows of the bucket that are of its
+# group, the rows of the group before the bucket.
+_AT, _IN, _BEFORE = "__at", "__rows_in", "__before"
+_SCRATCH = {_BUCKET}
 
 
 def _average(total: Column, n: Column, scale: int | None) -> Column:
@@ -494,45 +647,99 @@ def _deviation(freedom: int) -> Callable[..., Column]:
     return lambda n, total, squares: F.sqrt(_variance(freedom)(n, total, squares))
 
 
-_POSITIONS = {
-    "row_number": _Split._row_number,
-    "ntile": _Split._ntile,
-    "lag": _Split._lag,
-    "lead": _Split._lead,
-    "first": _Split._first,
-    "first_value": _Split._first,
-    "nth_value": _Split._nth,
-}
+def _covariance(freedom: int) -> Callable[..., Column]:
+    def value(n: Column, x: Column, y: Column, xy: Column, **_) -> Column:
+        return F.when(n > freedom, (xy - x * y / F.greatest(n, F.lit(1))) / F.greatest(n - freedom, F.lit(1)))
+
+    return value
+
+
+def _correlation(n: Column, x: Column, y: Column, xy: Column, xx: Column, yy: Column) -> Column:
+    by = F.greatest(n, F.lit(1))
+    spread = F.sqrt(F.greatest(xx - x * x / by, F.lit(0.0))) * F.sqrt(F.greatest(yy - y * y / by, F.lit(0.0)))
+    return F.when((n > 0) & (spread > 0), (xy - x * y / by) / spread)
+
+
+def _moments(v: Column, _) -> dict:
+    return {"n": (F.count, F.sum, v), "total": (F.sum, F.sum, v), "squares": (F.sum, F.sum, v * v)}
 
-_SPREADS = {
-    "variance": _variance(1),
-    "var_samp": _variance(1),
-    "var_pop": _variance(0),
-    "std": _deviation(1),
-    "stddev": _deviation(1),
-    "stddev_samp": _deviation(1),
-    "stddev_pop": _deviation(0),
+
+def _products(x: Column, y: Column, _) -> dict:
+    sums = {"x": x, "y": y, "xy": x * y, "xx": x * x, "yy": y * y}
+    return {"n": (F.count, F.sum, x), **{name: (F.sum, F.sum, value) for name, value in sums.items()}}
+
+
+def _single(partial: Callable, total: Callable) -> tuple[Callable, Callable]:
+    """An aggregate of one part, which is its value."""
+    return lambda v, _: {"own": (partial, total, v)}, lambda own: own
+
+
+def _placed(total: Callable) -> tuple[Callable, Callable]:
+    """The value of the first or last row of the frame, found by its place."""
+
+    def parts(v: Column, ignores_nulls: bool) -> dict:
+        entry = F.struct(F.col(_BUCKET), F.col(_AT), v.alias("value"))
+        return {"own": (total, total, F.when(v.isNotNull(), entry) if ignores_nulls else entry)}
+
+    return parts, lambda own: own["value"]
+
+
+def _by(total: Callable) -> tuple[Callable, Callable]:
+    """The value that goes with the least or the largest of another."""
+
+    def parts(v: Column, by: Column, _) -> dict:
+        return {"own": (total, total, F.when(by.isNotNull(), F.struct(by.alias("by"), v.alias("value"))))}
+
+    return parts, lambda own: own["value"]
+
+
+# Functions of a row's place in its group, and how many arguments they take.
+_POSITIONS = {"row_number": (0,), "rank": (0,), "dense_rank": (0,), "percent_rank": (0,), "cume_dist": (0,), "ntile": (1,),
+              "lag": (1, 2, 3), "lead": (1, 2, 3), "first": (1,), "first_value": (1,), "any_value": (1,), "nth_value": (2,)}
+
+# Those whose sums are taken around the mean.
+_CENTRED = {
+    "variance": (_moments, _variance(1)),
+    "var_samp": (_moments, _variance(1)),
+    "var_pop": (_moments, _variance(0)),
+    "std": (_moments, _deviation(1)),
+    "stddev": (_moments, _deviation(1)),
+    "stddev_samp": (_moments, _deviation(1)),
+    "stddev_pop": (_moments, _deviation(0)),
+    "covar_samp": (_products, _covariance(1)),
+    "covar_pop": (_products, _covariance(0)),
+    "corr": (_products, _correlation),
 }
 
-_SUMS = {"n": (F.count, F.sum), "total": (F.sum, F.sum), "squares": (lambda d: F.sum(d * d), F.sum)}
+_MEAN = (lambda v, _: {"total": (F.sum, F.sum, v), "n": (F.count, F.sum, v)}, _average)
 
-# Per function the parts it needs, each as an aggregate of tied rows and its
-# running total (None: of the tied rows only), and the value made of them.
+# Per aggregate the parts it needs of its arguments, each with the function that makes it and
+# the one that puts two together, and the value made of them.
 _PEERS = {
-    "rank": ({}, _rank),
-    "dense_rank": ({}, lambda: F.col(_DISTINCT)),
-    "percent_rank": ({}, _percent_rank),
-    "cume_dist": ({}, lambda: F.col(_UPTO) / F.col(_SIZE)),
-    "count": ({"n": (F.count, F.sum)}, lambda n: n),
-    "sum": ({"total": (F.sum, F.sum)}, lambda total: total),
-    "avg": ({"total": (F.sum, F.sum), "n": (F.count, F.sum)}, _average),
-    "mean": ({"total": (F.sum, F.sum), "n": (F.count, F.sum)}, _average),
-    "min": ({"low": (F.min, F.min)}, lambda low: low),
-    "max": ({"high": (F.max, F.max)}, lambda high: high),
-    "count_if": ({"n": (F.count_if, F.sum)}, lambda n: n),
-    "bool_and": ({"low": (F.bool_and, F.min)}, lambda low: low),
-    "bool_or": ({"high": (F.bool_or, F.max)}, lambda high: high),
-    "last": ({"own": (F.last, None)}, lambda own: own),
-    "last_value": ({"own": (F.last, None)}, lambda own: own),
-    **{function: (_SUMS, value) for function, value in _SPREADS.items()},
+    "count": _single(F.count, F.sum),
+    "count_if": _single(F.count_if, F.sum),
+    "sum": _single(F.sum, F.sum),
+    "avg": _MEAN,
+    "mean": _MEAN,
+    "min": _single(F.min, F.min),
+    "max": _single(F.max, F.max),
+    "bool_and": _single(F.bool_and, F.min),
+    "every": _single(F.every, F.min),
+    "bool_or": _single(F.bool_or, F.max),
+    "any": _single(F.bool_or, F.max),
+    "some": _single(F.some, F.max),
+    "bit_and": _single(F.bit_and, F.bit_and),
+    "bit_or": _single(F.bit_or, F.bit_or),
+    "bit_xor": _single(F.bit_xor, F.bit_xor),
+    "min_by": _by(F.min),
+    "max_by": _by(F.max),
+    "first": _placed(F.min),
+    "first_value": _placed(F.min),
+    "any_value": _placed(F.min),
+    "last": _placed(F.max),
+    "last_value": _placed(F.max),
+    **_CENTRED,
 }
+
+# Neighbours further off, and places further down, than this are left to Spark's window.
+_MOST_STEPS, _LAST_PLACE = 64, 10_000

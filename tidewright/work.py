@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import threading
 import uuid
 from collections.abc import Iterator, Mapping
@@ -70,6 +71,11 @@ def is_repeatable(df: DataFrame) -> bool:
     return df._jdf.queryExecution().analyzed().deterministic()
 
 
+def comes_in_order(df: DataFrame) -> bool:
+    """Whether tasks that make ``df`` give their rows in the same order if run again: none comes out of a shuffle."""
+    return not re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().executedPlan().toString())
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size estimate of ``df`` is under its limit for broadcasts."""
     plan = df._jdf.queryExecution().optimizedPlan()
