@@ -2,6 +2,7 @@ import json
 import os
 import shutil
 
+import pandas as pd
 import pandas as pd
 import pytest
 from pyspark.sql import Row, functions as F
@@ -145,7 +146,7 @@ def test_settings_of_a_service_and_imports(spark, data):
         imports=[{"name": "capwords", "from": "string"}],
         transforms=[{"transform_type": "sql", "source": "customers", "query":
                      "select capwords(concat('new ', name)) as name from customers"}],
-        sink={"sink_type": "iceberg", "database": "svc_db", "table": "t", "path": f"{data}/svc", "catalog": "none"}))
+        sink={"sink_type": "table", "database": "svc_db", "table": "t", "path": f"{data}/svc", "catalog": "none"}))
     assert job.bookmark == "enabled"
     job.run(spark)
     try:
@@ -156,6 +157,21 @@ def test_settings_of_a_service_and_imports(spark, data):
         Job.from_dict({"imports": [{"name": "nope", "from": "string"}]})
 
 
+@pytest.mark.parametrize("catalog", ["none", "lake", None])
+def test_an_iceberg_sink_needs_its_catalog(spark, data, catalog):
+    spark.conf.set("spark.sql.catalog.lake", "some.other.Catalog")
+    ran = []
+    job = Job.from_dict(config(
+        data, transforms=[{"transform_type": "custom", "function": lambda spark, frames: ran.append(1)}],
+        sink={"sink_type": "iceberg", "database": "d", "table": "t", "path": f"{data}/ice", "catalog": catalog}))
+    try:
+        with pytest.raises(JobError, match="Iceberg catalog"):
+            job.run(spark)
+    finally:
+        spark.conf.unset("spark.sql.catalog.lake")
+    assert not ran and not os.path.exists(f"{data}/ice")
+
+
 def incremental(data, **sink):
     return Job.from_dict(config(
         data, bookmark="enabled", state_path=f"{data}/state",
@@ -240,6 +256,42 @@ def test_http_json(spark, folder):
         read_http_json(spark, f"file://{folder}/none.json", schema).collect()
 
 
+def test_api_pages_follow_their_links(spark, folder):
+    """Chains of pages of different lengths; every document is fetched once."""
+    def page(chain, n, last):
+        name = f"{folder}/{chain}-{n}.json"
+        link = None if n == last else f"file://{folder}/{chain}-{n + 1}.json"
+        with open(name, "w") as file:
+            json.dump({"data": {"items": [{"id": 100 * chain + 10 * n + i, "s": "x\ny"} for i in range(3)]}, "paging": {"next": link}}, file)
+
+    for chain, last in ((1, 0), (2, 1), (3, 4)):
+        for n in range(last + 1):
+            page(chain, n, last)
+    source = {"name": "api", "source_type": "api", "url": [f"file://{folder}/{c}-0.json" for c in (1, 2, 3)], "headers": {"Accept": "x"},
+              "options": {"next": "$.paging.next", "records": "$.data.items"}}
+    expected = sorted(100 * c + 10 * n + i for c, last in ((1, 0), (2, 1), (3, 4)) for n in range(last + 1) for i in range(3))
+    for schema in ("id int, s string", None):
+        found = Job.from_dict({"sources": [{**source, "schema": schema}]}).result(spark)
+        assert sorted(r.id for r in found.collect()) == expected and {r.s for r in found.collect()} == {"x\ny"}
+    # A page that links back to one that was fetched ends the chain.
+    with open(f"{folder}/ring.json", "w") as file:
+        json.dump({"items": [{"id": 1}], "next": f"file://{folder}/ring.json"}, file)
+    ring = read_http_json(spark, f"file://{folder}/ring.json", "id int", next="$.next", records="$.items")
+    assert rows(ring) == [(1,)]
+    with pytest.raises(JobError):
+        Job.from_dict({"sources": [{**source, "options": {"nxt": "$"}}]}).result(spark)
+
+
+def test_documents_are_handed_over_in_batches_of_a_bounded_size(spark):
+    from tidewright.sources import http_json
+
+    small = spark.range(4_000).selectExpr("concat('data:application/json,', url_encode(to_json(struct(id)))) as url").coalesce(1)
+    assert fetch_records(small, "url", "id int").count() == 4_000
+    urls = pd.DataFrame({"url": ["data:application/json,%22" + "a" * n + "%22" for n in (10, 700, 3, 4)]})
+    frames = http_json._fetched(iter([urls]), {}, 5, 600)
+    assert [[len(v) for v in frame["value"]] for frame in frames] == [[12, 702], [5, 6]]
+
+
 def test_fetch_from_a_frame_of_urls(spark):
     urls = spark.range(5).selectExpr("concat('data:application/json,', id) as url")
     with pytest.raises(Exception):

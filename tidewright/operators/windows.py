@@ -66,11 +66,11 @@ class WindowColumn:
         self.name = self.name.strip()
         self.partition_by = list(self.partition_by)
         self.orders = [_order(item) for item in self.order_by]
-        self.call = _call(self.expression) if isinstance(self.expression, str) else None
+        self.call = function_call(self.expression) if isinstance(self.expression, str) else None
         if self.call and self.call.condition:
             # Spark has no FILTER in windows.
             self.expression = self.call.filtered()
-            self.call = _call(self.expression)
+            self.call = function_call(self.expression)
         self.scale = None
 
     @property
@@ -209,7 +209,7 @@ _FILTER = re.compile(r"(.*\))\s*filter\s*\(\s*where\b(.*)\)\s*", re.IGNORECASE |
 _NULLS = re.compile(r"(.*\))\s*(ignore|respect)\s+nulls\s*", re.IGNORECASE | re.DOTALL)
 
 
-def _call(text: str) -> _Call | None:
+def function_call(text: str) -> _Call | None:
     """The parts of ``text`` if it is a single function call."""
     condition, ignores = None, False
     if found := _NULLS.fullmatch(text):

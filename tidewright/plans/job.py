@@ -142,6 +142,8 @@ class Job:
             self.write(spark)
 
     def write(self, spark: SparkSession, given: Mapping[str, DataFrame] | None = None) -> None:
+        if self.body is None and self.sink is not None and self.sink.sink_type == "iceberg":
+            _require_iceberg(spark, self.sink)
         df = self.result(spark, given)
         if self.sink is not None and self.body is None:
             with settings(spark, _WHILE_WRITING):
@@ -211,7 +213,7 @@ _STEPS: dict[str, Callable[[DataFrame, Step], DataFrame]] = {
     "add_column": lambda df, step: operators.add_column(
         df, require(step.name, "add_column transform", "name"), step.expression
     ),
-    "aggregate": lambda df, step: operators.aggregate(df, step.group_by, step.aggs),
+    "aggregate": lambda df, step: operators.aggregate(df, step.group_by, step.aggs, step.hot_rows),
 }
 
 
@@ -220,6 +222,14 @@ def _jdbc(description: Source | Sink) -> dict[str, Any]:
     return {name: getattr(description, name) for name in names}
 
 
+def _paging(source: Source) -> dict[str, str]:
+    """Where a document keeps its records and the address of the next one."""
+    unknown = sorted(set(source.options) - {"next", "records"})
+    if unknown:
+        raise JobError(f"source '{source.name}': unknown options {unknown}")
+    return dict(source.options)
+
+
 def read(spark: SparkSession, source: Source) -> DataFrame:
     match source.source_type:
         case "s3" | "file":
@@ -233,12 +243,23 @@ def read(spark: SparkSession, source: Source) -> DataFrame:
         case "kafka":
             return sources.read_kafka(spark, source.connection_url, source.topic, source.options)
         case "api" | "http":
-            return sources.read_http_json(spark, source.url, source.schema, source.headers, source.pages)
+            return sources.read_http_json(
+                spark, source.url, source.schema, source.headers, source.pages, **_paging(source)
+            )
         case "frame":
             return source.frame
     raise JobError(f"source '{source.name}': unknown type '{source.source_type}'")
 
 
+def _require_iceberg(spark: SparkSession, sink: Sink) -> None:
+    """Refuse an ``iceberg`` sink unless its catalog, or the session's own, is an Iceberg one."""
+    name = sink.catalog or "spark_catalog"
+    implementation = spark.conf.get(f"spark.sql.catalog.{name}", None) or ""
+    if "iceberg" not in implementation.lower():
+        catalogs = f"catalog '{name}' is " + (f"'{implementation}'" if implementation else "not configured")
+        raise JobError(f"sink: {catalogs}; an iceberg sink needs an Iceberg catalog, a 'table' sink keeps Parquet files")
+
+
 def _write(df: DataFrame, sink: Sink) -> None:
     match sink.sink_type:
         case "s3" | "file":
@@ -248,7 +269,6 @@ def _write(df: DataFrame, sink: Sink) -> None:
         case "catalog":
             sinks.append_to_table(df, sink.database, sink.table, sink.catalog)
         case "iceberg" | "table":
-            # Without an Iceberg catalog the table is kept in files of its own.
             known = sink.catalog and df.sparkSession.conf.get(f"spark.sql.catalog.{sink.catalog}", None)
             sinks.write_evolving_table(
                 df,
@@ -258,7 +278,7 @@ def _write(df: DataFrame, sink: Sink) -> None:
                 sink.partition_by,
                 sink.path,
                 sink.fill_nulls,
-                "iceberg" if sink.sink_type == "iceberg" and known else sink.format,
+                "iceberg" if sink.sink_type == "iceberg" else sink.format,
                 sink.options,
                 sink.catalog if known else None,
             )
