@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,5 +49,10 @@ def _text(value: object) -> str:
 
 
 def read_jdbc(spark: SparkSession, columns: Sequence[str] = (), **description) -> DataFrame:
-    df = spark.read.format("jdbc").options(**jdbc_options(**description)).load()
+    options = jdbc_options(**description)
+    given = {name.lower() for name in options}
+    if not given & {"partitioncolumn", "query"} and options.get("numPartitions") != "1":
+        # One connection and one task read it all; numPartitions 1 says that this is meant.
+        warnings.warn(f"jdbc: '{options['dbtable']}' has no partitionColumn and is read in one task", stacklevel=2)
+    df = spark.read.format("jdbc").options(**options).load()
     return df.select(*columns) if columns else df

@@ -112,14 +112,29 @@ def stage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that it survives the loss of executors.
 
     The rows go into a table in the shared folder, of which later steps read
-    only the columns they use; rows a table cannot hold are checkpointed.
+    only the columns they use; rows a table cannot hold are checkpointed. The table stays
+    until it is discarded.
     """
     spark = df.sparkSession
     names = [name.lower() for name in df.columns]
     if _is_storable(df.schema) and len(set(names)) == len(names):
         folder = new_folder(spark, "staged")
         df.write.option("compression", "zstd").parquet(folder)
-        return spark.read.schema(df.schema).parquet(folder)
+        staged = spark.read.schema(df.schema).parquet(folder)
+        staged._staged_in = folder
+        return staged
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete the tables of staged frames, whose last reader has been staged itself.
+
+    Only then: a frame that is still lazy, or a task that is run again after an executor is lost, reads them anew.
+    """
+    for df in staged:
+        folder = getattr(df, "_staged_in", None)
+        if folder is not None:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
