@@ -1,3 +1,4 @@
+import warnings
 import threading
 
 import pytest
@@ -7,7 +8,7 @@ from tidewright import JobError, SchemaMismatch
 from tidewright.sinks import append_to_table, write_evolving_table, write_files
 from tidewright.sinks.jdbc import write_jdbc
 from tidewright.sources import read_files, read_table
-from tidewright.sources.jdbc import jdbc_options
+from tidewright.sources.jdbc import jdbc_options, read_jdbc
 from tidewright.sources.kafka import kafka_options
 
 
@@ -192,6 +193,16 @@ def test_refusals(spark, db):
         write_evolving_table(spark.sql("select null as a"), db, "t")
 
 
+@pytest.mark.parametrize("options, warned", [({}, True), ({"numPartitions": 4}, True), ({"numPartitions": 1}, False), ({"partitionColumn": "a"}, False)])
+def test_a_table_read_over_one_connection_is_named(spark, options, warned):
+    with warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        # There is no such driver.
+        with pytest.raises(Exception):
+            read_jdbc(spark, table="t", connection_url="jdbc:nothing:x", options=options)
+    assert any("one task" in str(w.message) for w in seen) == warned
+
+
 def test_jdbc_options():
     assert jdbc_options("t", "jdbc:x", options={"numPartitions": 8, "flag": True}) == {
         "url": "jdbc:x", "dbtable": "t", "numPartitions": "8", "flag": "true"}

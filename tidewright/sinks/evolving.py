@@ -12,6 +12,7 @@ from pyspark.sql.types import StructField, StructType
 from tidewright.errors import JobError, SchemaMismatch
 from tidewright.functions.schema import (
     conform,
+    has_void,
     kind_mismatches,
     merge_schema,
     nullable,
@@ -75,7 +76,7 @@ def write_evolving_table(
 
 
 def _first_batch(df: DataFrame, fill_nulls: bool) -> DataFrame:
-    if not fill_nulls:
+    if not fill_nulls or not has_void(df.schema):
         return df
     schema = void_free_schema(df.schema)
     if not schema.fields:

@@ -108,6 +108,9 @@ def _is_storable(dt: T.DataType) -> bool:
     return isinstance(dt, _STORABLE)
 
 
+_DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that it survives the loss of executors.
 
@@ -119,7 +122,9 @@ def stage(df: DataFrame) -> DataFrame:
     names = [name.lower() for name in df.columns]
     if _is_storable(df.schema) and len(set(names)) == len(names):
         folder = new_folder(spark, "staged")
-        df.write.option("compression", "zstd").parquet(folder)
+        # What was shuffled on the way is in nobody's use once the table is written.
+        with settings(spark, _DROP_SHUFFLES):
+            df.write.option("compression", "zstd").parquet(folder)
         staged = spark.read.schema(df.schema).parquet(folder)
         staged._staged_in = folder
         return staged
