@@ -68,8 +68,8 @@ def test_hot_groups_of_an_aggregate(spark):
         split = aggregate(df, group_by, aggs, hot_rows=800)
         assert split.schema == plain.schema
         assert sorted(split.collect(), key=str) == sorted(plain.collect(), key=str)
-    assert "median" in aggregate(df, ["g", "w"], aggs, hot_rows=800)._jdf.queryExecution().executedPlan().toString()
-    assert "median" not in aggregate(df, [], aggs, hot_rows=800)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" in aggregate(df, ["g", "w"], aggs, hot_rows=800)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" not in aggregate(df, [], aggs, hot_rows=800)._jdf.queryExecution().executedPlan().toString()
 
 
 def as_of_brute(left, right, forward, strict, within):
