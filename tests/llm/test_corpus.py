@@ -464,3 +464,33 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     want = [(1, small), (2, other), (None, alone), (None, shared), (3, near), (4, ""), (4, ""), (None, None)]
     assert [row for row in got if row[0] != 5] == sorted(want, key=repr)
     assert corpus_pipeline.drop_near_duplicates(spark, df.where("doc_id > 99"), SF).count() == 0
+
+
+def test_jaccard_join_without_identifiers_looks_up_each_text_once(spark):
+    """2,000 rows of null identifiers: the join that fetches the texts of pairs gives no more rows than it has texts."""
+    from tidewright.llm.jaccard import _members_of, _sets, summaries
+
+    rows = _sets(docs(spark, [(None, prose(i // 2, 30) + (" more" if i % 2 else ""), "s") for i in range(2_000)]), "doc_id", "text")
+    known = summaries(rows, 5)
+    sets = known.groupBy("name").agg(F.min("digest").alias("digest"))
+    pairs = sets.select(F.col("name").alias("a"), F.col("name").alias("b"))
+    assert rows.join(sets, "digest").count() == 2_000
+    assert _members_of(pairs, rows, sets, 5).count() == sets.count() == 2_000
+
+
+def test_equal_vectors_have_equal_cosines_in_blocks_of_any_size(spark):
+    rng = np.random.default_rng(11)
+    same = rng.normal(size=(8, 64))
+    for n in (3, 17, 64, 301):
+        rows = np.concatenate([np.repeat(same, 8, axis=0), rng.normal(size=(n, 64))])
+        order = rng.permutation(len(rows))
+        # Copies get the smallest identifiers, in no order of place.
+        ids = np.arange(len(rows))
+        shuffled, own = rows[order], ids[order]
+        place = np.argsort(own)
+        found = nearest.search_shard(
+            same + 0.01, np.arange(-8, 0), shuffled[place], own[place], nearest._units(rng.normal(size=(16, 64))),
+            length=8, share=1.0, least=1, k=5)
+        for query in range(8):
+            assert [row for q, row, _ in found if q == query - 8] == [8 * query + i for i in range(5)]
+            assert len({score for q, _, score in found if q == query - 8}) == 1

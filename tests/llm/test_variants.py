@@ -114,7 +114,7 @@ def test_odd_rows(spark):
         (5, "×÷multiply ×÷multiply ×÷multiply"), (6, "x" * 100_000 + " " + "y" * 99_999), (7, ("word" + "s" * 3 + " ") * 50_000), (8, "İstanbul Kelvin Ÿpsilon"),
     ]
     rows = found(variants.spelling_variants(variant_docs(spark, texts)))
-    assert rows == brute_variants(brute_counts(texts)) and "×÷multiply" not in rows and "multiply" in rows
+    assert rows == brute_variants(brute_counts(texts)) and "×÷multiply" in rows
 
 
 def test_ties_go_to_the_smaller_word_and_half_is_enough(spark):
