@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.work import stage
+from tidewright.work import discard, stage
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -35,5 +35,6 @@ def components(links: DataFrame) -> DataFrame:
         small = down.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).unionAll(
             low.select("u", F.col("low").alias("v"))
         )
-        edges = stage(small.where("u <> v").distinct())
+        edges, before = stage(small.where("u <> v").distinct()), edges
+        discard(before)
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewright.llm.components import components
 from tidewright.llm.shingles import mixed, shingle_hashes
 from tidewright.names import column
-from tidewright.work import stage
+from tidewright.work import discard, stage
 
 _CHUNK = 4_096
 _U = np.uint64
@@ -238,8 +238,8 @@ def close_pairs(members: DataFrame, likeness: tuple[int, int], only_first: bool)
 def set_members(texts: DataFrame, words: int) -> DataFrame:
     """``name, own``: the members of the sets of rows ``name, text``.
 
-    Texts were looked up by identifier, and a repeated one may have brought other texts: what
-    doesn't have the set of that name is left out, as is a set met before in the task.
+    Copies bring a text several times, and two texts may have one digest: what doesn't have
+    the set of that name is left out, as is a set met before in the task.
     """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,31 +342,41 @@ def _classes(df: DataFrame, id_column: str, text_column: str, words: int, likene
     rows = _sets(df, id_column, text_column)
     known = stage(summaries(rows, words))
     sets = known.where("size > 0").groupBy("name").agg(
-        F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
+        F.min("digest").alias("digest"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
     )
     runs = stage(shared_blocks(postings(rows, words, likeness)))
-    sketched = runs.join(sets.drop("id"), "name").withColumn("root", F.col("name"))
+    sketched = runs.join(sets.drop("digest"), "name").withColumn("root", F.col("name"))
     # First every set is compared with one of each run, which joins most copies; then, in runs of
     # three or more, all that are still apart. Pairs within a component change nothing.
     pairs = stage(close_pairs(sketched, likeness, only_first=True))
-    links = stage(verified(pairs, _members_of(pairs, rows, sets, words), likeness))
+    members = _members_of(pairs, rows, sets, words)
+    links = stage(verified(pairs, members, likeness))
+    discard(members)
     roots = stage(components(links))
     parts = runs.where("members > 2").join(roots, runs["name"] == roots["node"], "left").select(
         *runs.columns, F.coalesce("root", "name").alias("root")
     )
     split = parts.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    apart = parts.join(split.select("run"), "run", "left_semi").join(sets.drop("id"), "name")
+    apart = parts.join(split.select("run"), "run", "left_semi").join(sets.drop("digest"), "name")
     more = stage(close_pairs(apart, likeness, only_first=False).join(pairs, ["a", "b"], "left_anti"))
-    found = stage(verified(more, _members_of(more, rows, sets, words), likeness))
+    discard(runs, pairs, roots)
+    members = _members_of(more, rows, sets, words)
+    found = stage(verified(more, members, likeness))
+    discard(members, more)
     roots = stage(components(links.unionAll(found)))
+    discard(links, found)
     return known.join(roots, known["name"] == roots["node"], "left").select(
         "id", "digest", "size", F.when(F.col("size") > 0, F.coalesce("root", "name")).alias("class")
     )
 
 
 def _members_of(pairs: DataFrame, rows: DataFrame, sets: DataFrame, words: int) -> DataFrame:
-    """``name, own`` for each set in a pair, from the text of its smallest identifier, staged."""
+    """``name, own`` for each set in a pair, from a text that has it, staged.
+
+    The text is looked up by its digest: every row meets one set at most, whatever its identifier.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    chosen = stage(sets.join(wanted, "name", "left_semi").select("name", "id"))
-    texts = rows.join(chosen, rows["id"].eqNullSafe(chosen["id"])).select("name", "text")
-    return stage(set_members(texts, words))
+    chosen = stage(sets.join(wanted, "name", "left_semi").select("name", "digest"))
+    members = stage(set_members(rows.join(chosen, "digest").select("name", "text"), words))
+    discard(chosen)
+    return members
