@@ -18,7 +18,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewright.names import column
-from tidewright.work import stage
+from tidewright.work import rename_once, stage
 
 #: Slots of a map. All that reaches the driver, or is broadcast, has at most one row a slot.
 SLOTS = 4_096
@@ -163,9 +163,6 @@ class SlotMaps:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-
     def versions(self) -> list[int]:
         top = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         store = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -181,18 +178,8 @@ class SlotMaps:
         ]
         beside = f"_new-{uuid.uuid4().hex}"
         self.spark.createDataFrame(rows, _MAP_SCHEMA).coalesce(1).write.parquet(f"{self.folder}/{beside}")
-        jvm = self.spark._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            self._path(beside).toUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        no_options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            context.rename(self._path(beside), self._path(f"v{new.version}"), no_options)
-        except Exception as refused:
-            context.delete(self._path(beside), True)
-            if new.version in self.versions():
-                raise PySparkException(f"version {new.version} of {self.folder} exists already") from refused
-            raise
+        if not rename_once(self.spark, f"{self.folder}/{beside}", f"{self.folder}/v{new.version}"):
+            raise PySparkException(f"version {new.version} of {self.folder} exists already")
         return new
 
     def frame(self, version: int | None = None) -> DataFrame:
