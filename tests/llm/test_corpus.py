@@ -365,6 +365,69 @@ def test_html_keeps_articles_in_named_wrappers():
     assert text("<div class='search'><p>a long unmarked story</p><span class='share'>x</span></div><p>end</p>") == "a long unmarked story end"
 
 
+def test_html_leaves_out_blocks_of_articles_by_parts_of_names():
+    def text(body):
+        lines = html_text.read_lines(f"<html><body>{body}</body></html>")
+        return " ".join(line.text for line in lines if line.is_main) or " ".join(line.text for line in lines)
+
+    for name in ("comments-area", "ad-slot", "adSlot", "share-buttons", "cookie-notice", "newsletter-signup", "post_comments"):
+        assert text(f"<article><p>the story</p><div class='{name}'>no</div></article>") == "the story", name
+    for name in ("comments-open", "no-comments", "has-sidebar", "adequate", "shareholders", "entry-header"):
+        assert text(f"<article><p>the story</p><div class='{name}'>stays</div></article>") == "the story stays", name
+    assert text("<article>code <span class='hljs-comment'># stays</span></article>") == "code # stays"
+    # A header inside an article keeps the title, and nothing else; a page's own header goes.
+    head = "<header><nav><h2>no</h2></nav><h1>Title</h1><p>by someone</p></header>"
+    assert text(f"<header><h1>Site</h1></header><article>{head}<p>the story</p></article>") == "Title the story"
+    assert text("<article><footer><h2>no</h2></footer><aside><header><h2>no</h2></header></aside>yes</article>") == "yes"
+    # Comments longer than the story go, also where no article is marked.
+    assert text("<div><p>story</p></div><div id='comments'>" + "<p>much longer than it</p>" * 9 + "</div>") == "story"
+
+
+def test_html_pairs_pages_of_one_path(spark):
+    """Against brute force: of all addresses of the host in order, the neighbour that begins alike for longest."""
+    rng = random.Random(5)
+    lines = [f"menu {i}" for i in range(6)]
+    pages = []
+    for i in range(60):
+        url = f"http://H{i % 2}/" + rng.choice([f"index.php?id={i}", f"index.php?id={i}#top", f"a/{i}", f"a/b/{i}?x=1", "index.php"])
+        own = [line for line in lines if rng.random() < 0.8] + [f"story {i} {j}" for j in range(rng.randrange(3))]
+        pages.append((i, url, "".join(f"<p>{line}</p>" for line in own)))
+    pages += [(60, "http://h0/index.php?copy", pages[0][2]), (61, "http://h0/index.php?id=1", ""), (62, "http://h0/index.php?id=1", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    split = lambda url: re.match(r"http://([^/]*)([^?#]*)\??([^#]*)", url).groups()
+    content = {i: tuple(re.findall("<p>(.*?)</p>", html or "")) for i, _, html in pages}
+    first = {}
+    for i, url, _ in pages:
+        if content[i]:
+            host, path, query = split(url)
+            key = (host.lower(), content[i])
+            first[key] = min(first.get(key, (path, query)), (path, query))
+    for i, url, _ in pages:
+        host = split(url)[0].lower()
+        if not content[i]:
+            assert got[i] == ""
+            continue
+        order = sorted((address, own) for (of, own), address in first.items() if of == host)
+        here = (first[host, content[i]], content[i])
+        if sum(address == here[0] for address, _ in order) > 1 or len(order) == 1:
+            continue
+        at = [address for address, _ in order].index(here[0])
+
+        def alike(j):
+            flat = ["\x01".join(filter(None, a)) for a in (here[0], order[j][0])]
+            steps = [re.split("[/\x01]", a) for a in flat]
+            equal = next((k for k, (x, y) in enumerate(zip(*steps)) if x != y), min(map(len, steps)))
+            return equal, len(os.path.commonprefix(flat))
+
+        beside = [j for j in (at + 1, at - 1) if 0 <= j < len(order)]
+        other = order[max(beside, key=alike)][1]
+        kept = [line for line in content[i] if line not in other]
+        # Menus are in one order on all pages, so what two share is in their longest common subsequence.
+        assert got[i] == " ".join(kept), (i, other)
+    assert got[60] == got[0]
+
+
 def test_common_lines():
     rng = random.Random(8)
     for _ in range(200):
