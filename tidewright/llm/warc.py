@@ -20,7 +20,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewright.names import column
 from tidewright.work import new_folder, stage
@@ -186,6 +186,14 @@ def read_archive(stream: BinaryIO) -> Iterator[dict]:
         is_first = False
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI: a path without a scheme is in Spark's default file system, not on a task's own disk."""
+    if ":" in folder.partition("/")[0]:
+        return folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def file_system(folder: str) -> tuple[pa.fs.FileSystem, str]:
     """The store of a folder given as a URI or as a path, and the path in it."""
     if ":" in folder.partition("/")[0]:
@@ -212,6 +220,26 @@ def mark_revisits(df: DataFrame, id_column: str, url_column: str, payload_column
     )
 
 
+def payload_sample(df: DataFrame, payload_column: str, rows: int, sample_bytes: int) -> list[bytes]:
+    """The first ``sample_bytes`` of up to ``rows`` different payloads: those of the smallest hashes.
+
+    Hashes are counted by their leading zeros, 65 estimates in all, so that only about as
+    many payloads as are wanted, at most some thousands, leave the tasks, however many there are.
+    """
+    head = F.substring(F.coalesce(column(payload_column), F.lit("")).cast("binary"), 1, sample_bytes)
+    heads = df.select(head.alias("head")).where("octet_length(head) > 0").select("head", F.xxhash64("head").alias("hash"))
+    zeros = F.when(F.col("hash") == 0, 64).otherwise(64 - F.length(F.bin("hash")))
+    counts = heads.groupBy(zeros.alias("zeros")).agg(F.approx_count_distinct("hash").alias("n")).collect()
+    least, found = 64, 0
+    for row in sorted(counts, key=lambda row: -row["zeros"]):
+        # The estimates are within about a tenth.
+        least, found = row["zeros"], found + row["n"]
+        if found >= 1.25 * rows:
+            break
+    chosen = heads.where(zeros >= least).groupBy("hash").agg(F.any_value("head").alias("head"))
+    return [bytes(row["head"]) for row in chosen.orderBy("hash").limit(rows).select("head").collect()]
+
+
 def write_archives(
     df: DataFrame,
     folder: str,
@@ -231,15 +259,14 @@ def write_archives(
     A null payload is empty, a null URL is left out, a null identifier is written as
     none. Repeated rows are repeated records; those with the largest identifier of
     a payload are all responses. Archives are closed at about ``archive_bytes``, a record is
-    never cut. ``folder`` is a path or URI that all executors reach. A task that is run
+    never cut. ``folder`` is a URI or a path in Spark's default file system, which all executors reach. A task that is run
     again writes other files; only those in the manifest count. The dictionary is fitted
-    to the first ``sample_bytes`` of ``sample_rows`` payloads, chosen by their hash; with few
+    to the first ``sample_bytes`` of ``sample_rows`` different payloads, chosen by their hash; with few
     rows, or none, there is no dictionary. An empty table gives an empty manifest.
     """
     marked = mark_revisits(df, id_column, url_column, payload_column, revisit_bytes)
-    head = F.substring(F.coalesce(column(payload_column), F.lit("")).cast("binary"), 1, sample_bytes)
-    sample = df.select(head.alias("head")).where("octet_length(head) > 0").orderBy(F.xxhash64("head")).limit(sample_rows)
-    dictionary = train_dictionary([bytes(row["head"]) for row in sample.collect()], dictionary_bytes)
+    folder = qualified(df.sparkSession, folder)
+    dictionary = train_dictionary(payload_sample(df, payload_column, sample_rows, sample_bytes), dictionary_bytes)
     stamp = date.strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,6 +316,7 @@ def read_archives(manifest: DataFrame, folder: str, *, payloads: bool = True) ->
     fails the task. Archives are dealt out over the tasks and read as streams, so
     memory follows the longest record. An empty manifest gives no rows.
     """
+    folder = qualified(manifest.sparkSession, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = file_system(folder)
