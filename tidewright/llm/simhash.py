@@ -150,19 +150,22 @@ def within_radius(prints: DataFrame, radius: int = 6, key_blocks: int = 2) -> Da
     )
 
 
-def next_to(df: DataFrame, id_column: str, text_column: str, bucket_rows: int = 2_000) -> DataFrame:
+def next_to(
+    df: DataFrame, id_column: str, text_column: str, bucket_rows: int = 2_000, most_buckets: int = 10_000
+) -> DataFrame:
     """Every row beside the next one's text, by descending identifier, in one shuffle.
 
     Returns ``bucket, place, guard, id, text, next_text``. The identifiers are cut into
-    buckets of about ``bucket_rows`` at values that occur (a scan of that column), and the
+    buckets of about ``bucket_rows`` at values that occur (a scan of that column), of more rows
+    where there would be over ``most_buckets``, as the bounds are part of the plan; a bucket is sorted on disk. The
     largest row of a bucket is also put, as a guard, behind the last one of the
     bucket above, so that no row needs a neighbour elsewhere. After the last row comes the first.
     Null identifiers come last; rows with equal ones are ordered by text.
     """
     ids = df.select(column(id_column).cast("long").alias("id"))
-    # Bounds are one number for each bucket: far less than the rows.
+    # Bounds are one number for each bucket, however many rows there are.
     n_rows = ids.count()
-    pieces = max(1, math.ceil(n_rows / bucket_rows))
+    pieces = min(most_buckets, max(1, math.ceil(n_rows / bucket_rows)))
     shares = [i / pieces for i in range(1, pieces)] + [1.0]
     found = ids.agg(
         F.percentile_approx("id", shares, max(10_000, 4 * pieces)).alias("at"), F.max("id").alias("most")
