@@ -334,6 +334,44 @@ def test_warc_reads_urls_of_any_length():
         warc.decode_record(b"WARC/1.1\r\n" + b"x" * 200_000)
 
 
+def test_warc_samples_different_payloads(spark):
+    rows = [(i, "hot" if i % 3 else f"page {i} " + "x" * 50) for i in range(9_000)] + [(9_000, None), (9_001, "")]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    heads = {(html or "")[:12].encode() for _, html in rows} - {b""}
+    got = warc.payload_sample(df, "html", 200, 12)
+    assert len(got) == len(set(got)) == 200 and set(got) <= heads
+    assert got == warc.payload_sample(df.repartition(7), "html", 200, 12)
+    assert set(warc.payload_sample(df, "html", 20_000, 12)) == heads
+    assert warc.payload_sample(df.where("page_id > 8999"), "html", 10, 12) == []
+
+
+def test_warc_paths_are_in_the_default_file_system(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    for uri in ("hdfs://store/folder", "file:/folder", "s3://bucket/a"):
+        assert warc.qualified(spark, uri) == uri
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "file:///")
+        assert warc.qualified(spark, "archives").startswith("file:/")
+        manifest = warc.write_archives(spark.createDataFrame([(1, "u", "p")], "page_id long, url string, html string"), f"{tmp_path}/a")
+        assert [r["page_id"] for r in warc.read_archives(manifest, f"{tmp_path}/a").collect()] == [1]
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+def test_simhash_neighbours_in_few_or_many_buckets(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 7, *range(60)]), rng.choice([None, "", f"text {i}"])) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    want = sorted((i is None, i or 0, t or "", order[(at + 1) % len(order)][1] or "") for at, (i, t) in enumerate(order))
+    for settings in (dict(bucket_rows=10), dict(bucket_rows=10, most_buckets=3), dict(most_buckets=1)):
+        got = simhash.next_to(df, "doc_id", "text", **settings).where("NOT guard").collect()
+        assert sorted((r["id"] is None, r["id"] or 0, r["text"], r["next_text"]) for r in got) == want, settings
+        assert len({r["bucket"] for r in got}) <= settings.get("most_buckets", 150)
+
+
 def test_html(spark):
     shell = "<html><head><title>T</title></head><body><nav>menu</nav>{}<footer>f</footer></body></html>"
     article = "<article><h1>A &amp; B</h1><p>x<b>y</b>  z<br>w<p>v<div class='comments'>no</div><form>no</form></article>"
