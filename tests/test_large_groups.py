@@ -161,6 +161,17 @@ def test_postings_grow_with_the_logarithm_of_the_length(spark):
         join_overlapping(nulls, nulls, ("s", "e"), ("s", "e"))
 
 
+def test_overlap_joins_broadcast_no_postings(spark, folder):
+    """A table under the limit for broadcasts has many times its size in postings."""
+    spark.range(1_000).selectExpr("id % 9 as k", "id as s", "id + 5000 as e").write.parquet(f"{folder}/a")
+    spark.range(1_000).selectExpr("id % 9 as k", "id * 7 as b", "id * 7 as c").write.parquet(f"{folder}/b")
+    a, b = (spark.read.parquet(f"{folder}/{name}") for name in "ab")
+    for left, right, spans in ((a, b, (("s", "e"), ("b", "c"))), (b, a, (("b", "c"), ("s", "e")))):
+        found = join_overlapping(left, right, *spans, "k")
+        assert found.count() == a.alias("a").join(b.alias("b"), F.expr("a.k = b.k and s <= c and b <= e")).count()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_sketches_are_merged_over_batches(spark):
     df = spark.range(40_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 5_000).alias("who"), (F.col("id") / 7).alias("v"))
     measures = {"people": ("distinct", "who"), "size": ("quantiles", "v")}

@@ -27,9 +27,10 @@ def join_overlapping(
 
     Two spans overlap if one starts within the other. So every span is posted as the bins of a
     dyadic hierarchy that cover it exactly, at most two of each size, and every start as the bins that hold it, one of
-    each size up to the longest span's. A start lies in exactly one bin of the cover of a span that holds it, so that a pair
+    each size up to the other side's longest span's. A start lies in exactly one bin of the cover of a span that holds it, so that a pair
     meets once, and rows grow with the spans and the logarithm of their length. Timestamps are laid on units of
-    ``unit_seconds``; pairs that meet in a unit only are filtered out at the end.
+    ``unit_seconds``; pairs that meet in a unit only are filtered out at the end. Spark's size estimates know nothing of the
+    postings, so it is told to merge them and never collects them on the driver.
     """
     keys = [on] if isinstance(on, str) else list(on)
     clash = ({c.lower() for c in left.columns} & {c.lower() for c in right.columns}) - {k.lower() for k in keys}
@@ -41,11 +42,10 @@ def join_overlapping(
     def level(side: DataFrame) -> int:
         return side.agg(F.max(F.floor(F.log2(F.col("to") - F.col("from") + 1)))).first()[0] or 0
 
-    top = max(level(a), level(b))
     meet = [*names, "level", "bin"]
-    starts_in_left = _covers(a).join(_points(b, top), meet)
+    starts_in_left = _covers(a).hint("merge").join(_points(b, level(a)).hint("merge"), meet)
     # Both starting at one point were met above.
-    starts_in_right = _points(a, top).join(_covers(b), meet)
+    starts_in_right = _points(a, level(b)).hint("merge").join(_covers(b).hint("merge"), meet)
     met = (
         starts_in_left.select(F.col("covered").alias("l"), F.col("started").alias("r"))
         .unionByName(
