@@ -421,6 +421,27 @@ def test_html_leaves_out_blocks_of_articles_by_parts_of_names():
     assert text("<div><p>story</p></div><div id='comments'>" + "<p>much longer than it</p>" * 9 + "</div>") == "story"
 
 
+def test_html_lines_shared_with_the_nearest_page_choose_among_articles(spark):
+    card = "<article><p>read this next</p><p>on every page</p></article>"
+    pages = [
+        # Cards are marked, the story isn't; then a story that is marked beside the card.
+        (1, "http://h/a/1", f"<div>menu</div><div>the first story, unmarked but of a fair length</div>{card}"),
+        (2, "http://h/a/2", f"<div>menu</div><div>the second story, unmarked but of a fair length</div>{card}"),
+        (3, "http://h/b/1", f"<article><p>line</p><p>third</p></article>{card}<p>menu</p>"),
+        (4, "http://h/b/2", f"<article><p>line</p><p>fourth</p></article>{card}<p>menu</p>"),
+        # Copies of an article, between lines that differ.
+        (5, "http://g/1", "<article><p>a story that two pages have</p></article><p>ad one</p>"),
+        (6, "http://g/2", "<article><p>a story that two pages have</p></article><p>ad two</p>"),
+        # Alone on its host, and equal pages.
+        (7, "http://f/1", card + "<p>x</p>"), (8, "http://e/1", card), (9, "http://e/2", card),
+    ]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[1] == "the first story, unmarked but of a fair length" and got[2] == got[1].replace("first", "second")
+    assert got[3] == "line third" and got[4] == "line fourth"
+    assert got[5] == got[6] == "a story that two pages have"
+    assert got[7] == got[8] == got[9] == "read this next on every page"
+
+
 def test_html_pairs_pages_of_one_path(spark):
     """Against brute force: of all addresses of the host in order, the neighbour that begins alike for longest."""
     rng = random.Random(5)

@@ -2,8 +2,9 @@
 
 A page is read into lines, one a block element, without what its markup says is not
 content. Pages of a host are paired with the one whose path (and query) is nearest, their
-lines are aligned by longest common subsequence, and lines that both have are deleted, unless
-the page marks them as its article.
+lines are aligned by longest common subsequence, and lines that both have are not the page's
+own. Its own lines say what is its text: the marked articles that hold one, whole, or else
+they themselves.
 """
 
 from __future__ import annotations
@@ -69,7 +70,11 @@ _STEP = re.compile(r"[/\x01]")
 @dataclass(frozen=True)
 class Line:
     text: str
-    is_main: bool
+    part: int  # number of the outermost article or main part that it is in, or -1
+
+    @property
+    def is_main(self) -> bool:
+        return self.part >= 0
 
 
 def _is_left_out(tag: str, attributes: str) -> bool:
@@ -133,11 +138,11 @@ def read_lines(html: str) -> list[Line]:
     closes the elements opened since its start tag, one without a start tag nothing.
     """
     # Pieces of text, each with the innermost named element it is in (or -1).
-    lines: list[tuple[list[tuple[str, int]], bool]] = []
+    lines: list[tuple[list[tuple[str, int]], int]] = []
     held: list[tuple[str, int]] = []
     # (tag, whether it is left out (-1: back in), whether it is an article, whether it is named)
     open_tags: list[tuple[str, int, bool, bool]] = []
-    left_out = main = 0
+    left_out = main = parts = 0
     # Of each named element: the one around it, its text's length, whether it has an article.
     around: list[int] = []
     sizes: list[int] = []
@@ -155,7 +160,7 @@ def read_lines(html: str) -> list[Line]:
     def end_line() -> None:
         nonlocal held
         if held:
-            lines.append((held, main > 0))
+            lines.append((held, parts - 1 if main else -1))
             held = []
 
     at = 0
@@ -202,6 +207,7 @@ def read_lines(html: str) -> list[Line]:
                 marked_outside = True
             elif is_main:
                 marked[inside] = True
+            parts += is_main and not main
             open_tags.append((tag, is_out, is_main, is_named))
             left_out += is_out
             main += is_main
@@ -221,10 +227,10 @@ def read_lines(html: str) -> list[Line]:
         stays = (2 * size > total and name != "comments") or (has_main and not marked_outside)
         kept.append(stays and (element < 0 or kept[element]))
     out = []
-    for pieces, is_main in lines:
+    for pieces, part in lines:
         text = _SPACES.sub(" ", "".join(text for text, element in pieces if element < 0 or kept[element])).strip()
         if text:
-            out.append(Line(text, is_main))
+            out.append(Line(text, part))
     return out
 
 
@@ -254,6 +260,21 @@ def common_lines(mine: list[int], other: list[int]) -> list[int]:
     return found[::-1]
 
 
+def own_lines(parts: list[int], sizes: list[int], shared: list[bool]) -> list[int]:
+    """Places of the lines of a page's text, by their parts, lengths, and whether the nearest page has them too.
+
+    Articles and main parts that hold a line of the page's own are whole: what two articles share is no
+    site's line. If there is none, the marked parts (a copy of the nearest page's) or, if they are
+    longer, the own lines outside.
+    """
+    chosen = {part for part, known in zip(parts, shared) if part >= 0 and not known}
+    if chosen:
+        return [i for i, part in enumerate(parts) if part in chosen]
+    marked = [i for i, part in enumerate(parts) if part >= 0]
+    rest = [i for i, known in enumerate(shared) if not known]
+    return rest if sum(sizes[i] for i in rest) > sum(sizes[i] for i in marked) else marked
+
+
 def _hashes(lines: list[Line]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(line.text.encode()) for line in lines), np.uint64, len(lines)).view(np.int64)
 
@@ -277,11 +298,12 @@ def _rows(df: DataFrame, id_column: str, url_column: str, html_column: str) -> D
 
 
 def site_lines(rows: DataFrame) -> DataFrame:
-    """``host, address, page, name, lines, open``: hashes of the lines of each page with an address.
+    """``host, address, page, name, lines, parts, sizes``: hashes of the lines of each page with an address.
 
-    ``name`` is the hash of all of them. ``open`` says that lines could be deleted: that the page marks no article.
+    ``name`` is the hash of all of them; ``parts`` and ``sizes`` are the parts and lengths of the lines.
     """
-    names = ["host", "address", "page", "name", "lines", "open"]
+    names = ["host", "address", "page", "name", "lines", "parts", "sizes"]
+    ints = pa.list_(pa.int32())
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,12 +312,13 @@ def site_lines(rows: DataFrame) -> DataFrame:
             made = [
                 pa.array([xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63) for own in lines], pa.int64()),
                 pa.array(lines, pa.list_(pa.int64())),
-                pa.array([bool(own) and not any(line.is_main for line in own) for own in found], pa.bool_()),
+                pa.array([[line.part for line in own] for own in found], ints),
+                pa.array([[len(line.text) for line in own] for own in found], ints),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names)
 
     return rows.where("host <> ''").select("host", "address", "page", "html").mapInArrow(
-        hashed, "host string, address string, page long, name long, lines array<long>, open boolean"
+        hashed, "host string, address string, page long, name long, lines array<long>, parts array<int>, sizes array<int>"
     )
 
 
@@ -316,18 +339,16 @@ def shared_lines(found: DataFrame) -> DataFrame:
 
     Nearest is the neighbour, in the order of paths and then queries, with the longest common beginning, in
     steps and then characters; the one after it wins a tie. Pages of a host with equal lines
-    are one, at the first of their addresses, as comparing them would leave nothing. Only pages
-    whose lines could be deleted are aligned; pages without lines are nobody's neighbours. Addresses
+    are one, at the first of their addresses, as comparing them would leave nothing. Pages without
+    lines are nobody's neighbours. Addresses
     of a host are sorted in range buckets with the first one of the next as a guard, so no host is one task's.
     """
     key = ["host", "address", "name"]
     pages = stage(
         found.where("size(lines) > 0").groupBy("host", "name").agg(
-            F.min("address").alias("address"), F.any_value("lines").alias("lines"), F.max("open").alias("open")
+            F.min("address").alias("address"), F.any_value("lines").alias("lines")
         )
     )
-    if not pages.where("open").limit(1).count():
-        return pages.select("host", "name", F.col("lines").alias("shared")).limit(0)
     spark = found.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = stage(pages.select(*key).repartitionByRange(parts, *key).withColumn("part", F.spark_partition_id()))
@@ -361,7 +382,7 @@ def shared_lines(found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nearest, pa.int64())], ["host", "name", "nearest"])
 
     pairs = neighbours.mapInArrow(chosen, "host string, name long, nearest long")
-    mine = pages.where("open").select("host", "name", "lines").join(pairs, ["host", "name"])
+    mine = pages.select("host", "name", "lines").join(pairs, ["host", "name"])
     other = pages.select("host", F.col("name").alias("nearest"), F.col("lines").alias("theirs"))
     both = mine.join(other, ["host", "nearest"]).select("host", "name", "lines", "theirs")
 
@@ -378,39 +399,57 @@ def shared_lines(found: DataFrame) -> DataFrame:
     return both.mapInArrow(aligned, "host string, name long, shared array<long>").where("size(shared) > 0")
 
 
+def decided(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """``host, page, places``: the lines of a page's text, where the lines shared with the nearest page decide.
+
+    Pages whose text would be the same if nothing were shared are left out, as most are that mark their article.
+    """
+    pages = found.dropDuplicates(["host", "page"]).join(shared, ["host", "name"])
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = []
+            for lines, parts, sizes, known in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                known = set(known)
+                own = own_lines(parts, sizes, [line in known for line in lines])
+                places.append(own if own != own_lines(parts, sizes, [False] * len(parts)) else None)
+            out = [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(out, ["host", "page", "places"])
+
+    of_lines = pages.select("host", "page", "lines", "parts", "sizes", "shared")
+    return of_lines.mapInArrow(chosen, "host string, page long, places array<int>").where("places IS NOT NULL")
+
+
 def main_text(
     df: DataFrame, *, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
 ) -> DataFrame:
     """The identifier, the URL, ``text`` and ``n_chars`` of every page.
 
-    A page that marks an article (or main part) gives its lines; any other its lines
-    without those it shares with the nearest page of its host. Lines are joined by a space. A null or empty
+    Every page is aligned with the nearest page of its host; lines that both have are not its own. The
+    articles (or main parts) it marks that hold a line of its own are its text, whole; if it marks
+    none, its own lines are. If the nearest page has all of its articles too, they stay, unless its own lines
+    outside are longer. Lines are joined by a space. A null or empty
     page gives an empty text; a page without a host in its URL, or alone on its
     host, is compared with none. Pages of a host with equal lines count as one when paired. Other columns don't matter.
     An empty table gives no rows. Memory follows the longest page.
     """
     rows = _rows(df, id_column, url_column, html_column)
     found = stage(site_lines(rows))
-    shared = stage(
-        found.select("host", "page", "name").distinct().join(shared_lines(found), ["host", "name"]).select("host", "page", "shared")
-    )
-    joined = rows.join(shared, ["host", "page"], "left")
+    joined = rows.join(stage(decided(found, shared_lines(found))), ["host", "page"], "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for html, known in zip(batch.column(2), batch.column(3).to_pylist()):
+            for html, places in zip(batch.column(2), batch.column(3).to_pylist()):
                 lines = read_lines(html.as_py())
-                if any(line.is_main for line in lines):
-                    lines = [line for line in lines if line.is_main]
-                elif known:
-                    known = set(known)
-                    lines = [line for line, name in zip(lines, _hashes(lines).tolist()) if name not in known]
-                out.append(" ".join(line.text for line in lines))
+                if places is None:
+                    sizes = [len(line.text) for line in lines]
+                    places = own_lines([line.part for line in lines], sizes, [False] * len(lines))
+                out.append(" ".join(lines[i].text for i in places))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["id", "url", "text"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = joined.select("id", "url", "html", "shared").mapInArrow(texts, f"id {kind}, url string, text string")
+    found = joined.select("id", "url", "html", "places").mapInArrow(texts, f"id {kind}, url string, text string")
     return found.select(
         F.col("id").alias(id_column), F.col("url").alias(url_column), "text", F.char_length("text").cast("long").alias("n_chars")
     )
