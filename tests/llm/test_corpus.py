@@ -166,6 +166,59 @@ def test_passages_of_frequent_lines(spark):
             assert 48 <= found[i]["start_word"] <= 50 and 50 + 2 * n <= found[i]["end_word"] <= 52 + 2 * n
 
 
+def test_passages_shuffle_contexts_once(spark, monkeypatch):
+    """Of the tables staged on the way one has contexts, and equal stretches are told apart in chunks of any size."""
+    line, rows = prose("line", 40), []
+    for i in range(60):
+        # Six of them go on alike.
+        after = prose("after", 30) if i % 10 == 7 else prose(f"y{i}", 30)
+        rows.append((i, f"{prose(f'x{i}', 50)} {line} {after} {prose(f'z{i}', 40)}", "s"))
+    staged, stage = [], passages.stage
+    monkeypatch.setattr(passages, "stage", lambda df: staged.append(df.columns) or stage(df))
+    for sizes in ((2_048, 8_192), (3, 5), (1, 1)):
+        monkeypatch.setattr(passages, "_OPEN_CHUNK", sizes[0])
+        monkeypatch.setattr(passages, "_CHUNK", sizes[1])
+        staged.clear()
+        found = sorted((r["doc_id"], r["first_id"]) for r in passages.repeated_passages(docs(spark, rows)).collect())
+        assert found == [(i, 7) for i in (17, 27, 37, 47, 57)]
+        assert sum("context" in columns for columns in staged) == 1, staged
+
+
+def test_islands_of_windows():
+    """Against brute force, at once and with windows of one function and diagonal joined before."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        n = int(rng.integers(1, 60))
+        table = np.zeros((10, n), np.int64)
+        table[0], table[4], table[5] = rng.integers(0, 2, n), rng.integers(0, 3, n), rng.choice([0, 5, 30, 70, 200], n)
+        table[8] = rng.integers(0, 300, n)
+        table[9] = table[8] + rng.integers(5, 40, n)
+        table[6:8] = table[8:] - table[5]
+        want = set()
+        for pair in (0, 1):
+            lanes, last = [], None
+            for row in sorted(table[:, table[0] == pair].T.tolist(), key=lambda r: (r[5], r[8], r[9])):
+                if last is None or row[5] - last > 32:
+                    lanes.append([])
+                lanes[-1].append(row)
+                last = row[5]
+            for lane in lanes:
+                island, islands = [], []
+                for row in sorted(lane, key=lambda r: (r[8], r[9])):
+                    if island and row[8] > max(r[9] for r in island):
+                        islands, island = [*islands, island], []
+                    island.append(row)
+                want |= {
+                    (pair, *(pick(r[i] for r in rows) for i, pick in zip((6, 7, 8, 9), (min, max, min, max))), len({r[4] for r in rows}))
+                    for rows in [*islands, island]
+                }
+        for given in (table, passages._overlapping(table)):
+            order, island = passages._islands(given, (given[0],), 32)
+            out = passages._joined(given, order, island)
+            functions = [len(np.unique(given[4][order][island == i])) for i in range(out.shape[1])]
+            assert {(*(int(out[i, k]) for i in (0, 6, 7, 8, 9)), functions[k]) for k in range(out.shape[1])} == want
+
+
 def simhash_of(text):
     own = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
     votes = [0] * 128
