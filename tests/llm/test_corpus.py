@@ -268,6 +268,13 @@ def test_all_fingerprints_within_the_radius(spark):
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
 
 
+def test_block_tables_are_not_broadcast(spark, folder):
+    """A table of fingerprints under the limit for broadcasts has dozens of times its size in block tables."""
+    spark.range(2_000).select(F.xxhash64("id").alias("high"), F.xxhash64(F.col("id") + 1).alias("low")).write.parquet(f"{folder}/prints")
+    found = simhash.within_radius(spark.read.parquet(f"{folder}/prints"))
+    assert found.count() == 0 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pieces_equal_the_library(spark):
     file = public_tokenizers.path("piece_bpe_32k.model")
     library, own = sentencepiece.SentencePieceProcessor(model_file=file), pieces.PieceModel(open(file, "rb").read())

@@ -141,8 +141,9 @@ def within_radius(prints: DataFrame, radius: int = 6, key_blocks: int = 2) -> Da
     for _ in range(key_blocks):
         lowest = rest.bitwiseAND(-rest)
         first, rest = first.bitwiseOR(lowest), rest.bitwiseXOR(lowest)
+    # Spark takes the tables for as small as the fingerprints and would collect one of the sides on the driver.
     return (
-        a.join(b, ["chosen", "key"])
+        a.hint("merge").join(b.hint("merge"), ["chosen", "key"])
         .where(ordered & (bits <= radius))
         .withColumn("same", same)
         .where(F.col("chosen") == first)
