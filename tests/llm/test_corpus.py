@@ -184,6 +184,72 @@ def test_passages_shuffle_contexts_once(spark, monkeypatch):
         assert sum("context" in columns for columns in staged) == 1, staged
 
 
+def test_windows_meet_some_alike_first(spark, monkeypatch):
+    """Pairs of the first round grow with the windows, not with their square; the rest are those that all have besides."""
+    line, n = prose("shared", 60), 40
+    rows = [(i, f"{prose(f'x{i}', 50)} {line} {prose(f'z{i}', 40)}", "s") for i in range(n)]
+    texts = docs(spark, rows).select(*passages._texts("doc_id", "text"))
+    found = passages.windows(texts, words=5, length=46, hashes=1)
+    marked = found.join(found.groupBy("key").count().where(f"count = {n}"), "key").drop("count").withColumn("open", F.lit(True))
+    assert marked.count() >= n
+    monkeypatch.setattr(passages, "_PART_ROWS", 10)
+
+    def met(low, most):
+        used = []
+        pairs = passages.later_meetings(marked, texts, used, (low, most), words=5, length=46, likeness=(4, 5))
+        got = {(r["a"], r["b"]) for r in passages.stretches(pairs, 1).collect()}
+        passages.discard(*used)
+        return {(a, b) for a, b in got if a < b}, {b for a, b in got if a == b}
+
+    all_pairs, none_short = met(0, float("inf"))
+    assert len(all_pairs) > n * n // 4 and not none_short
+    few, short = met(0, 3)
+    assert len(few) <= 3 * marked.count() and len(few) < len(all_pairs) // 3 and len(short) > n // 2
+    rest, _ = met(3, float("inf"))
+    assert few | rest == all_pairs
+
+
+def test_passages_in_rounds_and_parts(spark, monkeypatch):
+    """However few are met first and however many parts there are, what all would find is found."""
+    lines = [prose(f"line{k}", 40) for k in range(2)]
+    rows = []
+    for i in range(50):
+        after = prose(f"after{i % 3}", 30) if i % 5 == 2 else prose(f"y{i}", 30)
+        rows.append((i, f"{prose(f'x{i}', 50)} {lines[i % 2]} {after} {prose(f'z{i}', 40)}", "s"))
+    want = None
+    for sizes in ((32, 1 << 23, 1 << 21), (1, 20, 5)):
+        for name, value in zip(("_ALIKE", "_PART_ROWS", "_PART_STRETCHES"), sizes):
+            monkeypatch.setattr(passages, name, value)
+        found = sorted(tuple(r) for r in passages.repeated_passages(docs(spark, rows)).collect())
+        want = want or found
+        assert found and found == want
+
+
+def test_digests_tell_apart_only_texts_of_one_identifier(spark):
+    copy = prose("copy", 80)
+    rows = [(1, copy, "s"), (2, copy, "s"), (2, None, "s"), (3, prose("own", 80), "s"), (3, f"{copy} end", "s")]
+    texts = docs(spark, rows).select(*passages._texts("doc_id", "text")).dropna()
+    assert {(r["id"], r["digest"] == 0) for r in passages._told_apart(texts).collect()} == {(1, True), (2, True), (3, False)}
+    kept = passages.drop_repeats(docs(spark, rows), columns=["doc_id", "text"]).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["text"]) == [(1, copy), (3, "end"), (3, prose("own", 80))]
+    assert [r["doc_id"] for r in kept if r["text"] is None] == [2]
+
+
+def test_islands_are_put_together_in_any_order():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        n = int(rng.integers(2, 80))
+        table = np.zeros((11, n), np.int64)
+        table[0], table[5] = rng.integers(0, 2, n), rng.choice([-40, 0, 20, 50, 82, 115, 300], n)
+        table[8] = rng.integers(0, 400, n)
+        table[9] = table[8] + rng.integers(5, 40, n)
+        table[6:8], table[10] = table[8:10] - table[5], table[5]
+        cut = int(rng.integers(1, n))
+        parts = np.concatenate([passages._put_together(table[:, :cut]), passages._put_together(table[:, cut:])], axis=1)
+        ends = lambda t: sorted(zip(*passages._put_together(t)[[0, 5, 6, 7, 8, 9, 10]].tolist()))
+        assert ends(parts) == ends(table)
+
+
 def test_islands_of_windows():
     """Against brute force, at once and with windows of one function and diagonal joined before."""
     rng = np.random.default_rng(4)
