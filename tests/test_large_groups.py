@@ -172,6 +172,26 @@ def test_overlap_joins_broadcast_no_postings(spark, folder):
         assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_overlap_joins_shuffle_rows_of_small_keys_once(spark, monkeypatch):
+    from tidewright.operators import overlaps
+
+    rng = random.Random(8)
+    left, right = spans_of(rng, 300, 5_000), spans_of(rng, 200, 9)
+    right += [(7, s, s + 3, 1_000 + s) for s in range(50)]
+    left += [(7, 40, 9_000, 1_000), (7, 60, 9_000, 1_001)]
+    a, b = spark.createDataFrame(left, "k int, s int, e int, i int"), spark.createDataFrame(right, "k int, start int, `end` int, j int")
+    want = overlap_brute(left, right, True)
+    # No key, some keys and all keys have many rows; marked by a broadcast or by a merge.
+    for few, many in ((500, 9), (60, 9), (60, 0), (0, 9)):
+        monkeypatch.setattr(overlaps, "_FEW", few)
+        monkeypatch.setattr(overlaps, "_MANY_KEYS", many)
+        found = join_overlapping(a, b, ("s", "e"), ("start", "end"), "k")
+        assert sorted((r.i, r.j) for r in found.collect()) == want
+        assert found.columns == ["k", "s", "e", "i", "start", "end", "j"]
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert ("Generate" in plan) == (few < 500) and plan.count("SortMergeJoin") == (1 if many else 3)
+
+
 def test_sketches_are_merged_over_batches(spark):
     df = spark.range(40_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 5_000).alias("who"), (F.col("id") / 7).alias("v"))
     measures = {"people": ("distinct", "who"), "size": ("quantiles", "v")}
